@@ -1,0 +1,154 @@
+"""A keyed table holding the latest row per key, on plain Parquet.
+
+Parquet has no MERGE, so an upsert is a copy-on-write of the touched buckets:
+
+    path/data/v=<n>/bucket=<b>/part-*.parquet    rows of bucket b as of version n
+    path/_versions/v=<n>/part-*.json             manifest: bucket -> version,
+                                                 plus the last batch per writer
+
+A bucket is ``pmod(xxhash64(key), buckets)``. Committing a batch: reduce it to
+one row per key; read only the buckets it touches from their current
+versions; keep the latest row per key; write them as version n+1; then write
+the manifest of n+1. The manifest is written last, so a failed commit leaves
+version n current and nothing half-visible; a batch id at or below the
+writer's last one is skipped. Readers list only the buckets of the latest
+manifest. One writer per table. Old versions beyond ``retain`` are deleted.
+"""
+
+from __future__ import annotations
+
+import re
+
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from boardwalk.operators.latest import latest_per_key
+from boardwalk.session import delete_path, list_dir
+
+_VERSION = re.compile(r"^v=(\d+)$")
+_MANIFEST = T.StructType(
+    [
+        T.StructField("bucket", T.IntegerType()),
+        T.StructField("version", T.LongType()),
+        T.StructField("writer", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
+    ]
+)
+
+
+class UpsertTable:
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        key: str,
+        order: list[str],
+        buckets: int | None = None,
+        retain: int = 10,
+    ):
+        self.spark = spark
+        self.path = path.rstrip("/")
+        self.key = key
+        self.order = list(order)
+        self.buckets = int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
+        self.retain = max(1, retain)
+
+    # -- versions and manifests -------------------------------------------------
+    def versions(self) -> list[int]:
+        out = []
+        for name in list_dir(self.spark, f"{self.path}/_versions"):
+            m = _VERSION.match(name)
+            if m and "_SUCCESS" in list_dir(self.spark, f"{self.path}/_versions/{name}"):
+                out.append(int(m.group(1)))
+        return sorted(out)
+
+    def manifest(self, version: int | None = None) -> list[T.Row]:
+        """Rows of a manifest: at most one per bucket plus one per writer."""
+        vs = self.versions()
+        if not vs:
+            return []
+        v = vs[-1] if version is None else version
+        return self.spark.read.schema(_MANIFEST).json(f"{self.path}/_versions/v={v}").collect()
+
+    def _bucket_paths(self, rows: list[T.Row], only: set[int] | None = None) -> list[str]:
+        return [
+            f"{self.path}/data/v={r.version}/bucket={r.bucket}"
+            for r in rows
+            if r.bucket is not None and (only is None or r.bucket in only)
+        ]
+
+    # -- read -------------------------------------------------------------------
+    def read(self, schema: T.StructType | None = None) -> DataFrame | None:
+        """The table as of the latest manifest; None before the first commit."""
+        rows = self.manifest()
+        paths = self._bucket_paths(rows)
+        if not paths:
+            return None
+        return self._read_paths(paths, schema)
+
+    def _read_paths(self, paths: list[str], schema: T.StructType | None) -> DataFrame:
+        r = self.spark.read.option("basePath", f"{self.path}/data")
+        if schema is not None:
+            r = r.schema(T.StructType(list(schema.fields) + [T.StructField("v", T.LongType()), T.StructField("bucket", T.IntegerType())]))
+        return r.parquet(*paths).drop("v", "bucket")
+
+    # -- write ------------------------------------------------------------------
+    def bucket_of(self) -> F.Column:
+        return F.pmod(F.xxhash64(F.col(self.key)), F.lit(self.buckets)).cast("int")
+
+    def commit(self, batch: DataFrame, batch_id: int, writer: str = "default") -> int | None:
+        """Merge one batch; returns the new version, or None when skipped."""
+        rows = self.manifest()
+        last = {r.writer: r.batch_id for r in rows if r.writer is not None}
+        if writer in last and batch_id <= last[writer]:
+            return None
+        reduced = latest_per_key(batch, self.key, self.order).withColumn("bucket", self.bucket_of())
+        reduced.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            touched = {r.bucket for r in reduced.select("bucket").distinct().collect()}
+            current = {r.bucket: r.version for r in rows if r.bucket is not None}
+            version = (max(self.versions()) if rows else 0) + 1
+            if touched:
+                old_paths = self._bucket_paths(rows, only=touched)
+                merged = reduced
+                if old_paths:
+                    old = self._read_paths(old_paths, batch.schema).withColumn("bucket", self.bucket_of())
+                    merged = reduced.unionByName(old.select(*reduced.columns))
+                # Shuffle once by bucket; grouping by (bucket, key) reuses that
+                # partitioning, so each bucket is written by one task.
+                cols = [c for c in merged.columns if c not in ("bucket", self.key)]
+                best = F.max_by(F.struct(*cols), F.struct(*[F.col(c) for c in self.order]))
+                out = (
+                    merged.repartition(max(1, len(touched)), "bucket")
+                    .groupBy("bucket", self.key)
+                    .agg(best.alias("_r"))
+                    .select(self.key, "_r.*", "bucket")
+                    .select(*batch.columns, "bucket")
+                )
+                out.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/v={version}")
+            for b in touched:
+                current[b] = version
+            last[writer] = batch_id
+            manifest = [(b, v, None, None) for b, v in sorted(current.items())]
+            manifest += [(None, None, w, i) for w, i in sorted(last.items())]
+            self.spark.createDataFrame(manifest, _MANIFEST).coalesce(1).write.mode("overwrite").json(
+                f"{self.path}/_versions/v={version}"
+            )
+        finally:
+            reduced.unpersist()
+        self._expire()
+        return version
+
+    def _expire(self) -> None:
+        """Keep the last ``retain`` manifests and the data they reference."""
+        vs = self.versions()
+        keep = vs[-self.retain:]
+        live = {r.version for v in keep for r in self.manifest(v) if r.version is not None}
+        for v in vs[: -self.retain]:
+            delete_path(self.spark, f"{self.path}/_versions/v={v}")
+        for name in list_dir(self.spark, f"{self.path}/data"):
+            m = _VERSION.match(name)
+            if m and int(m.group(1)) not in live and int(m.group(1)) < (keep[0] if keep else 0):
+                delete_path(self.spark, f"{self.path}/data/{name}")
