@@ -105,20 +105,37 @@ def trip_entities(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     )
 
 
-def trip_messages(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Published messages: ``topic, key, value, ingest_ts``; one row per trip
-    update and per status, compacted as the producer sends them. Keyed by the
-    real trip id so a broker spreads trips over partitions."""
+def _envelope(topic_name: str, body: Column) -> list[Column]:
+    return [
+        F.lit(topic_name).alias("topic"),
+        F.col("o_orderkey").cast("string").alias("key"),
+        compact_json(F.to_json(body)).alias("value"),
+        "ingest_ts",
+    ]
+
+
+def update_messages(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Trip-update messages ``topic, key, value, ingest_ts``, compacted as the
+    producer sends them, keyed by the real trip id (a broker then spreads
+    trips over partitions)."""
     e = trip_entities(orders, lineitem)
-    parts = F.array(
-        F.struct(F.lit(UPDATES_TOPIC).alias("topic"), F.to_json("tripUpdate").alias("json")),
-        F.when(F.col("vehicle").isNotNull(), F.struct(F.lit(STATUS_TOPIC).alias("topic"), F.to_json("vehicle").alias("json"))),
-    )
-    return (
-        e.select(F.col("o_orderkey").cast("string").alias("key"), "ingest_ts", F.explode(parts).alias("p"))
-        .where(F.col("p").isNotNull())
-        .select("p.topic", "key", compact_json("p.json").alias("value"), "ingest_ts")
+    return e.select(*_envelope(UPDATES_TOPIC, F.col("tripUpdate")))
+
+
+def status_messages(orders: DataFrame) -> DataFrame:
+    """Trip-status messages; built from orders alone (no stop list needed)."""
+    k = F.col("o_orderkey")
+    o = orders.where(k % 13 != 0).select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority",
+        utc_to_instant("o_orderdate").alias("ingest_ts"),
     )
+    return o.select(*_envelope(STATUS_TOPIC, _status(k)))
+
+
+def trip_messages(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+    """Both topics in one frame, routed by ``topic``. Selecting one topic
+    prunes the other branch of the union at planning time."""
+    return update_messages(orders, lineitem).unionByName(status_messages(orders))
 
 
 # Four route-group feeds, as the transit operator publishes.
