@@ -47,6 +47,14 @@ def _trip(k: Column) -> Column:
     )
 
 
+def keyed_orders(orders: DataFrame) -> DataFrame:
+    """Orders spread by order key, as a topic keyed by trip spreads messages
+    over its partitions. This is the exchange the join with the stop lists
+    needs anyway (same key); AQE sizes its partition count at run time."""
+    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+    return orders.select(*cols).repartition(F.col("o_orderkey"))
+
+
 def trip_stops(lineitem: DataFrame) -> DataFrame:
     """One row per order with its stops in trip order (map-side partial
     collect, one shuffle by order key)."""
@@ -84,7 +92,7 @@ def _status(k: Column) -> Column:
 def trip_entities(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Per order and poll: the trip update and, on the first poll, the
     status. Columns ``o_orderkey, poll, ingest_ts, tripUpdate, vehicle``."""
-    o = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority")
+    o = keyed_orders(orders)
     stops = trip_stops(lineitem)
     k = F.col("o_orderkey")
     joined = o.join(stops, o["o_orderkey"] == stops["l_orderkey"], "left")
@@ -125,7 +133,7 @@ def update_messages(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 def status_messages(orders: DataFrame) -> DataFrame:
     """Trip-status messages; built from orders alone (no stop list needed)."""
     k = F.col("o_orderkey")
-    o = orders.where(k % 13 != 0).select(
+    o = keyed_orders(orders).where(k % 13 != 0).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority",
         utc_to_instant("o_orderdate").alias("ingest_ts"),
     )
