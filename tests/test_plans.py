@@ -1,0 +1,57 @@
+"""Plan properties: the plans we want at scale, not only right rows."""
+
+import uuid
+
+from boardwalk.plans import adhoc, trip_board
+from boardwalk.plans.registered import registry
+from boardwalk.session import shared_dir
+from boardwalk.sources import read_board
+from conftest import SF_SMALL, rows
+
+
+def physical(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def optimized(df) -> str:
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_no_python_udfs_anywhere(spark):
+    for name, fn in registry().items():
+        if name.startswith("stream_"):
+            continue
+        p = physical(fn(spark, SF_SMALL))
+        for node in ("BatchEvalPython", "ArrowEvalPython", "PythonUDF", "FlatMapGroupsInPandas", "MapInPandas"):
+            assert node not in p, (name, node)
+
+
+def test_q9_min_form_has_no_window_and_matches_rank_form(spark):
+    b = trip_board(spark, SF_SMALL)
+    q = adhoc.q9_first_snapshot(b)
+    assert "Window" not in physical(q)
+    assert "Window" in physical(adhoc.q9_rank_form(b))
+    assert rows(q) == rows(adhoc.q9_rank_form(b))
+
+
+def test_message_parsed_once_per_topic(spark):
+    plan = optimized(trip_board(spark, SF_SMALL))
+    assert plan.count("from_json") == 2, plan
+
+
+def test_scans_read_only_needed_columns(spark):
+    plan = physical(adhoc.q4_trips_per_route(trip_board(spark, SF_SMALL)))
+    assert "o_totalprice" not in plan
+    assert "l_extendedprice" not in plan and "l_quantity" not in plan
+
+
+def test_board_table_scan_prunes_and_pushes_filters(spark):
+    path = f"{shared_dir(spark)}/test-board-{uuid.uuid4().hex[:8]}"
+    trip_board(spark, SF_SMALL).write.parquet(path)
+    b = read_board(spark, path)
+    q5 = adhoc.q5_started_between(b, "1998-01-01 00:00:00", "1998-06-30 18:00:00")
+    p = physical(q5)
+    assert "PushedFilters: [IsNotNull(startTime), GreaterThanOrEqual(startTime" in p
+    assert "ReadSchema: struct<tripId:string,routeId:string,startTime:timestamp_ntz>" in p
+    q3 = adhoc.q3_first_rows(b)
+    assert "TakeOrderedAndProject" in physical(q3)
