@@ -102,7 +102,10 @@ def q9_first_snapshot(board: DataFrame) -> DataFrame:
     Rows of the earliest ``currentTime`` are exactly the rows of rank 1 in
     ``rank() over (order by currentTime)``. The minimum is a global
     aggregate of one value per task, joined back as a broadcast of one row;
-    the ranked form would move the whole board into one partition."""
+    the ranked form would move the whole board into one partition. On a
+    board table this reads the clock column twice and shuffles only the first
+    snapshot's rows; on a live plan the board is computed for each branch
+    (aggregating first would shuffle every row of the board instead)."""
     first = board.agg(F.min("currentTime").alias("_first"))
     rows = board.join(F.broadcast(first), F.col("currentTime") == F.col("_first"))
     return _q9_sum(rows.drop("_first"))

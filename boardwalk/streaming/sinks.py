@@ -45,18 +45,24 @@ def write_upsert(
     retain: int = 10,
     trigger: str | None = None,
     query_name: str | None = None,
+    register_as: str | None = None,
 ) -> StreamingQuery:
     """Keep the latest board row per ``key`` in the table at ``path``.
 
     ``board`` must carry the order columns (``derive_board(keep_order=True)``).
     Each micro-batch is merged into the touched buckets only and committed by
     writing a new manifest last; a replayed batch id is skipped, so a restart
-    after a failure never applies a batch twice."""
+    after a failure never applies a batch twice. ``register_as`` publishes
+    the committed version as the global view ``global_temp.<name>`` after
+    every commit, so SQL in any session of the application sees it."""
     table = UpsertTable(board.sparkSession, path, key=key, order=order or schemas.LATEST_ORDER, buckets=buckets, retain=retain)
     writer_id = checkpoint
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        table.commit(batch, batch_id, writer_id)
+        if table.commit(batch, batch_id, writer_id) is not None and register_as:
+            current = table.read()
+            if current is not None:
+                current.select(*schemas.BOARD_COLUMNS).createOrReplaceGlobalTempView(register_as)
 
     w = board.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     if query_name:

@@ -122,3 +122,22 @@ def test_bounded_join_drops_late_rows_and_evicts_state(spark):
     assert ops["numRowsDroppedByWatermark"] >= 1
     # Left in state: C's update and status, D's update; A and B were evicted.
     assert ops["numRowsTotal"] == 3
+
+
+def test_app_json_source_upsert_sink_registers_view(spark):
+    from boardwalk.app import parser, start
+    from boardwalk.plans.board_plan import messages
+    from boardwalk.sources.fixtures import STATUS_TOPIC, UPDATES_TOPIC
+
+    root = f"{shared_dir(spark)}/test-app-{uuid.uuid4().hex[:8]}"
+    msgs = messages(spark, SF_SMALL)
+    for t in (UPDATES_TOPIC, STATUS_TOPIC):
+        msgs.where(F.col("topic") == t).select("key", "value", "ingest_ts").write.json(f"{root}/in/{t}")
+    args = parser().parse_args([
+        "--source", "json", "--updates-path", f"{root}/in/{UPDATES_TOPIC}", "--status-path", f"{root}/in/{STATUS_TOPIC}",
+        "--sink", "upsert", "--path", f"{root}/table", "--checkpoint", f"{root}/ckpt",
+        "--trigger", "available_now", "--register-as", "board_latest", "--buckets", "4",
+    ])
+    start(spark, args).awaitTermination()
+    view = spark.table("global_temp.board_latest")
+    assert view.count() == view.select("tripId").distinct().count() == trip_board(spark, SF_SMALL).select("tripId").distinct().count()
