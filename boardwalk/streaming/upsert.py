@@ -54,6 +54,9 @@ class UpsertTable:
         self.order = list(order)
         self.buckets = int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
         self.retain = max(1, retain)
+        # Manifests never change once written; the single writer reads each
+        # one from storage at most once.
+        self._manifests: dict[int, list[T.Row]] = {}
 
     # -- versions and manifests -------------------------------------------------
     def versions(self) -> list[int]:
@@ -70,7 +73,9 @@ class UpsertTable:
         if not vs:
             return []
         v = vs[-1] if version is None else version
-        return self.spark.read.schema(_MANIFEST).json(f"{self.path}/_versions/v={v}").collect()
+        if v not in self._manifests:
+            self._manifests[v] = self.spark.read.schema(_MANIFEST).json(f"{self.path}/_versions/v={v}").collect()
+        return self._manifests[v]
 
     def _bucket_paths(self, rows: list[T.Row], only: set[int] | None = None) -> list[str]:
         return [
@@ -136,6 +141,7 @@ class UpsertTable:
             self.spark.createDataFrame(manifest, _MANIFEST).coalesce(1).write.mode("overwrite").json(
                 f"{self.path}/_versions/v={version}"
             )
+            self._manifests[version] = [T.Row(**dict(zip(_MANIFEST.names, m))) for m in manifest]
         finally:
             reduced.unpersist()
         self._expire()
@@ -148,6 +154,7 @@ class UpsertTable:
         live = {r.version for v in keep for r in self.manifest(v) if r.version is not None}
         for v in vs[: -self.retain]:
             delete_path(self.spark, f"{self.path}/_versions/v={v}")
+            self._manifests.pop(v, None)
         for name in list_dir(self.spark, f"{self.path}/data"):
             m = _VERSION.match(name)
             if m and int(m.group(1)) not in live and int(m.group(1)) < (keep[0] if keep else 0):
