@@ -128,13 +128,13 @@ def clock_time(clock_utc_ntz: Column, mode: str = REFERENCE, shift_tz: str = REF
 
 def minutes_elapsed(start: Column | str, end: Column | str) -> Column:
     """Whole minutes elapsed from ``start`` to ``end``, truncated toward zero
-    (the ``date_diff('minute', ..)`` of the Athena form of the queries)."""
+    (``date_diff('minute', ..)`` in the Trino dialect)."""
     return F.timestamp_diff("MINUTE", _col(start), _col(end))
 
 
 def minute_boundaries(start: Column | str, end: Column | str) -> Column:
-    """Minute boundaries crossed from ``start`` to ``end`` (the ``DATEDIFF``
-    of the Redshift form): difference of the floored epoch minutes."""
+    """Minute boundaries crossed from ``start`` to ``end`` (``DATEDIFF`` in
+    dialects that count boundaries): difference of the floored epoch minutes."""
 
     def floor_minute(c: Column) -> Column:
         return F.floor(epoch_seconds(c) / F.lit(60))

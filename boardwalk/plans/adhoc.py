@@ -3,8 +3,8 @@ DataFrame with the board's columns: the append folder, the upsert table or a
 live plan) and returns a DataFrame.
 
 Where the two SQL dialects of the original differ, both are here: minutes
-until the next stop as elapsed minutes (Athena) or minute boundaries
-(Redshift), and the first-snapshot question as a global rank or as the
+until the next stop as elapsed minutes or as minute boundaries crossed,
+and the first-snapshot question as a global rank or as the
 scalable minimum filter.
 """
 
