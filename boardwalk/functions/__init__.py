@@ -6,6 +6,8 @@ from boardwalk.functions.timefn import (
     INSTANT,
     REFERENCE,
     clock_time,
+    epoch_micros,
+    epoch_minutes,
     epoch_seconds,
     epoch_text_to_utc,
     instant_to_utc,
@@ -25,6 +27,8 @@ __all__ = [
     "REFERENCE",
     "clock_time",
     "compact_json",
+    "epoch_micros",
+    "epoch_minutes",
     "epoch_seconds",
     "epoch_text_to_utc",
     "first_item",

@@ -51,9 +51,42 @@ def check_mode(mode: str) -> str:
     return mode
 
 
+def _days_since_epoch(ts_ntz: Column) -> Column:
+    return F.datediff(F.to_date(ts_ntz), F.lit("1970-01-01").cast(T.DateType())).cast("bigint")
+
+
 def epoch_seconds(ts_ntz: Column | str) -> Column:
-    """Whole seconds since the epoch of a UTC wall-clock ``timestamp_ntz``."""
-    return F.timestamp_diff("SECOND", epoch_ntz(), _col(ts_ntz))
+    """Whole seconds since the epoch (floored) of a UTC wall-clock
+    ``timestamp_ntz``. Field arithmetic only: Spark's ``timestampdiff`` casts
+    ``timestamp_ntz`` to the session zone, which is off by an hour across a
+    DST change in any zone that has one."""
+    c = _col(ts_ntz)
+    return (
+        _days_since_epoch(c) * 86400
+        + F.hour(c).cast("bigint") * 3600
+        + F.minute(c).cast("bigint") * 60
+        + F.second(c).cast("bigint")
+    )
+
+
+def _micros_in_second(ts_ntz: Column) -> Column:
+    return F.pmod((F.date_part(F.lit("SECOND"), ts_ntz) * 1_000_000).cast("bigint"), F.lit(1_000_000))
+
+
+def epoch_micros(ts_ntz: Column | str) -> Column:
+    c = _col(ts_ntz)
+    return epoch_seconds(c) * 1_000_000 + _micros_in_second(c)
+
+
+def epoch_minutes(ts_ntz: Column | str) -> Column:
+    """Whole minutes since the epoch (floored)."""
+    c = _col(ts_ntz)
+    return _days_since_epoch(c) * 1440 + F.hour(c).cast("bigint") * 60 + F.minute(c).cast("bigint")
+
+
+def _floor_div(x: Column, m: int) -> Column:
+    # exact: the dividend is a multiple of m
+    return ((x - F.pmod(x, F.lit(m))) / F.lit(m)).cast("bigint")
 
 
 def epoch_text_to_utc(text: Column | str) -> Column:
@@ -78,14 +111,13 @@ def unix_seconds_of(ts: Column | str) -> Column:
 
 def utc_to_instant(ts_ntz: Column | str) -> Column:
     """Inverse of :func:`instant_to_utc`: UTC wall time to an instant."""
-    return F.timestamp_micros(F.timestamp_diff("MICROSECOND", epoch_ntz(), _col(ts_ntz)))
+    return F.timestamp_micros(epoch_micros(ts_ntz))
 
 
 def truncate_to_second(ts_ntz: Column | str) -> Column:
     """Drop sub-second digits (the original formats to ``HH:mm:ss`` and back)."""
     c = _col(ts_ntz)
-    micros = F.pmod(F.timestamp_diff("MICROSECOND", epoch_ntz(), c), F.lit(1_000_000))
-    return F.timestamp_add("MICROSECOND", -micros, c)
+    return F.timestamp_add("MICROSECOND", -_micros_in_second(c), c)
 
 
 def wall_to_utc(ts_ntz: Column | str, tz: str) -> Column:
@@ -129,14 +161,11 @@ def clock_time(clock_utc_ntz: Column, mode: str = REFERENCE, shift_tz: str = REF
 def minutes_elapsed(start: Column | str, end: Column | str) -> Column:
     """Whole minutes elapsed from ``start`` to ``end``, truncated toward zero
     (``date_diff('minute', ..)`` in the Trino dialect)."""
-    return F.timestamp_diff("MINUTE", _col(start), _col(end))
+    d = epoch_micros(end) - epoch_micros(start)
+    return F.when(d >= 0, _floor_div(d, 60_000_000)).otherwise(-_floor_div(-d, 60_000_000))
 
 
 def minute_boundaries(start: Column | str, end: Column | str) -> Column:
     """Minute boundaries crossed from ``start`` to ``end`` (``DATEDIFF`` in
     dialects that count boundaries): difference of the floored epoch minutes."""
-
-    def floor_minute(c: Column) -> Column:
-        return F.floor(epoch_seconds(c) / F.lit(60))
-
-    return floor_minute(_col(end)) - floor_minute(_col(start))
+    return epoch_minutes(end) - epoch_minutes(start)

@@ -42,7 +42,7 @@ def _trip(k: Column) -> Column:
     return F.struct(
         k.cast("string").alias("tripId"),
         F.format_string("%02d:%02d:00", hour, k % 60).alias("startTime"),
-        F.date_format("o_orderdate", "yyyyMMdd").alias("startDate"),
+        F.date_format(F.to_date("o_orderdate"), "yyyyMMdd").alias("startDate"),
         F.col("o_orderpriority").alias("routeId"),
     )
 

@@ -109,8 +109,27 @@ def test_board_does_not_depend_on_session_zone(spark):
     msgs = ([update_msg([stop(1665590000, "S1")])], [status_msg()])
     base = rows(board_of(spark, *msgs))
     try:
-        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
-        assert rows(board_of(spark, *msgs)) == base
+        for tz in ("Asia/Tokyo", "America/New_York", "America/Sao_Paulo", "Australia/Lord_Howe"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            assert rows(board_of(spark, *msgs)) == base, tz
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_minutes_across_dst_in_any_session_zone(spark):
+    # 2022-03-13: New York skips 02:00-03:00; UTC wall times are unaffected.
+    a, b = "2022-03-13 06:59:30", "2022-03-13 07:01:10"
+    df = spark.createDataFrame([(a, b)], "a string, b string").select(
+        F.col("a").cast("timestamp_ntz").alias("a"), F.col("b").cast("timestamp_ntz").alias("b"))
+    try:
+        for tz in ("UTC", "America/New_York"):
+            spark.conf.set("spark.sql.session.timeZone", tz)
+            got = df.select(minutes_elapsed("a", "b"), minute_boundaries("a", "b")).first()
+            assert tuple(got) == (1, 2), tz
+        spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+        far = spark.createDataFrame([("2022-01-10 12:00:00", "2022-07-10 12:00:00")], "a string, b string").select(
+            minutes_elapsed(F.col("a").cast("timestamp_ntz"), F.col("b").cast("timestamp_ntz"))).first()[0]
+        assert far == 181 * 24 * 60
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 

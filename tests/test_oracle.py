@@ -53,3 +53,18 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns[0] == "tripId" and len(df.columns) == 12
     assert df.count() > 0
+
+
+@pytest.mark.parametrize("tz", ["America/New_York", "Europe/London"])
+def test_results_do_not_depend_on_session_zone(spark, duck, tz):
+    names = ["trip_board", "trip_board_instant", "q7_minutes_to_next", "q7_minutes_boundary", "updates_parsed", "latest_per_trip"]
+    try:
+        spark.conf.set("spark.sql.session.timeZone", tz)
+        for name in names:
+            df = entry.queries()[name](spark, SF_SMALL)
+            got = [tuple(r) for r in df.collect()]
+            res = duck.execute(entry.oracle_sql()[name])
+            want = res.fetchall()
+            assert _canon(df.columns, got) == _canon([d[0] for d in res.description], want), (tz, name)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
