@@ -55,3 +55,43 @@ def test_board_table_scan_prunes_and_pushes_filters(spark):
     assert "ReadSchema: struct<tripId:string,routeId:string,startTime:timestamp_ntz>" in p
     q3 = adhoc.q3_first_rows(b)
     assert "TakeOrderedAndProject" in physical(q3)
+
+
+def test_hot_trip_is_split_by_aqe_skew_join(spark):
+    """One trip holds most updates and statuses: AQE splits its partition
+    (no single task joins the whole group) and the result stays whole."""
+    from pyspark.sql import functions as F
+
+    from boardwalk.operators import join_feeds
+
+    def side(n, hot_share, cols):
+        k = F.when(F.col("id") % 100 < hot_share, F.lit("HOT")).otherwise(F.col("id").cast("string"))
+        return spark.range(n).select(
+            k.alias("tripId"), F.lit("R").alias("routeId"), F.lit("10:00:00").alias("startTime"),
+            F.lit("20221012").alias("startDate"), *cols)
+
+    u = side(4000, 40, [F.col("id").alias("u_hash")])
+    s = side(300, 40, [F.col("id").alias("s_hash")])
+    conf = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k",
+        "spark.sql.shuffle.partitions": "8",
+    }
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        j = join_feeds(u, s)
+        got = j.collect()  # same query execution: its final plan is kept
+        hot_u, hot_s = 4000 * 40 // 100, 300 * 40 // 100
+        assert len(got) == hot_u * hot_s + (300 - hot_s)
+        final = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin(skew=true)" in final, final
+    finally:
+        for k, v in old.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
