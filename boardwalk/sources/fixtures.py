@@ -89,6 +89,17 @@ def _status(k: Column) -> Column:
     )
 
 
+def _polls(k: Column) -> Column:
+    """Polls that carry an update of the trip: every 11th order is updated
+    twice (one minute apart), so a trip has several board rows."""
+    return F.when(k % 11 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+
+
+def _sends_status(k: Column) -> Column:
+    """Every 13th order sends no status: an update the inner join drops."""
+    return k % 13 != 0
+
+
 def trip_entities(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Per order and poll: the trip update and, on the first poll, the
     status. Columns ``o_orderkey, poll, ingest_ts, tripUpdate, vehicle``."""
@@ -96,12 +107,13 @@ def trip_entities(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     stops = trip_stops(lineitem)
     k = F.col("o_orderkey")
     joined = o.join(stops, o["o_orderkey"] == stops["l_orderkey"], "left")
-    polls = F.when(k % 11 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
     update = F.struct(_trip(k).alias("trip"), _stop_list(k).alias("stopTimeUpdate"))
-    has_status = (F.col("poll") == 0) & (k % 13 != 0)
+    has_status = (F.col("poll") == 0) & _sends_status(k)
+    # The generator gets its own select: struct field names written next to
+    # a generator in one select are lost by the analyzer.
     exploded = joined.select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "lines",
-        F.explode(polls).alias("poll"),
+        F.explode(_polls(k)).alias("poll"),
     )
     return exploded.select(
         "o_orderkey",
@@ -133,7 +145,7 @@ def update_messages(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 def status_messages(orders: DataFrame) -> DataFrame:
     """Trip-status messages; built from orders alone (no stop list needed)."""
     k = F.col("o_orderkey")
-    o = keyed_orders(orders).where(k % 13 != 0).select(
+    o = keyed_orders(orders).where(_sends_status(k)).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority",
         utc_to_instant("o_orderdate").alias("ingest_ts"),
     )
