@@ -2,7 +2,7 @@
 
 Parquet has no MERGE, so an upsert is a copy-on-write of the touched buckets:
 
-    path/data/v=<n>/bucket=<b>/part-*.parquet    rows of bucket b as of version n
+    path/data/v=<n>/__bucket=<b>/part-*.parquet  rows of bucket b as of version n
     path/_versions/v=<n>/part-*.json             manifest: bucket -> version,
                                                  plus the last batch per writer
 
@@ -28,6 +28,8 @@ from boardwalk.operators.latest import latest_per_key
 from boardwalk.session import delete_path, list_dir
 
 _VERSION = re.compile(r"^v=(\d+)$")
+# Partition column of the data files; reserved so it cannot meet a table column.
+BUCKET = "__bucket"
 _MANIFEST = T.StructType(
     [
         T.StructField("bucket", T.IntegerType()),
@@ -79,7 +81,7 @@ class UpsertTable:
 
     def _bucket_paths(self, rows: list[T.Row], only: set[int] | None = None) -> list[str]:
         return [
-            f"{self.path}/data/v={r.version}/bucket={r.bucket}"
+            f"{self.path}/data/v={r.version}/{BUCKET}={r.bucket}"
             for r in rows
             if r.bucket is not None and (only is None or r.bucket in only)
         ]
@@ -94,10 +96,12 @@ class UpsertTable:
         return self._read_paths(paths, schema)
 
     def _read_paths(self, paths: list[str], schema: T.StructType | None) -> DataFrame:
-        r = self.spark.read.option("basePath", f"{self.path}/data")
+        """Bucket folders are read as leaf paths: no partition discovery, so
+        only the table's own columns come back."""
+        r = self.spark.read
         if schema is not None:
-            r = r.schema(T.StructType(list(schema.fields) + [T.StructField("v", T.LongType()), T.StructField("bucket", T.IntegerType())]))
-        return r.parquet(*paths).drop("v", "bucket")
+            r = r.schema(schema)
+        return r.parquet(*paths)
 
     # -- write ------------------------------------------------------------------
     def bucket_of(self) -> F.Column:
@@ -109,30 +113,30 @@ class UpsertTable:
         last = {r.writer: r.batch_id for r in rows if r.writer is not None}
         if writer in last and batch_id <= last[writer]:
             return None
-        reduced = latest_per_key(batch, self.key, self.order).withColumn("bucket", self.bucket_of())
+        reduced = latest_per_key(batch, self.key, self.order).withColumn(BUCKET, self.bucket_of())
         reduced.persist(StorageLevel.MEMORY_AND_DISK)
         try:
-            touched = {r.bucket for r in reduced.select("bucket").distinct().collect()}
+            touched = {r[0] for r in reduced.select(BUCKET).distinct().collect()}
             current = {r.bucket: r.version for r in rows if r.bucket is not None}
             version = (max(self.versions()) if rows else 0) + 1
             if touched:
                 old_paths = self._bucket_paths(rows, only=touched)
                 merged = reduced
                 if old_paths:
-                    old = self._read_paths(old_paths, batch.schema).withColumn("bucket", self.bucket_of())
+                    old = self._read_paths(old_paths, batch.schema).withColumn(BUCKET, self.bucket_of())
                     merged = reduced.unionByName(old.select(*reduced.columns))
                 # Shuffle once by bucket; grouping by (bucket, key) reuses that
                 # partitioning, so each bucket is written by one task.
-                cols = [c for c in merged.columns if c not in ("bucket", self.key)]
+                cols = [c for c in merged.columns if c not in (BUCKET, self.key)]
                 best = F.max_by(F.struct(*cols), F.struct(*[F.col(c) for c in self.order]))
                 out = (
-                    merged.repartition(max(1, len(touched)), "bucket")
-                    .groupBy("bucket", self.key)
+                    merged.repartition(max(1, len(touched)), BUCKET)
+                    .groupBy(BUCKET, self.key)
                     .agg(best.alias("_r"))
-                    .select(self.key, "_r.*", "bucket")
-                    .select(*batch.columns, "bucket")
+                    .select(self.key, "_r.*", BUCKET)
+                    .select(*batch.columns, BUCKET)
                 )
-                out.write.mode("overwrite").partitionBy("bucket").parquet(f"{self.path}/data/v={version}")
+                out.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/data/v={version}")
             for b in touched:
                 current[b] = version
             last[writer] = batch_id
