@@ -22,7 +22,7 @@ if __package__ in (None, ""):
 from pyspark.sql import SparkSession  # noqa: E402
 
 from boardwalk.session import build_session  # noqa: E402
-from boardwalk.functions.timefn import MODES, REFERENCE  # noqa: E402
+from boardwalk.functions.timefn import FEED_SOURCE_TZ, MODES, REFERENCE, REFERENCE_SHIFT_TZ  # noqa: E402
 from boardwalk.sources.envelope import read_envelope  # noqa: E402
 from boardwalk.streaming.board_stream import board_stream  # noqa: E402
 from boardwalk.streaming.sinks import write_append, write_upsert  # noqa: E402
@@ -39,7 +39,10 @@ def _options(pairs: list[str]) -> dict[str, str]:
 def start(spark: SparkSession, args: argparse.Namespace):
     u = read_envelope(spark, args.source, _options(args.updates_option), path=args.updates_path)
     s = read_envelope(spark, args.source, _options(args.status_option), path=args.status_path)
-    board = board_stream(u, s, mode=args.time_mode, bound=args.bound, salt=args.salt, keep_order=args.sink == "upsert")
+    board = board_stream(
+        u, s, mode=args.time_mode, bound=args.bound, salt=args.salt, keep_order=args.sink == "upsert",
+        shift_tz=args.shift_tz, source_tz=args.source_tz,
+    )
     if args.sink == "append":
         return write_append(board, args.path, args.checkpoint, trigger=args.trigger, query_name=args.query_name)
     return write_upsert(
@@ -60,6 +63,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--trigger", default=None, help="interval (default 10 seconds) or available_now")
     p.add_argument("--time-mode", choices=list(MODES), default=REFERENCE)
+    p.add_argument("--shift-tz", default=REFERENCE_SHIFT_TZ, help="zone of the reference time mode")
+    p.add_argument("--source-tz", default=FEED_SOURCE_TZ, help="zone of trip start times in instant mode")
     p.add_argument("--bound", default=None, help="e.g. '1 hour': watermarked, time-bounded join")
     p.add_argument("--salt", type=int, default=1)
     p.add_argument("--buckets", type=int, default=None)

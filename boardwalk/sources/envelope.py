@@ -36,14 +36,14 @@ def read_envelope(
     options = dict(options or {})
     reader = spark.readStream if stream else spark.read
     if fmt == KAFKA:
-        raw = reader.format("kafka").options(**options).load()
+        raw = _load_connector(reader.format("kafka").options(**options), "spark-sql-kafka-0-10")
         return raw.select(
             F.col("key").cast("string").alias("key"),
             F.col("value").cast("string").alias("value"),
             F.col("timestamp").alias("ingest_ts"),
         )
     if fmt == KINESIS:
-        raw = reader.format("kinesis").options(**options).load()
+        raw = _load_connector(reader.format("kinesis").options(**options), "a Kinesis source for Spark")
         return raw.select(
             F.col("partitionKey").cast("string").alias("key"),
             F.col("data").cast("string").alias("value"),
@@ -74,6 +74,15 @@ def _parse_once(envelopes: DataFrame, schema, side: str) -> DataFrame:
     return envelopes.select(F.inline(F.array(row)))
 
 
+def _load_connector(reader, package: str) -> DataFrame:
+    try:
+        return reader.load()
+    except Exception as e:  # the data source class is not on the classpath
+        if "DATA_SOURCE_NOT_FOUND" in str(e) or "Failed to find data source" in str(e):
+            raise RuntimeError(f"connector not installed: add {package} to spark.jars.packages or spark.jars") from e
+        raise
+
+
 def parse_updates(envelopes: DataFrame) -> DataFrame:
     """Trip-update messages to columns: the trip fields, the stop list, and
     the envelope's ingest time and a hash of the message (for ordering)."""

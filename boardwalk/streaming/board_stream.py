@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 
-from boardwalk.functions.timefn import REFERENCE
+from boardwalk.functions.timefn import FEED_SOURCE_TZ, REFERENCE, REFERENCE_SHIFT_TZ
 from boardwalk.operators import derive_board, join_feeds, reshape_status, reshape_updates
 from boardwalk.sources import parse_status, parse_updates
 
@@ -17,6 +17,8 @@ def board_stream(
     bound: str | None = None,
     salt: int = 1,
     keep_order: bool = False,
+    shift_tz: str = REFERENCE_SHIFT_TZ,
+    source_tz: str = FEED_SOURCE_TZ,
 ) -> DataFrame:
     """Envelope streams (``key, value, ingest_ts``) to board rows.
 
@@ -25,4 +27,5 @@ def board_stream(
     watermarked, time-bounded state (see ``join_feeds``)."""
     u = reshape_updates(parse_updates(updates))
     s = reshape_status(parse_status(status))
-    return derive_board(join_feeds(u, s, bound=bound, salt=salt), mode=mode, clock=clock, keep_order=keep_order)
+    joined = join_feeds(u, s, bound=bound, salt=salt)
+    return derive_board(joined, mode=mode, clock=clock, shift_tz=shift_tz, source_tz=source_tz, keep_order=keep_order)

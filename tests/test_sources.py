@@ -45,3 +45,10 @@ def test_split_feed_one_entity_with_both_parts(spark):
     assert rows(split.select("topic", "key", "value")) == rows(direct.select("topic", "key", "value"))
     per_feed = [snaps.where(F.col("feed") == i) for i in range(FEEDS)]
     assert union_feeds(*per_feed).count() == snaps.count()
+
+
+def test_missing_connector_gives_a_clear_error(spark):
+    import pytest
+
+    with pytest.raises(RuntimeError, match="connector not installed"):
+        read_envelope(spark, "kafka", {"kafka.bootstrap.servers": "localhost:1", "subscribe": "t"})
