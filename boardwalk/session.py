@@ -35,6 +35,30 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return b.getOrCreate()
 
 
+_MB = 1024 * 1024
+
+
+def scale_settings(input_bytes: int, target_partition_mb: int = 256) -> dict[str, str]:
+    """Settings sized to the data, for a cluster.
+
+    AQE can coalesce shuffle partitions but not split them (skewed join
+    partitions aside), so the initial shuffle partition count must be large
+    enough that every partition fits in executor memory: about one per
+    ``target_partition_mb`` of input. The same count fixes the number of state
+    store partitions of a stream at its first start. Scans split files into
+    pieces of the same size; a partition is skewed at four times the target.
+    """
+    parts = max(200, -(-int(input_bytes) // (target_partition_mb * _MB)))
+    target = f"{target_partition_mb}m"
+    return {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.files.maxPartitionBytes": target,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": target,
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * target_partition_mb}m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+    }
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``. On a cluster this
     is set by the deployment; only when it is unset (local tests) does this

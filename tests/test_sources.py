@@ -52,3 +52,12 @@ def test_missing_connector_gives_a_clear_error(spark):
 
     with pytest.raises(RuntimeError, match="connector not installed"):
         read_envelope(spark, "kafka", {"kafka.bootstrap.servers": "localhost:1", "subscribe": "t"})
+
+
+def test_scale_settings_grow_with_input():
+    from boardwalk.session import scale_settings
+
+    small = scale_settings(10 * 1024**3)
+    big = scale_settings(100 * 1024**4)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 * 1024**2)
