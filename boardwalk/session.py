@@ -38,17 +38,26 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 _MB = 1024 * 1024
 
 
-def scale_settings(input_bytes: int, target_partition_mb: int = 256) -> dict[str, str]:
+def scale_settings(
+    input_bytes: int,
+    shuffled_fraction: float = 0.25,
+    target_partition_mb: int = 256,
+    max_partitions: int = 100_000,
+) -> dict[str, str]:
     """Settings sized to the data, for a cluster.
 
     AQE can coalesce shuffle partitions but not split them (skewed join
-    partitions aside), so the initial shuffle partition count must be large
-    enough that every partition fits in executor memory: about one per
-    ``target_partition_mb`` of input. The same count fixes the number of state
-    store partitions of a stream at its first start. Scans split files into
-    pieces of the same size; a partition is skewed at four times the target.
+    partitions aside), so the initial count must make every partition fit in
+    executor memory: one per ``target_partition_mb`` of *shuffled* bytes,
+    which after column pruning and partial aggregation are a fraction of the
+    input (``shuffled_fraction``; about a quarter for the board, whose joins
+    move a few columns of each table). The count is capped: map x reduce
+    shuffle blocks grow with its square. It also fixes the number of state
+    partitions of a stream at its first start. Scans split files into pieces of
+    ``target_partition_mb``; a join partition is skewed at four times that.
     """
-    parts = max(200, -(-int(input_bytes) // (target_partition_mb * _MB)))
+    shuffled = int(input_bytes * shuffled_fraction)
+    parts = min(max_partitions, max(200, -(-shuffled // (target_partition_mb * _MB))))
     target = f"{target_partition_mb}m"
     return {
         "spark.sql.shuffle.partitions": str(parts),
