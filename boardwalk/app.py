@@ -1,5 +1,8 @@
 """The streaming job: source x sink are parameters, not four programs.
 
+    spark-submit boardwalk/app.py --role producer --snapshots-path <feed folder> ... \\
+        --sink kafka --sink-option kafka.bootstrap.servers=HOST:9094 --checkpoint <shared>/producer-ckpt
+
     spark-submit boardwalk/app.py --source kafka \\
         --updates-option kafka.bootstrap.servers=HOST:9094 --updates-option subscribe=trip_update_topic \\
         --status-option  kafka.bootstrap.servers=HOST:9094 --status-option  subscribe=trip_status_topic \\
@@ -23,9 +26,11 @@ from pyspark.sql import SparkSession  # noqa: E402
 
 from boardwalk.session import build_session  # noqa: E402
 from boardwalk.functions.timefn import FEED_SOURCE_TZ, MODES, REFERENCE, REFERENCE_SHIFT_TZ  # noqa: E402
+from boardwalk.operators.feed import split_feed, union_feeds  # noqa: E402
+from boardwalk.schemas import SNAPSHOT_FILE  # noqa: E402
 from boardwalk.sources.envelope import read_envelope  # noqa: E402
 from boardwalk.streaming.board_stream import board_stream  # noqa: E402
-from boardwalk.streaming.sinks import write_append, write_upsert  # noqa: E402
+from boardwalk.streaming.sinks import publish_stream, write_append, write_upsert  # noqa: E402
 
 
 def _options(pairs: list[str]) -> dict[str, str]:
@@ -36,7 +41,23 @@ def _options(pairs: list[str]) -> dict[str, str]:
     return out
 
 
+def start_producer(spark: SparkSession, args: argparse.Namespace):
+    """Feed snapshots (one JSON document per poll, one folder per feed) ->
+    split into the two message kinds -> published."""
+    feeds = [spark.readStream.schema(SNAPSHOT_FILE).json(p) for p in args.snapshots_path]
+    msgs = split_feed(union_feeds(*feeds))
+    fmt = "kafka" if args.sink == "kafka" else "json"
+    return publish_stream(msgs, fmt, args.checkpoint, _options(args.sink_option), path=args.path,
+                          trigger=args.trigger, query_name=args.query_name)
+
+
 def start(spark: SparkSession, args: argparse.Namespace):
+    if args.role == "producer":
+        if args.sink not in ("kafka", "files"):
+            raise SystemExit("a producer publishes to --sink kafka or --sink files")
+        return start_producer(spark, args)
+    if args.sink not in ("append", "upsert"):
+        raise SystemExit("a consumer writes the board with --sink append or --sink upsert")
     u = read_envelope(spark, args.source, _options(args.updates_option), path=args.updates_path)
     s = read_envelope(spark, args.source, _options(args.status_option), path=args.status_path)
     board = board_stream(
@@ -53,12 +74,15 @@ def start(spark: SparkSession, args: argparse.Namespace):
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(description="trip board stream")
-    p.add_argument("--source", choices=["kafka", "kinesis", "json", "parquet"], required=True)
+    p.add_argument("--role", choices=["consumer", "producer"], default="consumer")
+    p.add_argument("--source", choices=["kafka", "kinesis", "json", "parquet"], default="json")
+    p.add_argument("--snapshots-path", action="append", default=[], help="producer: one folder per feed")
+    p.add_argument("--sink-option", action="append", default=[], help="producer: Kafka options")
     p.add_argument("--updates-option", action="append", default=[])
     p.add_argument("--status-option", action="append", default=[])
     p.add_argument("--updates-path")
     p.add_argument("--status-path")
-    p.add_argument("--sink", choices=["append", "upsert"], default="append")
+    p.add_argument("--sink", choices=["append", "upsert", "kafka", "files"], default="append")
     p.add_argument("--path", required=True)
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--trigger", default=None, help="interval (default 10 seconds) or available_now")

@@ -58,6 +58,14 @@ FEED_ENTITY = T.StructType(
 )
 FEED_SNAPSHOT = T.StructType([T.StructField("entity", T.ArrayType(FEED_ENTITY))])
 
+# A stored feed snapshot: the poll's document text and when it was polled.
+SNAPSHOT_FILE = T.StructType(
+    [
+        T.StructField("value", T.StringType()),
+        T.StructField("ingest_ts", T.TimestampType()),
+    ]
+)
+
 # Normalised message envelope for every source (Kafka, Kinesis, files).
 ENVELOPE = T.StructType(
     [

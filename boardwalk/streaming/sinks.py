@@ -80,3 +80,29 @@ def publish(messages: DataFrame, fmt: str, options: dict[str, str] | None = None
     if path is None:
         raise ValueError("a file sink needs a path")
     messages.write.mode("append").partitionBy("topic").format(fmt).options(**options).save(path)
+
+
+def publish_stream(
+    messages: DataFrame,
+    fmt: str,
+    checkpoint: str,
+    options: dict[str, str] | None = None,
+    path: str | None = None,
+    trigger: str | None = None,
+    query_name: str | None = None,
+) -> StreamingQuery:
+    """Stream routed messages ``topic, key, value, ingest_ts`` out: to Kafka
+    (each row to the topic it names) or to one folder per topic, which
+    ``read_envelope`` reads back. Exactly-once for files (sink log);
+    at-least-once for Kafka, as for any Kafka producer."""
+    options = dict(options or {})
+    if fmt == "kafka":
+        w = messages.select("topic", "key", "value").writeStream.format("kafka").options(**options)
+    else:
+        if path is None:
+            raise ValueError("a file sink needs a path")
+        w = messages.writeStream.format(fmt).partitionBy("topic").options(**options).option("path", path)
+    w = w.outputMode("append").option("checkpointLocation", checkpoint)
+    if query_name:
+        w = w.queryName(query_name)
+    return with_trigger(w, trigger).start()

@@ -141,3 +141,26 @@ def test_app_json_source_upsert_sink_registers_view(spark):
     start(spark, args).awaitTermination()
     view = spark.table("global_temp.board_latest")
     assert view.count() == view.select("tripId").distinct().count() == trip_board(spark, SF_SMALL).select("tripId").distinct().count()
+
+
+def test_producer_stream_splits_and_publishes(spark):
+    from boardwalk.app import parser, start
+    from boardwalk.plans.board_plan import table
+    from boardwalk.sources import feed_snapshots
+    from boardwalk.sources.fixtures import FEEDS, STATUS_TOPIC, UPDATES_TOPIC
+
+    root = f"{shared_dir(spark)}/test-producer-{uuid.uuid4().hex[:8]}"
+    snaps = feed_snapshots(table(spark, SF_SMALL, "orders"), table(spark, SF_SMALL, "lineitem"))
+    for i in range(FEEDS):
+        snaps.where(F.col("feed") == i).select("value", "ingest_ts").write.json(f"{root}/feed{i}")
+    argv = ["--role", "producer", "--sink", "files", "--path", f"{root}/out", "--checkpoint", f"{root}/ckpt",
+            "--trigger", "available_now"]
+    for i in range(FEEDS):
+        argv += ["--snapshots-path", f"{root}/feed{i}"]
+    start(spark, parser().parse_args(argv)).awaitTermination()
+    got = spark.read.json(f"{root}/out")
+    want = messages(spark, SF_SMALL)
+    for t in (UPDATES_TOPIC, STATUS_TOPIC):
+        g = got.where(F.col("topic") == t).select("key", "value")
+        w = want.where(F.col("topic") == t).select("key", "value")
+        assert rows(g) == rows(w), t
