@@ -13,7 +13,6 @@ import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from boardwalk.operators import latest_per_key  # noqa: E402
 from boardwalk.plans import adhoc, trip_board  # noqa: E402
 from boardwalk.plans.registered import registry  # noqa: E402
 from boardwalk.session import build_session, shared_dir  # noqa: E402
