@@ -47,12 +47,26 @@ def _trip(k: Column) -> Column:
     )
 
 
+_ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
+
+
 def keyed_orders(orders: DataFrame) -> DataFrame:
     """Orders spread by order key, as a topic keyed by trip spreads messages
     over its partitions. This is the exchange the join with the stop lists
     needs anyway (same key); AQE sizes its partition count at run time."""
-    cols = ["o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority"]
-    return orders.select(*cols).repartition(F.col("o_orderkey"))
+    return orders.select(*_ORDER_COLS).repartition(F.col("o_orderkey"))
+
+
+def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
+    """Spread a scan with fewer splits than the cluster has cores (a small
+    table in one row group) by ``key``; leave a wide scan alone, so no
+    shuffle is added where the scan is already parallel. ``df`` must be a
+    scan with projections and filters only: building its RDD then computes
+    the file splits and runs nothing."""
+    spark = df.sparkSession
+    if df._jdf.queryExecution().executedPlan().execute().getNumPartitions() < spark.sparkContext.defaultParallelism:
+        return df.repartition(F.col(key))
+    return df
 
 
 def trip_stops(lineitem: DataFrame) -> DataFrame:
@@ -145,7 +159,7 @@ def update_messages(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
 def status_messages(orders: DataFrame) -> DataFrame:
     """Trip-status messages; built from orders alone (no stop list needed)."""
     k = F.col("o_orderkey")
-    o = keyed_orders(orders).where(_sends_status(k)).select(
+    o = spread_if_narrow(orders.select(*_ORDER_COLS), "o_orderkey").where(_sends_status(k)).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority",
         utc_to_instant("o_orderdate").alias("ingest_ts"),
     )

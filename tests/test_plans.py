@@ -95,3 +95,15 @@ def test_hot_trip_is_split_by_aqe_skew_join(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_status_side_adds_no_shuffle_on_a_wide_scan(spark):
+    from boardwalk.plans.board_plan import table
+    from boardwalk.sources.fixtures import status_messages
+
+    narrow = status_messages(table(spark, SF_SMALL, "orders"))
+    assert "REPARTITION_BY_COL" in physical(narrow)  # one row group: spread by key
+    path = f"{shared_dir(spark)}/test-wide-{uuid.uuid4().hex[:8]}"
+    table(spark, SF_SMALL, "orders").repartition(2 * spark.sparkContext.defaultParallelism).write.parquet(path)
+    wide = status_messages(spark.read.parquet(path))
+    assert "Exchange" not in physical(wide)
