@@ -84,9 +84,11 @@ def epoch_minutes(ts_ntz: Column | str) -> Column:
     return _days_since_epoch(c) * 1440 + F.hour(c).cast("bigint") * 60 + F.minute(c).cast("bigint")
 
 
-def _floor_div(x: Column, m: int) -> Column:
-    # exact: the dividend is a multiple of m
-    return ((x - F.pmod(x, F.lit(m))) / F.lit(m)).cast("bigint")
+def _div(x: Column, m: int) -> Column:
+    """Integral division truncating toward zero; ``x`` is referenced once,
+    so inlined inputs are not copied (a filter pushed below a projection gets
+    its aliases inlined, and filters get no common-subexpression pass)."""
+    return F.call_function("div", x, F.lit(m))
 
 
 def epoch_text_to_utc(text: Column | str) -> Column:
@@ -161,8 +163,7 @@ def clock_time(clock_utc_ntz: Column, mode: str = REFERENCE, shift_tz: str = REF
 def minutes_elapsed(start: Column | str, end: Column | str) -> Column:
     """Whole minutes elapsed from ``start`` to ``end``, truncated toward zero
     (``date_diff('minute', ..)`` in the Trino dialect)."""
-    d = epoch_micros(end) - epoch_micros(start)
-    return F.when(d >= 0, _floor_div(d, 60_000_000)).otherwise(-_floor_div(-d, 60_000_000))
+    return _div(epoch_micros(end) - epoch_micros(start), 60_000_000)
 
 
 def minute_boundaries(start: Column | str, end: Column | str) -> Column:
