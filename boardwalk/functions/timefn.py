@@ -91,10 +91,24 @@ def _div(x: Column, m: int) -> Column:
     return F.call_function("div", x, F.lit(m))
 
 
+def epoch_text_seconds(text: Column | str) -> Column:
+    """Epoch seconds from text as the original's implicit cast reads it:
+    surrounding blanks allowed, a fractional part truncated (``"12.7"`` ->
+    12), anything else (``"abc"``, ``"1e9"``) null. The fallback only runs
+    when the plain cast fails."""
+    t = F.trim(_col(text))
+    whole = F.substring_index(t, ".", 1)
+    frac = F.substring(t, F.length(whole) + 2, 1 << 30)
+    fallback = F.when(
+        t.contains(".") & frac.rlike("^[0-9]*$") & whole.rlike("^[+-]?[0-9]+$"), whole.try_cast("bigint")
+    )
+    return F.coalesce(t.try_cast("bigint"), fallback)
+
+
 def epoch_text_to_utc(text: Column | str) -> Column:
     """Epoch seconds as text (protobuf JSON prints int64 as text) to UTC wall
     time; null for text that is not a number or out of range."""
-    secs = _col(text).try_cast("bigint")
+    secs = epoch_text_seconds(text)
     return F.when(
         secs.between(_MIN_EPOCH_S, _MAX_EPOCH_S),
         F.timestamp_add("SECOND", secs, epoch_ntz()),

@@ -195,3 +195,12 @@ def test_salted_join_equals_plain_join(spark):
     plain = rows(join_feeds(u, s))
     assert len(plain) == 24
     assert rows(join_feeds(u, s, salt=4)) == plain
+
+
+def test_epoch_text_is_read_like_the_original_cast(spark):
+    from boardwalk.functions.timefn import epoch_text_seconds
+
+    cases = ["1665590000", " 1665590000 ", "+1665590000", "1665590000.5", "-12.9", "1665590000.", "1e9", "abc", "1.2.3", "", None]
+    df = spark.createDataFrame([(c,) for c in cases], "t string")
+    got = [r[0] for r in df.select(epoch_text_seconds("t")).collect()]
+    assert got == [1665590000, 1665590000, 1665590000, 1665590000, -12, 1665590000, None, None, None, None, None]
