@@ -22,6 +22,10 @@ def register_board(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
 
 
 def register_board_path(spark: SparkSession, path: str, name: str) -> None:
-    """Catalog table over an append-sink folder, like an external schema."""
+    """Catalog table over an append-sink folder, like an external schema:
+    ``name`` may be ``database.table``; the database is created when absent
+    and the table is replaced (its files are left alone)."""
+    if "." in name:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.', 1)[0]}")
     spark.sql(f"DROP TABLE IF EXISTS {name}")
     spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")

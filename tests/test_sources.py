@@ -23,6 +23,8 @@ def test_register_board_path_and_sql(spark):
     got = spark.sql("select routeId, count(tripId) as numOfTrips from board_tbl group by routeId")
     want = b.groupBy("routeId").agg(F.count("tripId").alias("numOfTrips"))
     assert rows(got) == rows(want)
+    register_board_path(spark, path, "transit.board_tbl")
+    assert spark.table("transit.board_tbl").count() == b.count()
     register_board(spark, read_board(spark, path), "board_view")
     assert spark.table("board_view").count() == b.count()
 
