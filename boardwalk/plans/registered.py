@@ -142,7 +142,9 @@ def _replay(spark: SparkSession, sf_dir: str, name: str, slices, start) -> FeedR
     ids = r.stage(msgs, slices(msgs))
     for i in ids:
         r.deliver(i)
-        start(r).awaitTermination()
+        with r.sized_state():
+            q = start(r)
+        q.awaitTermination()
     return r
 
 

@@ -108,3 +108,29 @@ def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     if fs.exists(p):
         fs.delete(p, True)
+
+
+def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small driver-side file: to a hidden sibling, then rename."""
+    fs, p = _fs(spark, path)
+    jvm = spark.sparkContext._jvm
+    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.tmp")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+    if fs.exists(p):
+        fs.delete(p, False)
+    if not fs.rename(tmp, p):
+        raise OSError(f"could not commit {path}")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    fs, p = _fs(spark, path)
+    stream = fs.open(p)
+    try:
+        data = spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toByteArray(stream)
+    finally:
+        stream.close()
+    return bytes(data).decode("utf-8")

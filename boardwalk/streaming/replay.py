@@ -11,6 +11,7 @@ the query from its checkpoint between slices.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -57,6 +58,35 @@ class FeedReplay:
                 if name.startswith("part-"):
                     fs.rename(jvm.org.apache.hadoop.fs.Path(f"{src}/{name}"), jvm.org.apache.hadoop.fs.Path(f"{dst}/s{slice_id}-{name}"))
 
+    def staged_bytes(self) -> int:
+        jvm = self.spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(self.path("stage"))
+        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+    def state_partitions(self, target_bytes: int = 64 * 1024 * 1024) -> int:
+        """State partitions sized to the feed: one per ``target_bytes`` of
+        staged messages, at least the cluster's parallelism, at most the
+        session's shuffle partitions. A stream fixes this count in its
+        checkpoint at the first start."""
+        session = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
+        cores = self.spark.sparkContext.defaultParallelism
+        wanted = -(-self.staged_bytes() // target_bytes)
+        return max(1, min(session, max(cores, wanted)))
+
+    @contextmanager
+    def sized_state(self):
+        """Start a query with :meth:`state_partitions`; the session's own
+        setting is restored once the query has started (a stream copies the
+        session's settings when it starts)."""
+        key = "spark.sql.shuffle.partitions"
+        old = self.spark.conf.get(key)
+        self.spark.conf.set(key, str(self.state_partitions()))
+        try:
+            yield
+        finally:
+            self.spark.conf.set(key, old)
+
     def envelopes(self, topic_name: str) -> DataFrame:
         """Streaming envelopes of one topic from its input folder."""
         d = self.path("in", topic_name)

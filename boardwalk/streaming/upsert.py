@@ -3,7 +3,7 @@
 Parquet has no MERGE, so an upsert is a copy-on-write of the touched buckets:
 
     path/data/v=<n>/__bucket=<b>/part-*.parquet  rows of bucket b as of version n
-    path/_versions/v=<n>/part-*.json             manifest: bucket -> version,
+    path/_versions/v=<n>.json                    manifest: bucket -> version,
                                                  plus the last batch per writer
 
 A bucket is ``pmod(xxhash64(key), buckets)``. Committing a batch: reduce it to
@@ -13,10 +13,15 @@ the manifest of n+1. The manifest is written last, so a failed commit leaves
 version n current and nothing half-visible; a batch id at or below the
 writer's last one is skipped. Readers list only the buckets of the latest
 manifest. One writer per table. Old versions beyond ``retain`` are deleted.
+
+A manifest is a few rows (one per bucket and writer), so the driver writes
+it through the Hadoop file system API: to a hidden file, then renamed into
+place (atomic on HDFS; on object stores the object appears whole).
 """
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark import StorageLevel
@@ -25,9 +30,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boardwalk.operators.latest import latest_per_key
-from boardwalk.session import delete_path, list_dir
+from boardwalk.session import delete_path, list_dir, read_text, write_text_atomic
 
 _VERSION = re.compile(r"^v=(\d+)$")
+_MANIFEST_FILE = re.compile(r"^v=(\d+)\.json$")
 # Partition column of the data files; reserved so it cannot meet a table column.
 BUCKET = "__bucket"
 _MANIFEST = T.StructType(
@@ -64,11 +70,14 @@ class UpsertTable:
     def versions(self) -> list[int]:
         out = []
         for name in list_dir(self.spark, f"{self.path}/_versions"):
-            m = _VERSION.match(name)
-            if m and "_SUCCESS" in list_dir(self.spark, f"{self.path}/_versions/{name}"):
+            m = _MANIFEST_FILE.match(name)
+            if m:
                 out.append(int(m.group(1)))
         return sorted(out)
 
+    def _manifest_path(self, version: int) -> str:
+        return f"{self.path}/_versions/v={version}.json"
+
     def manifest(self, version: int | None = None) -> list[T.Row]:
         """Rows of a manifest: at most one per bucket plus one per writer."""
         vs = self.versions()
@@ -76,7 +85,8 @@ class UpsertTable:
             return []
         v = vs[-1] if version is None else version
         if v not in self._manifests:
-            self._manifests[v] = self.spark.read.schema(_MANIFEST).json(f"{self.path}/_versions/v={v}").collect()
+            lines = read_text(self.spark, self._manifest_path(v)).splitlines()
+            self._manifests[v] = [T.Row(**{k: json.loads(ln).get(k) for k in _MANIFEST.names}) for ln in lines if ln]
         return self._manifests[v]
 
     def _bucket_paths(self, rows: list[T.Row], only: set[int] | None = None) -> list[str]:
@@ -142,10 +152,9 @@ class UpsertTable:
             last[writer] = batch_id
             manifest = [(b, v, None, None) for b, v in sorted(current.items())]
             manifest += [(None, None, w, i) for w, i in sorted(last.items())]
-            self.spark.createDataFrame(manifest, _MANIFEST).coalesce(1).write.mode("overwrite").json(
-                f"{self.path}/_versions/v={version}"
-            )
-            self._manifests[version] = [T.Row(**dict(zip(_MANIFEST.names, m))) for m in manifest]
+            rows_out = [dict(zip(_MANIFEST.names, m)) for m in manifest]
+            write_text_atomic(self.spark, self._manifest_path(version), "\n".join(json.dumps(r) for r in rows_out) + "\n")
+            self._manifests[version] = [T.Row(**r) for r in rows_out]
         finally:
             reduced.unpersist()
         self._expire()
@@ -157,7 +166,7 @@ class UpsertTable:
         keep = vs[-self.retain:]
         live = {r.version for v in keep for r in self.manifest(v) if r.version is not None}
         for v in vs[: -self.retain]:
-            delete_path(self.spark, f"{self.path}/_versions/v={v}")
+            delete_path(self.spark, self._manifest_path(v))
             self._manifests.pop(v, None)
         for name in list_dir(self.spark, f"{self.path}/data"):
             m = _VERSION.match(name)
