@@ -85,8 +85,9 @@ def main() -> None:
             "aqe": spark.conf.get("spark.sql.adaptive.enabled"),
         },
     }
-    print(json.dumps(out))
+    # Stop first: state stores log while closing; the JSON line comes last.
     spark.stop()
+    print(json.dumps(out), flush=True)
 
 
 if __name__ == "__main__":
