@@ -4,9 +4,9 @@
         --sink kafka --sink-option kafka.bootstrap.servers=HOST:9094 --checkpoint <shared>/producer-ckpt
 
     spark-submit boardwalk/app.py --source kafka \\
-        --updates-option kafka.bootstrap.servers=HOST:9094 --updates-option subscribe=trip_update_topic \\
-        --status-option  kafka.bootstrap.servers=HOST:9094 --status-option  subscribe=trip_status_topic \\
-        --sink upsert --path s3://bucket/board --checkpoint s3://bucket/board-ckpt
+        --updates-option kafka.bootstrap.servers=HOST:9094 --updates-option subscribe=trip_updates \\
+        --status-option  kafka.bootstrap.servers=HOST:9094 --status-option  subscribe=trip_status \\
+        --sink upsert --path <shared>/board --checkpoint <shared>/board-ckpt
 
 Connection settings and credentials come from options or the Spark
 configuration; nothing is written into code. The checkpoint decides the
