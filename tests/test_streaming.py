@@ -13,7 +13,7 @@ from boardwalk.plans.board_plan import FIXTURE_CLOCK, board_from_messages, feeds
 from boardwalk.plans.registered import stream_append, stream_upsert
 from boardwalk.session import list_dir, shared_dir
 from boardwalk.sources.envelope import read_envelope
-from boardwalk.streaming import AVAILABLE_NOW, UpsertTable, board_stream, write_append
+from boardwalk.streaming import AVAILABLE_NOW, UpsertTable, board_stream, write_append, write_upsert
 from conftest import SF_SMALL, rows
 
 
@@ -164,3 +164,55 @@ def test_producer_stream_splits_and_publishes(spark):
         g = got.where(F.col("topic") == t).select("key", "value")
         w = want.where(F.col("topic") == t).select("key", "value")
         assert rows(g) == rows(w), t
+
+
+def test_upsert_stream_recovers_from_a_failed_commit(spark, monkeypatch):
+    """The first manifest write fails after the data files are written (as
+    if the driver died mid-commit): the query fails, a restart from the
+    checkpoint replays the batch, and the table ends exactly right."""
+    import pytest
+    from pyspark.errors import StreamingQueryException
+
+    from boardwalk.streaming import upsert as upsert_mod
+
+    root = f"{shared_dir(spark)}/test-fail-{uuid.uuid4().hex[:8]}"
+    msgs = messages(spark, SF_SMALL)
+    for t in ("trip_updates", "trip_status"):
+        msgs.where(F.col("topic") == t).select("key", "value", "ingest_ts").write.json(f"{root}/in/{t}")
+    real = upsert_mod.write_text_atomic
+    calls = {"n": 0}
+
+    def flaky(spark_, path, text):
+        calls["n"] += 1
+        if calls["n"] == 1:
+            raise OSError("simulated failure before the manifest")
+        return real(spark_, path, text)
+
+    monkeypatch.setattr(upsert_mod, "write_text_atomic", flaky)
+
+    def run():
+        b = board_stream(read_envelope(spark, "json", path=f"{root}/in/trip_updates"),
+                         read_envelope(spark, "json", path=f"{root}/in/trip_status"),
+                         clock=FIXTURE_CLOCK, keep_order=True)
+        q = write_upsert(b, f"{root}/table", f"{root}/ckpt", trigger=AVAILABLE_NOW, buckets=4)
+        q.awaitTermination()
+
+    with pytest.raises(StreamingQueryException, match="simulated failure"):
+        run()
+    t = UpsertTable(spark, f"{root}/table", key="tripId", order=schemas.LATEST_ORDER)
+    assert t.read() is None  # nothing visible: no manifest was committed
+    run()
+    want = latest_per_key(trip_board(spark, SF_SMALL), "tripId", ["currentTime"])
+    assert rows(t.read().select(*schemas.BOARD_COLUMNS)) == rows(want)
+
+
+def test_salted_stream_join_equals_plain(spark):
+    root = f"{shared_dir(spark)}/test-salt-{uuid.uuid4().hex[:8]}"
+    msgs = messages(spark, SF_SMALL)
+    for t in ("trip_updates", "trip_status"):
+        msgs.where(F.col("topic") == t).select("key", "value", "ingest_ts").write.json(f"{root}/in/{t}")
+    b = board_stream(read_envelope(spark, "json", path=f"{root}/in/trip_updates"),
+                     read_envelope(spark, "json", path=f"{root}/in/trip_status"), clock=FIXTURE_CLOCK, salt=3)
+    write_append(b, f"{root}/out", f"{root}/ckpt", trigger=AVAILABLE_NOW).awaitTermination()
+    got = spark.read.schema(schemas.BOARD).parquet(f"{root}/out")
+    assert rows(got) == rows(trip_board(spark, SF_SMALL))
