@@ -52,6 +52,9 @@ def start_producer(spark: SparkSession, args: argparse.Namespace):
 
 
 def start(spark: SparkSession, args: argparse.Namespace):
+    if args.state_partitions:
+        # Read by a query's first start only; a checkpoint keeps its own count.
+        spark.conf.set("spark.sql.shuffle.partitions", str(args.state_partitions))
     if args.role == "producer":
         if args.sink not in ("kafka", "files"):
             raise SystemExit("a producer publishes to --sink kafka or --sink files")
@@ -92,6 +95,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--bound", default=None, help="e.g. '1 hour': watermarked, time-bounded join")
     p.add_argument("--salt", type=int, default=1)
     p.add_argument("--buckets", type=int, default=None)
+    p.add_argument("--state-partitions", type=int, default=None,
+                   help="join state partitions of a fresh checkpoint (see session.scale_settings)")
     p.add_argument("--retain", type=int, default=10)
     p.add_argument("--register-as", default=None)
     p.add_argument("--query-name", default="trip_board")
