@@ -6,7 +6,8 @@ the feed must be a code change, and inference would need a pass over the data.
 
 from pyspark.sql import types as T
 
-# The four fields that identify a trip in both message kinds; the join key.
+# The field names and types of the feed messages below are the
+# feed's wire format, and the four trip fields are the join key of the board.
 TRIP_KEYS = ["tripId", "routeId", "startTime", "startDate"]
 
 TRIP = T.StructType(
@@ -75,7 +76,7 @@ ENVELOPE = T.StructType(
     ]
 )
 
-# The trip board, in output order.
+# The trip board's column names, in output order.
 BOARD_COLUMNS = [
     "tripId",
     "routeId",

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from boardwalk import schemas
 from boardwalk.streaming.upsert import UpsertTable
 
-# The original's micro-batch interval.
+# Fixed value: the micro-batch interval of the original.
 DEFAULT_TRIGGER = "10 seconds"
 AVAILABLE_NOW = "available_now"
 
