@@ -145,6 +145,7 @@ def _replay(spark: SparkSession, sf_dir: str, name: str, slices, start) -> FeedR
         with r.sized_state():
             q = start(r)
         q.awaitTermination()
+    r.release_inputs()
     return r
 
 

@@ -15,7 +15,7 @@ from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from boardwalk.session import list_dir, shared_dir
+from boardwalk.session import delete_path, list_dir, shared_dir
 from boardwalk.sources.envelope import read_envelope
 from boardwalk.sources.fixtures import STATUS_TOPIC, UPDATES_TOPIC
 
@@ -87,6 +87,13 @@ class FeedReplay:
         finally:
             self.spark.conf.set(key, old)
 
+    def release_inputs(self) -> None:
+        """Drop the staged feed, the delivered input and the checkpoint once
+        the replay is over; the sink's output (which carries its own commit
+        log) is all that is read afterwards."""
+        for part in ("stage", "in", "ckpt"):
+            delete_path(self.spark, self.path(part))
+
     def envelopes(self, topic_name: str) -> DataFrame:
         """Streaming envelopes of one topic from its input folder."""
         d = self.path("in", topic_name)
