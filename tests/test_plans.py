@@ -117,3 +117,12 @@ def test_pushed_q7_filter_stays_linear_in_size(spark):
     for name, limit in (("q7_minutes_to_next", 12), ("q7_minutes_boundary", 8)):
         plan = optimized(registry()[name](spark, SF_SMALL))
         assert plan.count("convert_timezone") <= limit, (name, plan.count("convert_timezone"))
+
+
+def test_q9_on_a_board_table_pushes_the_first_clock_to_the_scan(spark):
+    path = f"{shared_dir(spark)}/test-q9-{uuid.uuid4().hex[:8]}"
+    trip_board(spark, SF_SMALL).write.parquet(path)
+    b = read_board(spark, path)
+    q = adhoc.q9_first_snapshot_pruned(b)
+    assert "PushedFilters: [IsNotNull(currentTime), EqualTo(currentTime," in physical(q)
+    assert rows(q) == rows(adhoc.q9_first_snapshot(b)) == rows(adhoc.q9_rank_form(b))
