@@ -64,3 +64,19 @@ def test_scale_settings_grow_with_input():
     assert small["spark.sql.shuffle.partitions"] == "200"
     assert int(big["spark.sql.shuffle.partitions"]) == 50 * 1024**4 // 4 // (256 * 1024**2)
     assert scale_settings(100 * 1024**4)["spark.sql.shuffle.partitions"] == "100000"  # capped
+
+
+def test_sql_forms_equal_dataframe_forms(spark):
+    from boardwalk.plans import adhoc
+    from boardwalk.plans.sql import SQL, run_sql
+
+    board = trip_board(spark, SF_SMALL)
+    register_board(spark, board, "board_sql")
+    window = {"lo": "1998-01-01 00:00:00", "hi": "1998-06-30 18:00:00"}
+    for name in SQL:
+        params = window if name == "q5_started_between" else {}
+        got = run_sql(spark, name, "board_sql", **params)
+        fn = adhoc.QUERIES[name]
+        want = fn(board, **params) if params else fn(board)
+        assert got.columns == want.columns, name
+        assert rows(got) == rows(want), name
