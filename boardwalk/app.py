@@ -71,7 +71,7 @@ def start(spark: SparkSession, args: argparse.Namespace):
         return write_append(board, args.path, args.checkpoint, trigger=args.trigger, query_name=args.query_name)
     return write_upsert(
         board, args.path, args.checkpoint, buckets=args.buckets, retain=args.retain,
-        trigger=args.trigger, query_name=args.query_name, register_as=args.register_as,
+        trigger=args.trigger, query_name=args.query_name, register_as=args.register_as, merge_into=args.merge_into,
     )
 
 
@@ -99,6 +99,7 @@ def parser() -> argparse.ArgumentParser:
                    help="join state partitions of a fresh checkpoint (see session.scale_settings)")
     p.add_argument("--retain", type=int, default=10)
     p.add_argument("--register-as", default=None)
+    p.add_argument("--merge-into", default=None, help="upsert into this catalog table with MERGE (Delta/Iceberg/Hudi)")
     p.add_argument("--query-name", default="trip_board")
     return p
 

@@ -2,7 +2,7 @@
 
 from boardwalk.streaming.board_stream import board_stream
 from boardwalk.streaming.replay import FeedReplay
-from boardwalk.streaming.sinks import AVAILABLE_NOW, publish, publish_stream, write_append, write_upsert
+from boardwalk.streaming.sinks import AVAILABLE_NOW, merge_latest, publish, publish_stream, write_append, write_upsert
 from boardwalk.streaming.upsert import UpsertTable
 
-__all__ = ["AVAILABLE_NOW", "FeedReplay", "UpsertTable", "board_stream", "publish", "publish_stream", "write_append", "write_upsert"]
+__all__ = ["AVAILABLE_NOW", "FeedReplay", "UpsertTable", "board_stream", "merge_latest", "publish", "publish_stream", "write_append", "write_upsert"]

@@ -80,3 +80,20 @@ def test_sql_forms_equal_dataframe_forms(spark):
         want = fn(board, **params) if params else fn(board)
         assert got.columns == want.columns, name
         assert rows(got) == rows(want), name
+
+
+def test_merge_latest_reaches_the_catalog_and_cleans_up(spark):
+    """No MERGE-capable format is installed: the statement reaches Spark,
+    which rejects it for a Parquet table, and the batch view is dropped."""
+    import pytest
+
+    from boardwalk import schemas as sch
+    from boardwalk.plans.board_plan import board_from_messages
+    from boardwalk.streaming import merge_latest
+
+    b = board_from_messages(messages(spark, SF_SMALL), keep_order=True)
+    spark.sql("DROP TABLE IF EXISTS merge_target")
+    b.limit(0).write.saveAsTable("merge_target")
+    with pytest.raises(Exception, match="MERGE|UNSUPPORTED"):
+        merge_latest(b, "merge_target", "tripId", sch.LATEST_ORDER)
+    assert not [t for t in spark.catalog.listTables() if t.name.startswith("_boardwalk_batch_")]
