@@ -92,8 +92,8 @@ def test_merge_latest_reaches_the_catalog_and_cleans_up(spark):
     from boardwalk.streaming import merge_latest
 
     b = board_from_messages(messages(spark, SF_SMALL), keep_order=True)
-    spark.sql("DROP TABLE IF EXISTS merge_target")
-    b.limit(0).write.saveAsTable("merge_target")
+    name = f"merge_target_{uuid.uuid4().hex[:8]}"
+    b.limit(0).write.option("path", f"{shared_dir(spark)}/{name}").saveAsTable(name)
     with pytest.raises(Exception, match="MERGE|UNSUPPORTED"):
-        merge_latest(b, "merge_target", "tripId", sch.LATEST_ORDER)
+        merge_latest(b, name, "tripId", sch.LATEST_ORDER)
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("_boardwalk_batch_")]
