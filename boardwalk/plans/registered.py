@@ -174,7 +174,10 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     r = _replay(spark, sf_dir, "stream_upsert", _trip_slices, start)
     t = UpsertTable(spark, r.path("table"), key="tripId", order=schemas.LATEST_ORDER)
-    return t.read().select(*schemas.BOARD_COLUMNS)
+    table = t.read()
+    if table is None:  # nothing committed: an empty feed
+        return spark.createDataFrame([], schemas.BOARD)
+    return table.select(*schemas.BOARD_COLUMNS)
 
 
 def registry() -> dict[str, Query]:
