@@ -11,7 +11,6 @@ the query from its checkpoint between slices.
 from __future__ import annotations
 
 import uuid
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
@@ -28,6 +27,7 @@ class FeedReplay:
     def __init__(self, spark: SparkSession, name: str, root: str | None = None):
         self.spark = spark
         self.root = root or f"{shared_dir(spark)}/boardwalk/{name}-{uuid.uuid4().hex[:12]}"
+        self._stream_spark: SparkSession | None = None
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
@@ -74,18 +74,20 @@ class FeedReplay:
         wanted = -(-self.staged_bytes() // target_bytes)
         return max(1, min(session, max(cores, wanted)))
 
-    @contextmanager
-    def sized_state(self):
-        """Start a query with :meth:`state_partitions`; the session's own
-        setting is restored once the query has started (a stream copies the
-        session's settings when it starts)."""
-        key = "spark.sql.shuffle.partitions"
-        old = self.spark.conf.get(key)
-        self.spark.conf.set(key, str(self.state_partitions()))
-        try:
-            yield
-        finally:
-            self.spark.conf.set(key, old)
+    def stream_session(self) -> SparkSession:
+        """The session the replay's streams run in: the caller's settings,
+        with state partitions sized to the feed (:meth:`state_partitions`).
+        A separate session, so the caller's settings are never changed."""
+        if self._stream_spark is None:
+            s = self.spark.newSession()
+            for k, v in self.spark.conf.getAll.items():
+                try:
+                    s.conf.set(k, v)
+                except Exception:  # static settings: shared through the context already
+                    pass
+            s.conf.set("spark.sql.shuffle.partitions", str(self.state_partitions()))
+            self._stream_spark = s
+        return self._stream_spark
 
     def release_inputs(self) -> None:
         """Drop the staged feed, the delivered input and the checkpoint once
@@ -95,9 +97,10 @@ class FeedReplay:
             delete_path(self.spark, self.path(part))
 
     def envelopes(self, topic_name: str) -> DataFrame:
-        """Streaming envelopes of one topic from its input folder."""
+        """Streaming envelopes of one topic from its input folder, in the
+        replay's stream session."""
         d = self.path("in", topic_name)
         jvm = self.spark.sparkContext._jvm
         p = jvm.org.apache.hadoop.fs.Path(d)
         p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
-        return read_envelope(self.spark, "json", path=d)
+        return read_envelope(self.stream_session(), "json", path=d)
