@@ -64,9 +64,12 @@ def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
     scan with projections and filters only: building its RDD then computes
     the file splits and runs nothing."""
     spark = df.sparkSession
-    if df._jdf.queryExecution().executedPlan().execute().getNumPartitions() < spark.sparkContext.defaultParallelism:
+    try:
+        splits = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
+        cores = spark.sparkContext.defaultParallelism
+    except AttributeError:  # no JVM handle (Spark Connect): spread
         return df.repartition(F.col(key))
-    return df
+    return df.repartition(F.col(key)) if splits < cores else df
 
 
 def trip_stops(lineitem: DataFrame) -> DataFrame:
