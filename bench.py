@@ -50,6 +50,7 @@ def main() -> None:
     reg = registry()
     names = only or HEADLINE
     results: dict[str, float] = {}
+    fastest: dict[str, float] = {}
     rows: dict[str, int] = {}
     for name in names:
         fn = reg[name]
@@ -68,12 +69,14 @@ def main() -> None:
             if n is not None:
                 rows[name] = n
         results[name] = round(statistics.median(times), 3)
+        fastest[name] = round(min(times), 3)
     sf = os.path.basename(sf_dir).replace("sf", "")
     out = {
         "metric": "headline_total",
         "value": round(sum(results.values()), 3),
         "unit": "sec",
         "queries": results,
+        "queries_min": fastest,
         "sf": float(sf) if sf.replace(".", "", 1).isdigit() else sf,
         "cpus": cpus,
         "repeat": repeat,
