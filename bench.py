@@ -4,8 +4,9 @@
 
 Each query is fully computed (``noop`` sink: every row produced, nothing
 collected to the driver), after one warm-up run, ``BENCH_REPEAT`` times; the
-median is reported. Streaming queries run the whole replay (stage, three
-restarts, sink) per repetition. Prints ONE JSON line.
+median is reported (``queries``) and the fastest run (``queries_min``), since
+timings on a shared machine vary. Streaming queries run the whole replay
+(stage, three restarts, sink) per repetition. Prints ONE JSON line.
 """
 
 from __future__ import annotations
