@@ -8,7 +8,9 @@ from pyspark.sql import SparkSession
 
 # Settings every job of the engine relies on. AQE re-plans joins and
 # aggregations from runtime sizes (coalescing small partitions, splitting
-# skewed ones); RocksDB keeps streaming join state off the JVM heap.
+# skewed ones); RocksDB keeps streaming join state off the JVM heap, and with
+# changelog checkpointing a micro-batch uploads only its changes instead of
+# snapshot files of a join state that only grows.
 ENGINE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -17,6 +19,7 @@ ENGINE_CONF = {
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
