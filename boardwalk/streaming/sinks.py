@@ -1,13 +1,13 @@
-"""Stream sinks of the board: append to Parquet, or keep the latest row per
-trip (upsert) through ``foreachBatch``."""
+"""Stream sinks: the board appended to Parquet, or kept as the latest row
+per trip (upsert) through ``foreachBatch``; and message publishing."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-import uuid
-
 from boardwalk import schemas
 from boardwalk.operators.latest import latest_per_key
 from boardwalk.streaming.upsert import UpsertTable
