@@ -102,17 +102,20 @@ def epoch_text_seconds(text: Column | str) -> Column:
     fallback = F.when(
         t.contains(".") & frac.rlike("^[0-9]*$") & whole.rlike("^[+-]?[0-9]+$"), whole.try_cast("bigint")
     )
-    return F.coalesce(t.try_cast("bigint"), fallback)
+    # try_cast itself ignores surrounding blanks; the fallback runs only on failure
+    return F.coalesce(_col(text).try_cast("bigint"), fallback)
 
 
 def epoch_text_to_utc(text: Column | str) -> Column:
     """Epoch seconds as text (protobuf JSON prints int64 as text) to UTC wall
     time; null for text that is not a number or out of range."""
     secs = epoch_text_seconds(text)
-    return F.when(
-        secs.between(_MIN_EPOCH_S, _MAX_EPOCH_S),
-        F.timestamp_add("SECOND", secs, epoch_ntz()),
-    )
+    # One comparison, in double so that no input can overflow (secs appears
+    # twice in all, not three times). Midpoint and half-width are exact in
+    # double, so the bounds stay exact.
+    mid, half = (_MIN_EPOCH_S + _MAX_EPOCH_S) / 2, (_MAX_EPOCH_S - _MIN_EPOCH_S) / 2
+    in_range = F.abs(secs.cast("double") - F.lit(mid)) <= F.lit(half)
+    return F.when(in_range, F.timestamp_add("SECOND", secs, epoch_ntz()))
 
 
 def instant_to_utc(ts: Column | str) -> Column:

@@ -204,3 +204,13 @@ def test_epoch_text_is_read_like_the_original_cast(spark):
     df = spark.createDataFrame([(c,) for c in cases], "t string")
     got = [r[0] for r in df.select(epoch_text_seconds("t")).collect()]
     assert got == [1665590000, 1665590000, 1665590000, 1665590000, -12, 1665590000, None, None, None, None, None]
+
+
+def test_epoch_range_bounds_and_overflow(spark):
+    from boardwalk.functions import epoch_text_to_utc
+
+    cases = ["-62135596800", "-62135596801", "253402300799", "253402300800", "9223372036854775807", "-9223372036854775808"]
+    df = spark.createDataFrame([(c,) for c in cases], "t string")
+    got = [r[0] for r in df.select(epoch_text_to_utc("t")).collect()]
+    assert got[0] == dt.datetime(1, 1, 1, 0, 0, 0) and got[2] == dt.datetime(9999, 12, 31, 23, 59, 59)
+    assert got[1] is None and got[3] is None and got[4] is None and got[5] is None
