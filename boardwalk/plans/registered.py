@@ -132,6 +132,8 @@ def _time_slices(msgs: DataFrame) -> Column:
     """Three slices in ingest-time order, as a live feed arrives."""
     secs = unix_seconds_of(F.col("ingest_ts"))
     lo, hi = msgs.agg(F.min(secs), F.max(secs)).first()
+    if lo is None:  # an empty feed: one (empty) slice
+        return F.lit(0)
     width = max(1, (hi - lo) // 3 + 1)
     return F.floor((secs - F.lit(lo)) / F.lit(width))
 
