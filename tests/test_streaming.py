@@ -236,3 +236,15 @@ def test_app_bounded_salted_instant_mode_equals_batch(spark):
     # the CLI stamps rows with the batch clock; compare everything else
     cols = [c for c in schemas.BOARD_COLUMNS if c != "currentTime"]
     assert rows(got.select(*cols)) == rows(want.select(*cols))
+
+
+def test_registered_streams_on_an_empty_feed(spark, tmp_path):
+    """Tables with no orders: every stream entry returns an empty board."""
+    from boardwalk.plans.registered import stream_append, stream_join_bounded, stream_upsert
+
+    d = str(tmp_path)
+    for t in ("orders", "lineitem"):
+        spark.read.parquet(f"{SF_SMALL}/{t}.parquet").limit(0).write.parquet(f"{d}/{t}.parquet")
+    for fn in (stream_append, stream_join_bounded, stream_upsert):
+        out = fn(spark, d)
+        assert out.count() == 0 and out.columns == schemas.BOARD_COLUMNS, fn.__name__
