@@ -42,6 +42,7 @@ _MANIFEST = T.StructType(
         T.StructField("version", T.LongType()),
         T.StructField("writer", T.StringType()),
         T.StructField("batch_id", T.LongType()),
+        T.StructField("buckets", T.IntegerType()),
     ]
 )
 
@@ -60,11 +61,21 @@ class UpsertTable:
         self.path = path.rstrip("/")
         self.key = key
         self.order = list(order)
-        self.buckets = int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
         self.retain = max(1, retain)
         # Manifests never change once written; the single writer reads each
         # one from storage at most once.
         self._manifests: dict[int, list[T.Row]] = {}
+        # The bucket count is part of the table: a key must stay in its bucket
+        # for the table's life, so an existing table keeps the count it was
+        # created with, whatever the session's settings are now.
+        stored = {r.buckets for r in self.manifest() if r.buckets is not None}
+        if stored:
+            (count,) = stored
+            if buckets is not None and int(buckets) != count:
+                raise ValueError(f"table at {self.path} has {count} buckets, not {buckets}")
+            self.buckets = count
+        else:
+            self.buckets = int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
 
     # -- versions and manifests -------------------------------------------------
     def versions(self) -> list[int]:
@@ -150,8 +161,8 @@ class UpsertTable:
             for b in touched:
                 current[b] = version
             last[writer] = batch_id
-            manifest = [(b, v, None, None) for b, v in sorted(current.items())]
-            manifest += [(None, None, w, i) for w, i in sorted(last.items())]
+            manifest = [(b, v, None, None, self.buckets) for b, v in sorted(current.items())]
+            manifest += [(None, None, w, i, self.buckets) for w, i in sorted(last.items())]
             rows_out = [dict(zip(_MANIFEST.names, m)) for m in manifest]
             write_text_atomic(self.spark, self._manifest_path(version), "\n".join(json.dumps(r) for r in rows_out) + "\n")
             self._manifests[version] = [T.Row(**r) for r in rows_out]

@@ -214,3 +214,15 @@ def test_epoch_range_bounds_and_overflow(spark):
     got = [r[0] for r in df.select(epoch_text_to_utc("t")).collect()]
     assert got[0] == dt.datetime(1, 1, 1, 0, 0, 0) and got[2] == dt.datetime(9999, 12, 31, 23, 59, 59)
     assert got[1] is None and got[3] is None and got[4] is None and got[5] is None
+
+
+def test_stop_count_is_zero_for_null_with_ansi_off(spark):
+    from boardwalk.functions import stop_count
+
+    df = spark.createDataFrame([(None,), ([],), (["a", None],)], "a array<string>")
+    try:
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        assert [r[0] for r in df.select(stop_count("a")).collect()] == [0, 0, 2]
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")
+    assert [r[0] for r in df.select(stop_count("a")).collect()] == [0, 0, 2]

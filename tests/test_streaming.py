@@ -248,3 +248,23 @@ def test_registered_streams_on_an_empty_feed(spark, tmp_path):
     for fn in (stream_append, stream_join_bounded, stream_upsert):
         out = fn(spark, d)
         assert out.count() == 0 and out.columns == schemas.BOARD_COLUMNS, fn.__name__
+
+
+def test_upsert_table_keeps_its_bucket_count(spark):
+    import pytest
+
+    t = _table(spark)  # 4 buckets
+    parts = _slices(spark)
+    t.commit(parts[0], 0)
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "7")
+        again = UpsertTable(spark, t.path, key="tripId", order=schemas.LATEST_ORDER)
+        assert again.buckets == 4
+        again.commit(parts[3], 1)
+        table = again.read()
+        assert table.count() == table.select("tripId").distinct().count()
+        with pytest.raises(ValueError, match="buckets"):
+            UpsertTable(spark, t.path, key="tripId", order=schemas.LATEST_ORDER, buckets=9)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
