@@ -13,8 +13,8 @@ def _col(c: Column | str) -> Column:
 
 def stop_count(arr: Column | str) -> Column:
     """Length of the array, counting null elements; 0 for a null array in
-    either ANSI mode (``size(null)`` is null with ANSI on, -1 with it off)."""
-    return F.greatest(F.coalesce(F.size(_col(arr)), F.lit(0)), F.lit(0))
+    either ANSI mode (``array_size(null)`` is null in both, unlike ``size``)."""
+    return F.coalesce(F.array_size(_col(arr)), F.lit(0))
 
 
 def first_item(arr: Column | str) -> Column:

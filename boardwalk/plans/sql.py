@@ -24,7 +24,7 @@ SQL = {
     "q1_all": "SELECT * FROM {board}",
     "q2_count": "SELECT count(tripId) AS numOfTrips FROM {board}",
     "q3_first_rows": f"SELECT {_Q3_COLS} FROM {{board}} ORDER BY {_Q3_ORDER} LIMIT 10",
-    "q4_trips_per_route": "SELECT routeId, count(tripId) AS numOfTrips FROM {board} GROUP BY routeId ORDER BY routeId",
+    "q4_trips_per_route": "SELECT routeId, count(tripId) AS numOfTrips FROM {board} GROUP BY routeId ORDER BY routeId NULLS LAST",
     "q5_started_between": (
         "SELECT count(tripId) AS numOfTrips, routeId FROM {board} "
         "WHERE startTime BETWEEN TIMESTAMP_NTZ '{lo}' AND TIMESTAMP_NTZ '{hi}' "

@@ -107,6 +107,24 @@ def list_dir(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p))
 
 
+def make_dirs(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+
+
+def move(spark: SparkSession, src: str, dst: str) -> None:
+    """Rename a file or folder; raises when the file system refuses."""
+    fs, s = _fs(spark, src)
+    _, d = _fs(spark, dst)
+    if not fs.rename(s, d):
+        raise OSError(f"could not move {src} to {dst}")
+
+
+def content_bytes(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     if fs.exists(p):

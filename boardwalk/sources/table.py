@@ -21,11 +21,20 @@ def register_board(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def _quote(name: str) -> str:
+    return ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
+
+
 def register_board_path(spark: SparkSession, path: str, name: str) -> None:
     """Catalog table over an append-sink folder, like an external schema:
-    ``name`` may be ``database.table``; the database is created when absent
-    and the table is replaced (its files are left alone)."""
+    ``name`` may be ``database.table``; the database is created when absent.
+    An existing external table of that name is replaced (its files stay); a
+    managed table is refused, since dropping it would delete its data."""
     if "." in name:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.', 1)[0]}")
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{path}'")
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quote(name.rsplit('.', 1)[0])}")
+    if spark.catalog.tableExists(name):
+        if spark.catalog.getTable(name).tableType == "MANAGED":
+            raise ValueError(f"{name} is a managed table: dropping it would delete its data")
+        spark.sql(f"DROP TABLE {_quote(name)}")
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE TABLE {_quote(name)} USING parquet LOCATION '{location}'")

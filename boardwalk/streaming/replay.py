@@ -14,7 +14,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from boardwalk.session import delete_path, list_dir, shared_dir
+from boardwalk.session import content_bytes, delete_path, list_dir, make_dirs, move, shared_dir
 from boardwalk.sources.envelope import read_envelope
 from boardwalk.sources.fixtures import STATUS_TOPIC, UPDATES_TOPIC
 
@@ -46,23 +46,16 @@ class FeedReplay:
 
     def deliver(self, slice_id: int) -> None:
         """Move the files of one slice into the input folders."""
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
         for t in TOPICS:
             src = self.path("stage", f"topic={t}", f"slice={slice_id}")
             dst = self.path("in", t)
-            dst_p = jvm.org.apache.hadoop.fs.Path(dst)
-            fs = dst_p.getFileSystem(conf)
-            fs.mkdirs(dst_p)
+            make_dirs(self.spark, dst)
             for name in list_dir(self.spark, src):
                 if name.startswith("part-"):
-                    fs.rename(jvm.org.apache.hadoop.fs.Path(f"{src}/{name}"), jvm.org.apache.hadoop.fs.Path(f"{dst}/s{slice_id}-{name}"))
+                    move(self.spark, f"{src}/{name}", f"{dst}/s{slice_id}-{name}")
 
     def staged_bytes(self) -> int:
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(self.path("stage"))
-        fs = p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+        return content_bytes(self.spark, self.path("stage"))
 
     def state_partitions(self, target_bytes: int = 64 * 1024 * 1024) -> int:
         """State partitions sized to the feed: one per ``target_bytes`` of
@@ -100,7 +93,5 @@ class FeedReplay:
         """Streaming envelopes of one topic from its input folder, in the
         replay's stream session."""
         d = self.path("in", topic_name)
-        jvm = self.spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(d)
-        p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
+        make_dirs(self.spark, d)
         return read_envelope(self.stream_session(), "json", path=d)

@@ -3,6 +3,7 @@ per trip (upsert) through ``foreachBatch``; and message publishing."""
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from boardwalk import schemas
 from boardwalk.operators.latest import latest_per_key
+from boardwalk.session import read_text
 from boardwalk.streaming.upsert import UpsertTable
 
 # Fixed value: the micro-batch interval of the original.
@@ -80,14 +82,25 @@ def write_upsert(
     after a failure never applies a batch twice. ``register_as`` publishes
     the committed version as the global view ``global_temp.<name>`` after
     every commit, so SQL in any session of the application sees it."""
-    table = UpsertTable(board.sparkSession, path, key=key, order=order or schemas.LATEST_ORDER, buckets=buckets, retain=retain)
-    writer_id = checkpoint
+    spark = board.sparkSession
+    order = order or schemas.LATEST_ORDER
+    table = None if merge_into else UpsertTable(spark, path, key=key, order=order, buckets=buckets, retain=retain)
+    writer: dict[str, str] = {}
+
+    def writer_id() -> str:
+        # The query id is written to the checkpoint's metadata file at start,
+        # before any batch: a checkpoint recreated at the same path is a new
+        # writer, so its batch ids (from 0 again) are not taken for replays.
+        if "id" not in writer:
+            meta = json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata").splitlines()[0])
+            writer["id"] = f"{checkpoint}#{meta['id']}"
+        return writer["id"]
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         if merge_into:
-            merge_latest(batch, merge_into, key, order or schemas.LATEST_ORDER)
+            merge_latest(batch, merge_into, key, order)
             return
-        if table.commit(batch, batch_id, writer_id) is not None and register_as:
+        if table.commit(batch, batch_id, writer_id()) is not None and register_as:
             current = table.read()
             if current is not None:
                 current.select(*schemas.BOARD_COLUMNS).createOrReplaceGlobalTempView(register_as)

@@ -97,3 +97,18 @@ def test_merge_latest_reaches_the_catalog_and_cleans_up(spark):
     with pytest.raises(Exception, match="MERGE|UNSUPPORTED"):
         merge_latest(b, name, "tripId", sch.LATEST_ORDER)
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("_boardwalk_batch_")]
+
+
+def test_register_board_path_refuses_a_managed_table(spark):
+    import pytest
+
+    name = f"managed_{uuid.uuid4().hex[:8]}"
+    spark.range(3).write.option("path", f"{shared_dir(spark)}/{name}-data").saveAsTable(name)  # external: replaced
+    path = f"{shared_dir(spark)}/test-reg2-{uuid.uuid4().hex[:8]}"
+    trip_board(spark, SF_SMALL).write.parquet(path)
+    register_board_path(spark, path, name)
+    assert spark.table(name).count() == trip_board(spark, SF_SMALL).count()
+    managed = f"managed_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE TABLE {managed} (x INT) USING parquet")
+    with pytest.raises(ValueError, match="managed"):
+        register_board_path(spark, path, managed)

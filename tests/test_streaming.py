@@ -268,3 +268,33 @@ def test_upsert_table_keeps_its_bucket_count(spark):
             UpsertTable(spark, t.path, key="tripId", order=schemas.LATEST_ORDER, buckets=9)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def test_upsert_with_a_recreated_checkpoint_is_a_new_writer(spark):
+    """Batch ids restart at 0 under a checkpoint recreated at the same path;
+    they must be applied, not taken for replays of the old query's batches."""
+    from boardwalk.session import delete_path
+
+    root = f"{shared_dir(spark)}/test-reckpt-{uuid.uuid4().hex[:8]}"
+    msgs = messages(spark, SF_SMALL)
+    k = F.col("key").cast("bigint")
+
+    def add(part):
+        for t in ("trip_updates", "trip_status"):
+            part_msgs = msgs.where((F.col("topic") == t) & (F.pmod(k, F.lit(2)) == part))
+            part_msgs.select("key", "value", "ingest_ts").write.mode("append").json(f"{root}/in{part}/{t}")
+
+    def run(part):
+        b = board_stream(read_envelope(spark, "json", path=f"{root}/in{part}/trip_updates"),
+                         read_envelope(spark, "json", path=f"{root}/in{part}/trip_status"),
+                         clock=FIXTURE_CLOCK, keep_order=True)
+        write_upsert(b, f"{root}/table", f"{root}/ckpt", trigger=AVAILABLE_NOW, buckets=4).awaitTermination()
+
+    add(0)
+    run(0)
+    delete_path(spark, f"{root}/ckpt")  # the operator starts over at the same path
+    add(1)
+    run(1)
+    t = UpsertTable(spark, f"{root}/table", key="tripId", order=schemas.LATEST_ORDER)
+    want = latest_per_key(trip_board(spark, SF_SMALL), "tripId", ["currentTime"])
+    assert rows(t.read().select(*schemas.BOARD_COLUMNS)) == rows(want)
