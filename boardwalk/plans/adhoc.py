@@ -128,8 +128,9 @@ def q9_first_snapshot_pruned(board: DataFrame) -> DataFrame:
 def q9_rank_form(board: DataFrame) -> DataFrame:
     """The literal form: global rank, keep rank 1. One partition holds the
     whole board during the rank; kept for parity checks on small data."""
-    # nulls last, as the minimum ignores them
-    ranked = board.withColumn("rnk", F.rank().over(Window.orderBy(F.col("currentTime").asc_nulls_last())))
+    # rows without a clock are left out, as the minimum ignores them
+    timed = board.where(F.col("currentTime").isNotNull())
+    ranked = timed.withColumn("rnk", F.rank().over(Window.orderBy("currentTime")))
     return _q9_sum(ranked.where(F.col("rnk") == 1))
 
 

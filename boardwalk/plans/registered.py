@@ -23,7 +23,6 @@ from boardwalk.plans import adhoc
 from boardwalk.plans.board_plan import FIXTURE_CLOCK, feeds, latest_trip_board, messages, table, trip_board
 from boardwalk.sources import feed_snapshots, parse_status, parse_updates, read_board
 from boardwalk.sources.fixtures import FEEDS, STATUS_TOPIC, UPDATES_TOPIC
-from boardwalk.session import path_exists
 from boardwalk.streaming import AVAILABLE_NOW, FeedReplay, UpsertTable, board_stream, write_append, write_upsert
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -151,20 +150,13 @@ def _replay(spark: SparkSession, sf_dir: str, name: str, slices, start, runs: in
     return r
 
 
-def _board_or_empty(spark: SparkSession, path: str) -> DataFrame:
-    """The append sink's folder; an empty board when no batch ever ran."""
-    if not path_exists(spark, path):
-        return spark.createDataFrame([], schemas.BOARD)
-    return read_board(spark, path)
-
-
 def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     def start(r: FeedReplay):
         b = board_stream(r.envelopes(UPDATES_TOPIC), r.envelopes(STATUS_TOPIC), clock=FIXTURE_CLOCK)
         return write_append(b, r.path("board"), r.path("ckpt"), trigger=AVAILABLE_NOW)
 
     r = _replay(spark, sf_dir, "stream_append", _trip_slices, start)
-    return _board_or_empty(spark, r.path("board"))
+    return read_board(spark, r.path("board"), missing_ok=True)
 
 
 def stream_join_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -173,7 +165,7 @@ def stream_join_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
         return write_append(b, r.path("board"), r.path("ckpt"), trigger=AVAILABLE_NOW)
 
     r = _replay(spark, sf_dir, "stream_join_bounded", _time_slices, start)
-    return _board_or_empty(spark, r.path("board"))
+    return read_board(spark, r.path("board"), missing_ok=True)
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from boardwalk import schemas
+from boardwalk.session import path_exists
 
 
-def read_board(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+def read_board(spark: SparkSession, path: str, fmt: str = "parquet", missing_ok: bool = False) -> DataFrame:
     """Scan a board written by the append sink (a Parquet folder) or any
     format Spark reads by path. The schema is declared, so no listing pass
-    is spent on inference; filters and projections reach the scan."""
+    is spent on inference; filters and projections reach the scan. With
+    ``missing_ok`` a folder that was never written (no batch ran) reads as an
+    empty board instead of an error."""
+    if missing_ok and not path_exists(spark, path):
+        return spark.createDataFrame([], schemas.BOARD)
     return spark.read.format(fmt).schema(schemas.BOARD).load(path)
 
 
@@ -27,14 +32,17 @@ def _quote(name: str) -> str:
 
 def register_board_path(spark: SparkSession, path: str, name: str) -> None:
     """Catalog table over an append-sink folder, like an external schema:
-    ``name`` may be ``database.table``; the database is created when absent.
-    An existing external table of that name is replaced (its files stay); a
-    managed table is refused, since dropping it would delete its data."""
+    ``name`` (unquoted parts) may be ``database.table``; the database is
+    created when absent. An existing external table of that name is replaced
+    (its files stay); anything else of that name (a managed table, whose data
+    a drop would delete, or a view) is refused."""
+    quoted = _quote(name)
     if "." in name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quote(name.rsplit('.', 1)[0])}")
-    if spark.catalog.tableExists(name):
-        if spark.catalog.getTable(name).tableType == "MANAGED":
-            raise ValueError(f"{name} is a managed table: dropping it would delete its data")
-        spark.sql(f"DROP TABLE {_quote(name)}")
+    if spark.catalog.tableExists(quoted):
+        kind = spark.catalog.getTable(quoted).tableType
+        if kind != "EXTERNAL":
+            raise ValueError(f"{name} exists as a {kind.lower()} object: not replaced")
+        spark.sql(f"DROP TABLE {quoted}")
     location = path.replace("\\", "\\\\").replace("'", "\\'")
-    spark.sql(f"CREATE TABLE {_quote(name)} USING parquet LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE {quoted} USING parquet LOCATION '{location}'")

@@ -3,9 +3,10 @@
 Kafka and Kinesis are not reachable in tests, so the feed is written by a
 Spark job into a staging folder (one subfolder per topic and slice) and then
 delivered into the stream's input folders by renaming files, which is how
-files are handed to a file-stream source safely (they appear whole). Each
-slice is then drained by one ``availableNow`` run of the stream, restarting
-the query from its checkpoint between slices.
+files are handed to a file-stream source safely (they appear whole). The
+caller delivers slices in groups, in slice order; each group is drained by
+one ``availableNow`` run, restarting the query from its checkpoint between
+groups.
 """
 
 from __future__ import annotations

@@ -92,8 +92,9 @@ def write_upsert(
         # before any batch: a checkpoint recreated at the same path is a new
         # writer, so its batch ids (from 0 again) are not taken for replays.
         if "id" not in writer:
-            meta = json.loads(read_text(spark, f"{checkpoint.rstrip('/')}/metadata").splitlines()[0])
-            writer["id"] = f"{checkpoint}#{meta['id']}"
+            ckpt = checkpoint.rstrip("/")
+            meta = json.loads(read_text(spark, f"{ckpt}/metadata").splitlines()[0])
+            writer["id"] = f"{ckpt}#{meta['id']}"
         return writer["id"]
 
     def merge(batch: DataFrame, batch_id: int) -> None:

@@ -68,14 +68,21 @@ class UpsertTable:
         # The bucket count is part of the table: a key must stay in its bucket
         # for the table's life, so an existing table keeps the count it was
         # created with, whatever the session's settings are now.
-        stored = {r.buckets for r in self.manifest() if r.buckets is not None}
+        explicit = int(buckets) if buckets else None  # 0 or None: the default
+        rows = self.manifest()
+        stored = {r.buckets for r in rows if r.buckets is not None}
         if stored:
             (count,) = stored
-            if buckets is not None and int(buckets) != count:
-                raise ValueError(f"table at {self.path} has {count} buckets, not {buckets}")
+            if explicit is not None and explicit != count:
+                raise ValueError(f"table at {self.path} has {count} buckets, not {explicit}")
             self.buckets = count
+        elif any(r.bucket is not None for r in rows):
+            # a table whose manifest does not record its count: only the caller knows it
+            if explicit is None:
+                raise ValueError(f"table at {self.path} does not record its bucket count: pass buckets=")
+            self.buckets = explicit
         else:
-            self.buckets = int(buckets or spark.conf.get("spark.sql.shuffle.partitions"))
+            self.buckets = explicit or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
     # -- versions and manifests -------------------------------------------------
     def versions(self) -> list[int]:
