@@ -99,7 +99,7 @@ def parser() -> argparse.ArgumentParser:
                    help="join state partitions of a fresh checkpoint (see session.scale_settings)")
     p.add_argument("--retain", type=int, default=10)
     p.add_argument("--register-as", default=None)
-    p.add_argument("--merge-into", default=None, help="upsert into this catalog table with MERGE (Delta/Iceberg/Hudi)")
+    p.add_argument("--merge-into", default=None, help="upsert into this catalog table with MERGE (Delta, Iceberg)")
     p.add_argument("--query-name", default="trip_board")
     return p
 

@@ -42,7 +42,7 @@ def write_append(
 
 def merge_latest(batch: DataFrame, table: str, key: str = "tripId", order: list[str] | None = None) -> None:
     """Upsert one batch into a catalog table whose format supports ``MERGE``
-    (Delta, Iceberg, Hudi): the batch is reduced to one row per key, and a
+    (Delta, Iceberg): the batch is reduced to one row per key, and a
     stored row is replaced only by a later one. Untested here: no such format
     is installed, and Parquet tables reject ``MERGE``."""
     order = order or schemas.LATEST_ORDER
