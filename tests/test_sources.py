@@ -112,3 +112,15 @@ def test_register_board_path_refuses_a_managed_table(spark):
     spark.sql(f"CREATE TABLE {managed} (x INT) USING parquet")
     with pytest.raises(ValueError, match="managed"):
         register_board_path(spark, path, managed)
+
+
+def test_q4_sql_and_dataframe_order_nulls_alike(spark):
+    from boardwalk.plans import adhoc
+    from boardwalk.plans.sql import run_sql
+
+    board = trip_board(spark, SF_SMALL)
+    with_null = board.unionByName(board.limit(3).withColumn("routeId", F.lit(None).cast("string")))
+    register_board(spark, with_null, "board_nulls")
+    got = [tuple(r) for r in run_sql(spark, "q4_trips_per_route", "board_nulls").collect()]
+    want = [tuple(r) for r in adhoc.q4_trips_per_route(with_null).collect()]
+    assert got == want and got[-1][0] is None
