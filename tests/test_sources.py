@@ -124,3 +124,13 @@ def test_q4_sql_and_dataframe_order_nulls_alike(spark):
     got = [tuple(r) for r in run_sql(spark, "q4_trips_per_route", "board_nulls").collect()]
     want = [tuple(r) for r in adhoc.q4_trips_per_route(with_null).collect()]
     assert got == want and got[-1][0] is None
+
+
+def test_read_board_missing_folder(spark):
+    import pytest
+
+    missing = f"{shared_dir(spark)}/never-written-{uuid.uuid4().hex[:8]}"
+    with pytest.raises(Exception):
+        read_board(spark, missing).count()
+    empty = read_board(spark, missing, missing_ok=True)
+    assert empty.count() == 0 and empty.columns == trip_board(spark, SF_SMALL).columns
