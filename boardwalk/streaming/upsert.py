@@ -145,26 +145,29 @@ class UpsertTable:
         reduced.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             touched = {r[0] for r in reduced.select(BUCKET).distinct().collect()}
+            if not touched:
+                # An empty batch (a stateful stream runs them to evict state)
+                # changes nothing; replaying it is harmless, so no version.
+                return None
             current = {r.bucket: r.version for r in rows if r.bucket is not None}
             version = (max(self.versions()) if rows else 0) + 1
-            if touched:
-                old_paths = self._bucket_paths(rows, only=touched)
-                merged = reduced
-                if old_paths:
-                    old = self._read_paths(old_paths, batch.schema).withColumn(BUCKET, self.bucket_of())
-                    merged = reduced.unionByName(old.select(*reduced.columns))
-                # Shuffle once by bucket; grouping by (bucket, key) reuses that
-                # partitioning, so each bucket is written by one task.
-                cols = [c for c in merged.columns if c not in (BUCKET, self.key)]
-                best = F.max_by(F.struct(*cols), F.struct(*[F.col(c) for c in self.order]))
-                out = (
-                    merged.repartition(max(1, len(touched)), BUCKET)
-                    .groupBy(BUCKET, self.key)
-                    .agg(best.alias("_r"))
-                    .select(self.key, "_r.*", BUCKET)
-                    .select(*batch.columns, BUCKET)
-                )
-                out.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/data/v={version}")
+            old_paths = self._bucket_paths(rows, only=touched)
+            merged = reduced
+            if old_paths:
+                old = self._read_paths(old_paths, batch.schema).withColumn(BUCKET, self.bucket_of())
+                merged = reduced.unionByName(old.select(*reduced.columns))
+            # Shuffle once by bucket; grouping by (bucket, key) reuses that
+            # partitioning, so each bucket is written by one task.
+            cols = [c for c in merged.columns if c not in (BUCKET, self.key)]
+            best = F.max_by(F.struct(*cols), F.struct(*[F.col(c) for c in self.order]))
+            out = (
+                merged.repartition(max(1, len(touched)), BUCKET)
+                .groupBy(BUCKET, self.key)
+                .agg(best.alias("_r"))
+                .select(self.key, "_r.*", BUCKET)
+                .select(*batch.columns, BUCKET)
+            )
+            out.write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/data/v={version}")
             for b in touched:
                 current[b] = version
             last[writer] = batch_id

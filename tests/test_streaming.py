@@ -298,3 +298,12 @@ def test_upsert_with_a_recreated_checkpoint_is_a_new_writer(spark):
     t = UpsertTable(spark, f"{root}/table", key="tripId", order=schemas.LATEST_ORDER)
     want = latest_per_key(trip_board(spark, SF_SMALL), "tripId", ["currentTime"])
     assert rows(t.read().select(*schemas.BOARD_COLUMNS)) == rows(want)
+
+
+def test_upsert_skips_an_empty_batch(spark):
+    t = _table(spark)
+    parts = _slices(spark)
+    assert t.commit(parts[0], 0) == 1
+    assert t.commit(parts[0].limit(0), 1) is None
+    assert t.versions() == [1]
+    assert t.commit(parts[1], 2) == 2
