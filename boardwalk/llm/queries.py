@@ -8,10 +8,25 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardwalk.llm import decontaminate, line_dedup, simhash
+from boardwalk.llm import bpe, decontaminate, langid, line_dedup, lm, simhash
 from boardwalk.llm.common import table
 
 
+def _vocabulary() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = langid.learn_and_identify(table(spark, sf_dir, "documents"), parts=4, held=2)
+    return found.select("doc_id", "held_out", "lang_pred", "score")
+
+
+def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.tokenized(table(spark, sf_dir, "documents"), _vocabulary())
+
+
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.simhash_groups(table(spark, sf_dir, "documents"), shingle=4, max_bits=4)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
@@ -40,5 +55,10 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = lm.held_out_scores(table(spark, sf_dir, "documents"), parts=7, held=2)
+    return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_simhash_groups, op5_line_dedup, op7_decontamination)}
+    return {f.__name__: f for f in (op2_language_id, op3_bpe, op4_simhash_groups, op5_line_dedup, op7_decontamination, op8_lm_score)}
