@@ -9,6 +9,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from boardwalk.session import shared_dir
 
@@ -39,7 +40,7 @@ def ship(spark: SparkSession) -> None:
     sc._boardwalk_shipped = True
 
 
-def arrow_rows(df: DataFrame, run: Callable, schema: str) -> DataFrame:
+def arrow_rows(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with the package on the executors."""
     ship(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from boardwalk.llm.common import arrow_rows, fold
@@ -223,6 +223,25 @@ def fit(docs: DataFrame, window: int = 64, per_language: int = 768, most: int =
     return train(windows, labels, languages, **how) if languages else None
 
 
+def _pooled(net: Network | None, texts: pa.Array, lettered: pa.Array, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Per row: index of the label (-1: none), its mean probability and the
+    number of positions of each label."""
+    n = len(net.languages) if net else 0
+    label, score, counts = np.full(len(texts), -1), np.zeros(len(texts)), np.zeros((len(texts), n), np.int64)
+    if net:
+        ok = lettered.to_numpy(zero_copy_only=False).astype(bool)
+        raw = [t.as_py() if x else b"" for t, x in zip(texts.cast(pa.binary()), ok, strict=True)]
+        sums, counts = document_probs(net, raw, window)
+        size = np.fromiter(map(len, raw), np.int64, len(raw))
+        label = np.where(size > 0, sums.argmax(axis=1), -1)
+        score = np.where(size > 0, sums.max(axis=1) / np.maximum(size, 1), 0.0).clip(0, 1)
+    return label, score, counts
+
+
+def _lettered() -> Column:
+    return F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False))
+
+
 def identify(docs: DataFrame, net: Network | None, window: int = 128) -> DataFrame:
     """``doc_id, lang_pred, score, languages, positions`` per row of
     ``docs``: the pooled label and its mean probability, and how many positions
@@ -235,24 +254,32 @@ def identify(docs: DataFrame, net: Network | None, window: int = 128) -> DataFra
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            lettered = b.column(2).to_numpy(zero_copy_only=False).astype(bool)
-            texts = [(t.as_py() if ok and net else b"") for t, ok in zip(b.column(1).cast(pa.binary()), lettered, strict=True)]
-            labels, scores, counts = [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros((len(texts), len(languages)), np.int64)
-            if net:
-                sums, counts = document_probs(net, texts, window)
-                best, sizes = sums.argmax(axis=1), np.fromiter(map(len, texts), np.int64, len(texts))
-                labels = [languages[k] if n else UNKNOWN for k, n in zip(best, sizes, strict=True)]
-                scores = np.where(sizes > 0, sums.max(axis=1) / np.maximum(sizes, 1), 0.0).clip(0, 1)
+            label, scores, counts = _pooled(net, b.column(1), b.column(2), window)
+            labels = [UNKNOWN if k < 0 else languages[k] for k in label.tolist()]
             yield pa.RecordBatch.from_arrays(
                 [b.column(0), pa.array(labels, pa.string()), pa.array(scores), pa.array(counts.tolist(), pa.list_(pa.int64()))],
                 ["doc_id", "lang_pred", "score", "positions"],
             )
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)).alias("lettered"))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", _lettered().alias("lettered"))
     out = arrow_rows(rows, run, "doc_id long, lang_pred string, score double, positions array<long>")
     return out.withColumn("languages", F.array(*map(F.lit, languages)).cast("array<string>"))
 
 
+def keep_identified(docs: DataFrame, net: Network | None, min_score: float, window: int = 128) -> DataFrame:
+    """The rows of ``docs`` whose language is told with a mean probability of
+    at least ``min_score``, all columns as they are; ``und`` goes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            label, score, _ = _pooled(net, b.column(b.schema.get_field_index("text")), b.column(b.num_columns - 1), window)
+            kept = b.filter(pa.array((label >= 0) & (score >= min_score)))
+            yield kept.select(range(b.num_columns - 1))
+
+    rows = docs.select("*", _lettered().alias("__lettered"))
+    return arrow_rows(rows, run, docs.schema)
+
+
 def learn_and_identify(docs: DataFrame, parts: int = 4, held: int = 2, **how) -> DataFrame:
     """``identify`` with a network learned from the rows whose fold (crc32 of
     the id modulo ``parts``) is not ``held``; adds ``held_out``."""

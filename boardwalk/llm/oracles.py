@@ -33,6 +33,15 @@ SELECT d.doc_id, len(ws) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_ite
 FROM d LEFT JOIN p ON d.rid = p.rid LEFT JOIN t ON d.rid = t.rid
 """
 
+OP10 = """
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS d FROM pages),
+f AS (SELECT d, max(page_id) AS first FROM p WHERE n >= 1000 GROUP BY d)
+SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
+       CASE WHEN first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN first <> page_id THEN first END AS refers_to
+FROM p LEFT JOIN f ON p.d = f.d
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": OP5, "op7_decontamination": OP7}
+    return {"op5_line_dedup": OP5, "op7_decontamination": OP7, "op10_warc": OP10}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardwalk.llm import bpe, decontaminate, langid, line_dedup, lm, simhash
+from boardwalk.llm import bpe, decontaminate, langid, line_dedup, lm, quality, rabitq, simhash, toxicity, warc
 from boardwalk.llm.common import table
 
 
@@ -18,6 +18,10 @@ def _vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_rabitq_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rabitq.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = langid.learn_and_identify(table(spark, sf_dir, "documents"), parts=4, held=2)
     return found.select("doc_id", "held_out", "lang_pred", "score")
@@ -43,6 +47,11 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), parts=5, held=0)
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
     return found.select(
@@ -60,5 +69,27 @@ def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), parts=3, held=1)
+    return found.select("doc_id", "held_out", "score", "predicted")
+
+
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = warc.write_archives(table(spark, sf_dir, "pages"), warc.archive_folder(spark), min_bytes=1000)
+    return warc.read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_language_id, op3_bpe, op4_simhash_groups, op5_line_dedup, op7_decontamination, op8_lm_score)}
+    every = [
+        op1_rabitq_search,
+        op2_language_id,
+        op3_bpe,
+        op4_simhash_groups,
+        op5_line_dedup,
+        op6_toxicity,
+        op7_decontamination,
+        op8_lm_score,
+        op9_quality,
+        op10_warc,
+    ]
+    return {f.__name__: f for f in every}
