@@ -94,8 +94,11 @@ def fit_nnpu(positive: Rows, unlabelled: Rows, prior: float, min_rows: int = 5,
         v += 0.01 * (g * g - v)
         w -= rate * min(1.0, 2 * (1 - step / (rounds + 1))) * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-6)
     weights[kept] = w[:-1]
-    every, _, _ = scores(unl, np.arange(unl.n))
-    return weights, float(w[-1] - np.quantile(every, 1 - prior))
+    # The prior's share of the unlabelled lies above the middle of this gap.
+    every = np.sort(scores(unl, np.arange(unl.n))[0])
+    least = np.quantile(every, 1 - prior, method="higher")
+    below = every[every < least - 1e-9]
+    return weights, float(w[-1] - (least + (below[-1] if len(below) else least)) / 2)
 
 
 def _collected(docs: DataFrame, ids: DataFrame, most: int) -> Rows:
