@@ -49,7 +49,10 @@ def arrow_rows(df: DataFrame, run: Callable, schema: str | StructType) -> DataFr
 def settled(df: DataFrame) -> DataFrame:
     """``df`` computed once into the shared checkpoint folder, so that later
     readers neither recompute it nor depend on the executors that made it."""
-    shared_dir(df.sparkSession)
+    sc = df.sparkSession.sparkContext
+    folder = shared_dir(df.sparkSession)
+    if sc.getCheckpointDir() is None:  # the setting was made after the start
+        sc.setCheckpointDir(folder)
     return df.checkpoint()
 
 

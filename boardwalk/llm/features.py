@@ -28,11 +28,10 @@ def _bucket(h: np.ndarray, bits: int) -> np.ndarray:
     return ((h * _MIX) >> np.uint64(64 - bits)).astype(np.int32)
 
 
-def word_set(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+def word_set(text: bytes) -> tuple[np.ndarray, None]:
     """Buckets of the distinct words (lower case, without ASCII punctuation);
-    each has value 1."""
-    ids = np.unique(_bucket(_hashes(text.lower().translate(_SPACED).split()), WORD_BITS))
-    return ids, np.ones(len(ids), np.float32)
+    no values: each counts 1."""
+    return np.unique(_bucket(_hashes(text.lower().translate(_SPACED).split()), WORD_BITS)), None
 
 
 def word_ngrams(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -52,20 +51,23 @@ def word_ngrams(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     return ids, (n / np.sqrt((n * n).sum())).astype(np.float32)
 
 
-Features = Callable[[bytes], tuple[np.ndarray, np.ndarray]]
+Features = Callable[[bytes], tuple[np.ndarray, np.ndarray | None]]
+Row = tuple[np.ndarray, np.ndarray | None, int]
 
 
-def rows_of(docs: DataFrame, make: Features, label: str) -> DataFrame:
-    """``label, ids, vals`` per row of ``docs (<label>, text)``."""
+def collected(docs: DataFrame, make: Features, label: str) -> list[Row]:
+    """``ids, values, label`` of each row of ``docs (<label>, text)``, which
+    must be a bounded sample; the arrays travel as plain bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             found = [make(t or b"") for t in b.column(1).cast(pa.large_binary()).to_pylist()]
-            ids = pa.array([f[0] for f in found], pa.list_(pa.int32()))
-            vals = pa.array([f[1] for f in found], pa.list_(pa.float32()))
+            ids = pa.array([i.astype(np.int32).tobytes() for i, _ in found], pa.binary())
+            vals = pa.array([None if v is None else v.astype(np.float32).tobytes() for _, v in found], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column(0), ids, vals], ["label", "ids", "vals"])
 
-    return arrow_rows(docs.select(F.col(label).cast("int").alias("label"), "text"), run, "label int, ids array<int>, vals array<float>")
+    rows = arrow_rows(docs.select(F.col(label).cast("int").alias("label"), "text"), run, "label int, ids binary, vals binary")
+    return [(np.frombuffer(r["ids"], np.int32), None if r["vals"] is None else np.frombuffer(r["vals"], np.float32), r["label"]) for r in rows.toLocalIterator()]
 
 
 def scored(docs: DataFrame, make: Features, weights: np.ndarray, bias: float) -> DataFrame:
@@ -78,7 +80,8 @@ def scored(docs: DataFrame, make: Features, weights: np.ndarray, bias: float) ->
             z = np.empty(b.num_rows)
             for i, t in enumerate(b.column(1).cast(pa.large_binary())):
                 ids, vals = make(t.as_py() or b"")
-                z[i] = bias + np.dot(w.value[ids].astype(np.float64), vals)
+                mine = w.value[ids].astype(np.float64)
+                z[i] = bias + (mine.sum() if vals is None else mine @ vals)
             score = 1 / (1 + np.exp(-np.clip(z, -500, 500)))
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(score), pa.array((score >= 0.5).astype(np.int32))], ["doc_id", "score", "predicted"])
 

@@ -44,7 +44,7 @@ def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 3, se
     return w[:-1], float(w[-1])
 
 
-def fit(docs: DataFrame, labels: DataFrame, usable, most: int = 12000) -> tuple[np.ndarray, float]:
+def fit(docs: DataFrame, labels: DataFrame, usable, most: int = 6000) -> tuple[np.ndarray, float]:
     """Fitted on at most ``most`` labelled texts, chosen by the hash of their
     id among the rows where ``usable`` holds. Null labels don't count; of
     several for one id the smallest does. Each id is used once."""
@@ -53,8 +53,7 @@ def fit(docs: DataFrame, labels: DataFrame, usable, most: int = 12000) -> tuple[
     # At most ``most`` rows, so small enough to broadcast.
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
     texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    got = features.rows_of(texts.orderBy("doc_id"), features.word_ngrams, "label").collect()
-    return fit_ftrl([(np.asarray(r["ids"], np.int64), np.asarray(r["vals"], np.float64), r["label"]) for r in got])
+    return fit_ftrl(features.collected(texts.orderBy("doc_id"), features.word_ngrams, "label"))
 
 
 def score(docs: DataFrame, labels: DataFrame, parts: int = 3, held: int = 1) -> DataFrame:

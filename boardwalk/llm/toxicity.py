@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from boardwalk.llm import features
 from boardwalk.llm.common import fold
 
-Rows = list[tuple[np.ndarray, np.ndarray]]
+Rows = list[tuple[np.ndarray, None]]
 
 
 class Sparse:
@@ -106,8 +106,7 @@ def _collected(docs: DataFrame, ids: DataFrame, most: int) -> Rows:
     ``most``, so small enough to broadcast); as many rows at most."""
     chosen = docs.select("doc_id", "text").join(F.broadcast(ids.select("doc_id").distinct()), "doc_id")
     chosen = chosen.dropDuplicates(["doc_id"]).orderBy("doc_id").select(F.lit(1).alias("one"), "text")
-    got = features.rows_of(chosen, features.word_set, "one").collect()
-    return [(np.asarray(r["ids"], np.int64), np.asarray(r["vals"])) for r in got][:most]
+    return [(ids, None) for ids, _, _ in features.collected(chosen, features.word_set, "one")][:most]
 
 
 def fit(docs: DataFrame, labels: DataFrame, usable, most_positive: int = 4000, most_unlabelled: int = 12000) -> tuple[np.ndarray, float]:
