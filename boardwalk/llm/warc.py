@@ -143,7 +143,7 @@ class _Roller:
 def _write(uri: str, roll_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, folder = pafs.FileSystem.from_uri(uri)
-        roller, last, nth = None, None, 0
+        roller, last, nth, first = None, None, 0, None
         for b in batches:
             for r in b.to_pylist():
                 if roller is None or r["shard"] != roller.shard:
@@ -152,12 +152,14 @@ def _write(uri: str, roll_bytes: int):
                         yield _manifest_rows(roller.rows)
                     roller = _Roller(fs, folder, r["shard"], roll_bytes)
                 same = (r["page_id"], r["digest"])
-                nth = nth + 1 if same == last else 0
-                last = same
-                refers = None
-                if r["first_found"] and (r["page_id"] != r["first_id"] or nth):
-                    refers = (r["first_id"], r["first_url"])
+                if same != last:
+                    last, nth, first = same, 0, None
+                if not r["kind"]:
+                    first = (r["first_id"], r["first_url"])
+                    continue
+                refers = first if first and (r["page_id"] != first[0] or nth) else None
                 roller.write(page_record(r["page_id"], r["url"], r["html"] or b"", refers, nth))
+                nth += 1
         if roller is not None:
             roller.close()
             yield _manifest_rows(roller.rows)
@@ -213,14 +215,18 @@ def write_archives(pages: DataFrame, uri: str, min_bytes: int = 1000, shard_byte
     def shard_of(page_id: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(bounds, page_id.to_numpy(), side="right").astype(np.int32))
 
-    # One row a payload, combined before the shuffle; the pages' side of the
-    # join is an equi-join on the digest that can be split where one is hot.
-    first = rows.where(F.col("n") >= min_bytes).groupBy("digest").agg(F.max(F.struct("page_id", "url")).alias("first"))
-    first = first.select("digest", F.col("first.page_id").alias("first_id"), F.col("first.url").alias("first_url"), F.lit(True).alias("first_found"))
-    placed = rows.join(first, "digest", "left").withColumn("first_found", F.coalesce("first_found", F.lit(False)))
-    placed = placed.withColumn("shard", shard_of(F.coalesce("page_id", F.lit(NO_ID))))
-    placed = placed.select("shard", "page_id", "url", "html", "digest", "first_id", "first_url", "first_found")
-    ordered = placed.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "page_id", "digest", "url")
+    # Which page holds a repeated payload: one row a payload, combined before
+    # the shuffle, and back to the pages by an equi-join without their html,
+    # which can be split where a digest is hot. The pages' rows follow these
+    # notes into their shard, so the html is shuffled once.
+    light = rows.where(F.col("n") >= min_bytes).select("page_id", "digest", F.struct("page_id", "url").alias("page"))
+    first = light.groupBy("digest").agg(F.max("page").alias("first"), F.count(F.lit(1)).alias("times")).where("times > 1")
+    notes = light.select("page_id", "digest").join(first.select("digest", "first"), "digest")
+    none = F.lit(None)
+    notes = notes.select("page_id", "digest", F.lit(0).alias("kind"), none.cast("string").alias("url"), none.cast("binary").alias("html"), "first.page_id", "first.url")
+    placed = rows.select("page_id", "digest", F.lit(1).alias("kind"), "url", "html", none.cast("long").alias("first_id"), none.cast("string").alias("first_url"))
+    placed = notes.toDF(*placed.columns).union(placed).withColumn("shard", shard_of(F.coalesce("page_id", F.lit(NO_ID))))
+    ordered = placed.repartitionById(shards, F.col("shard")).sortWithinPartitions("shard", "page_id", "digest", "kind", "url")
     written = arrow_rows(ordered, _write(uri, roll_bytes), _MANIFEST)
     written.write.mode("overwrite").parquet(f"{uri}/_written")
     done = arrow_rows(spark.read.schema(_MANIFEST).parquet(f"{uri}/_written"), _commit(uri), _MANIFEST)
