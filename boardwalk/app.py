@@ -24,7 +24,7 @@ if __package__ in (None, ""):
 
 from pyspark.sql import SparkSession  # noqa: E402
 
-from boardwalk.session import build_session  # noqa: E402
+from boardwalk.session import build_session, stream_session  # noqa: E402
 from boardwalk.functions.timefn import FEED_SOURCE_TZ, MODES, REFERENCE, REFERENCE_SHIFT_TZ  # noqa: E402
 from boardwalk.operators.feed import split_feed, union_feeds  # noqa: E402
 from boardwalk.schemas import SNAPSHOT_FILE  # noqa: E402
@@ -46,32 +46,33 @@ def start_producer(spark: SparkSession, args: argparse.Namespace):
     split into the two message kinds -> published."""
     feeds = [spark.readStream.schema(SNAPSHOT_FILE).json(p) for p in args.snapshots_path]
     msgs = split_feed(union_feeds(*feeds))
-    fmt = "kafka" if args.sink == "kafka" else "json"
+    fmt = "json" if args.sink == "files" else args.sink
     return publish_stream(msgs, fmt, args.checkpoint, _options(args.sink_option), path=args.path,
                           trigger=args.trigger, query_name=args.query_name)
 
 
 def start(spark: SparkSession, args: argparse.Namespace):
-    if args.state_partitions:
-        # Read by a query's first start only; a checkpoint keeps its own count.
-        spark.conf.set("spark.sql.shuffle.partitions", str(args.state_partitions))
+    spark = stream_session(spark, args.state_partitions)
+    needs_path = args.sink in ("append", "files") or (args.sink == "upsert" and not args.merge_into)
+    if needs_path and not args.path:
+        raise SystemExit(f"--sink {args.sink} needs --path")
     if args.role == "producer":
-        if args.sink not in ("kafka", "files"):
-            raise SystemExit("a producer publishes to --sink kafka or --sink files")
+        if args.sink not in ("kafka", "kinesis", "files"):
+            raise SystemExit("a producer publishes to --sink kafka, kinesis or files")
         return start_producer(spark, args)
     if args.sink not in ("append", "upsert"):
         raise SystemExit("a consumer writes the board with --sink append or --sink upsert")
     u = read_envelope(spark, args.source, _options(args.updates_option), path=args.updates_path)
     s = read_envelope(spark, args.source, _options(args.status_option), path=args.status_path)
     board = board_stream(
-        u, s, mode=args.time_mode, bound=args.bound, salt=args.salt, keep_order=args.sink == "upsert",
+        u, s, mode=args.time_mode, bound=args.bound, watermark=args.watermark, salt=args.salt, keep_order=args.sink == "upsert",
         shift_tz=args.shift_tz, source_tz=args.source_tz,
     )
     if args.sink == "append":
         return write_append(board, args.path, args.checkpoint, trigger=args.trigger, query_name=args.query_name)
     return write_upsert(
-        board, args.path, args.checkpoint, buckets=args.buckets, retain=args.retain,
-        trigger=args.trigger, query_name=args.query_name, register_as=args.register_as, merge_into=args.merge_into,
+        board, args.path, args.checkpoint, trigger=args.trigger, query_name=args.query_name,
+        register_as=args.register_as, merge_into=args.merge_into,
     )
 
 
@@ -80,25 +81,24 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--role", choices=["consumer", "producer"], default="consumer")
     p.add_argument("--source", choices=["kafka", "kinesis", "json", "parquet"], default="json")
     p.add_argument("--snapshots-path", action="append", default=[], help="producer: one folder per feed")
-    p.add_argument("--sink-option", action="append", default=[], help="producer: Kafka options")
+    p.add_argument("--sink-option", action="append", default=[], help="producer: options of the broker")
     p.add_argument("--updates-option", action="append", default=[])
     p.add_argument("--status-option", action="append", default=[])
     p.add_argument("--updates-path")
     p.add_argument("--status-path")
-    p.add_argument("--sink", choices=["append", "upsert", "kafka", "files"], default="append")
-    p.add_argument("--path", required=True)
+    p.add_argument("--sink", choices=["append", "upsert", "kafka", "kinesis", "files"], default="append")
+    p.add_argument("--path", help="folder of the board or of published files")
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--trigger", default=None, help="interval (default 10 seconds) or available_now")
     p.add_argument("--time-mode", choices=list(MODES), default=REFERENCE)
     p.add_argument("--shift-tz", default=REFERENCE_SHIFT_TZ, help="zone of the reference time mode")
     p.add_argument("--source-tz", default=FEED_SOURCE_TZ, help="zone of trip start times in instant mode")
     p.add_argument("--bound", default=None, help="e.g. '1 hour': watermarked, time-bounded join")
-    p.add_argument("--salt", type=int, default=1)
-    p.add_argument("--buckets", type=int, default=None)
+    p.add_argument("--watermark", default=None, help="delay of both watermarks (default: the bound)")
+    p.add_argument("--salt", type=int, default=1, help="parts of every trip's updates in the join")
     p.add_argument("--state-partitions", type=int, default=None,
-                   help="join state partitions of a fresh checkpoint (see session.scale_settings)")
-    p.add_argument("--retain", type=int, default=10)
-    p.add_argument("--register-as", default=None)
+                   help="join state partitions of a fresh checkpoint (default: the cluster's cores)")
+    p.add_argument("--register-as", default=None, help="catalog view of the upsert's latest rows")
     p.add_argument("--merge-into", default=None, help="upsert into this catalog table with MERGE (Delta, Iceberg)")
     p.add_argument("--query-name", default="trip_board")
     return p

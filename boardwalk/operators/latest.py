@@ -15,7 +15,7 @@ from boardwalk import schemas
 from boardwalk.operators.board import clock_column, derive_board
 from boardwalk.operators.join import join_feeds
 from boardwalk.functions import clock_time
-from boardwalk.functions.timefn import REFERENCE, REFERENCE_SHIFT_TZ
+from boardwalk.functions.timefn import FEED_SOURCE_TZ, REFERENCE, REFERENCE_SHIFT_TZ
 
 
 def latest_per_key(df: DataFrame, key: list[str] | str, order: list[str]) -> DataFrame:
@@ -33,6 +33,7 @@ def latest_board(
     mode: str = REFERENCE,
     clock: Column | str | None = None,
     shift_tz: str = REFERENCE_SHIFT_TZ,
+    source_tz: str = FEED_SOURCE_TZ,
     key: str = "tripId",
     keep_order: bool = False,
 ) -> DataFrame:
@@ -52,6 +53,6 @@ def latest_board(
     u = updates.withColumn("currentTime", clock_time(now, mode, shift_tz))
     u = latest_per_key(u, schemas.TRIP_KEYS, ["currentTime", *schemas.UPDATE_ORDER])
     s = latest_per_key(status, schemas.TRIP_KEYS, schemas.STATUS_ORDER)
-    board = derive_board(join_feeds(u, s), mode=mode, shift_tz=shift_tz, keep_order=True)
+    board = derive_board(join_feeds(u, s), mode=mode, shift_tz=shift_tz, source_tz=source_tz, keep_order=True)
     best = latest_per_key(board, key, schemas.LATEST_ORDER)
     return best if keep_order else best.select(*schemas.BOARD_COLUMNS)

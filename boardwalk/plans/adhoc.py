@@ -3,14 +3,13 @@ DataFrame with the board's columns: the append folder, the upsert table or a
 live plan) and returns a DataFrame.
 
 Where the two SQL dialects of the original differ, both are here: minutes
-until the next stop as elapsed minutes or as minute boundaries crossed,
-and the first-snapshot question as a global rank or as the
-scalable minimum filter.
+until the next stop as elapsed minutes or as minute boundaries crossed.
+The first-snapshot question (rank 1 by clock) is asked as a minimum filter.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boardwalk.functions import minute_boundaries, minutes_elapsed
@@ -63,6 +62,7 @@ def q5_started_between(board: DataFrame, lo: str = Q5_FROM, hi: str = Q5_TO) ->
 
 
 def q6_current_and_next(board: DataFrame) -> DataFrame:
+    # The columns asked for.
     return board.select("tripId", "routeId", "currentStopSequence", "currentStatus", "currentStopId", "nextStopId")
 
 
@@ -88,6 +88,7 @@ def q7_minutes_boundary(board: DataFrame) -> DataFrame:
 
 
 def q8_last_stop(board: DataFrame) -> DataFrame:
+    # The columns asked for.
     return board.select("tripId", "routeId", "lastStopId", "lastStopArrivalTime")
 
 
@@ -99,7 +100,7 @@ def _q9_sum(rows: DataFrame) -> DataFrame:
     )
 
 
-def q9_first_snapshot(board: DataFrame) -> DataFrame:
+def q9_first_snapshot(board: DataFrame, clocks: DataFrame | None = None) -> DataFrame:
     """Future stops per trip in the earliest snapshot (smallest clock).
 
     Rows of the earliest ``currentTime`` are exactly the rows of rank 1 in
@@ -107,9 +108,10 @@ def q9_first_snapshot(board: DataFrame) -> DataFrame:
     aggregate of one value per task, joined back as a broadcast of one row;
     the ranked form would move the whole board into one partition. On a
     board table this reads the clock column twice and shuffles only the first
-    snapshot's rows; on a live plan the board is computed for each branch
-    (aggregating first would shuffle every row of the board instead)."""
-    first = board.agg(F.min("currentTime").alias("_first"))
+    snapshot's rows. On a live plan the board would be computed for each
+    branch: pass ``clocks``, any frame with the same set of ``currentTime``
+    that costs less (``board_keys``)."""
+    first = (board if clocks is None else clocks).agg(F.min("currentTime").alias("_first"))
     rows = board.join(F.broadcast(first), F.col("currentTime") == F.col("_first"))
     return _q9_sum(rows.drop("_first"))
 
@@ -128,15 +130,6 @@ def q9_first_snapshot_pruned(board: DataFrame) -> DataFrame:
     return _q9_sum(board.where(F.col("currentTime") == first_ntz))
 
 
-def q9_rank_form(board: DataFrame) -> DataFrame:
-    """The literal form: global rank, keep rank 1. One partition holds the
-    whole board during the rank; kept for parity checks on small data."""
-    # rows without a clock are left out, as the minimum ignores them
-    timed = board.where(F.col("currentTime").isNotNull())
-    ranked = timed.withColumn("rnk", F.rank().over(Window.orderBy("currentTime")))
-    return _q9_sum(ranked.where(F.col("rnk") == 1))
-
-
 QUERIES = {
     "q1_all": q1_all,
     "q2_count": q2_count,
@@ -148,5 +141,4 @@ QUERIES = {
     "q7_minutes_boundary": q7_minutes_boundary,
     "q8_last_stop": q8_last_stop,
     "q9_first_snapshot": q9_first_snapshot,
-    "q9_rank_form": q9_rank_form,
 }

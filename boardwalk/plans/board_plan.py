@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 
-from boardwalk.functions.timefn import REFERENCE
+from boardwalk.functions import clock_time
+from boardwalk.functions.timefn import REFERENCE, REFERENCE_SHIFT_TZ
 from boardwalk.operators import derive_board, join_feeds, latest_board, reshape_status, reshape_updates, topic
+from boardwalk.operators.board import clock_column
 from boardwalk.sources import parse_status, parse_updates, trip_messages
 from boardwalk.sources.fixtures import STATUS_TOPIC, UPDATES_TOPIC
 
@@ -18,7 +20,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trip_messages(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"))
+    # The driver's tables have one row group each, so the orders are spread.
+    return trip_messages(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"), spread=True)
 
 
 def feeds(msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -35,6 +38,16 @@ def board_from_messages(
     return derive_board(join_feeds(u, s), mode=mode, clock=clock, keep_order=keep_order)
 
 
+def board_keys(msgs: DataFrame, mode: str = REFERENCE, clock: str = FIXTURE_CLOCK) -> DataFrame:
+    """``tripId, routeId, currentTime`` of every board row, for questions that
+    need no more: only the messages' trips are parsed and joined."""
+    u = parse_updates(topic(msgs, UPDATES_TOPIC), stops=False)
+    s = parse_status(topic(msgs, STATUS_TOPIC), detail=False)
+    joined = join_feeds(u, s)
+    now = clock_time(clock_column(joined, clock), mode, REFERENCE_SHIFT_TZ)
+    return joined.select("tripId", "routeId", now.alias("currentTime"))
+
+
 def trip_board(spark: SparkSession, sf_dir: str, mode: str = REFERENCE) -> DataFrame:
     """The whole board of the fixture feed: every update x status pair."""
     return board_from_messages(messages(spark, sf_dir), mode=mode)

@@ -13,12 +13,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from boardwalk.plans.adhoc import Q5_FROM, Q5_TO
+from boardwalk.schemas import BOARD_COLUMNS
 
-_Q3_COLS = (
-    "tripId, routeId, startTime, numOfFutureStops, currentStopSequence, currentStatus, currentStopId, "
-    "nextStopArrivalTime, nextStopId, lastStopArrivalTime, lastStopId"
-)
-_Q3_ORDER = ", ".join(f"{c.strip()} ASC NULLS FIRST" for c in _Q3_COLS.split(","))
+_Q3 = BOARD_COLUMNS[:-1]
+_Q3_COLS = ", ".join(_Q3)
+_Q3_ORDER = ", ".join(f"{c} ASC NULLS FIRST" for c in _Q3)
 
 SQL = {
     "q1_all": "SELECT * FROM {board}",

@@ -37,6 +37,15 @@ TRIP_UPDATE = T.StructType(
     ]
 )
 
+# The parts of messages that the board reads, and their trip alone.
+BOARD_UPDATE = T.StructType(
+    [
+        T.StructField("trip", TRIP),
+        T.StructField("stopTimeUpdate", T.ArrayType(T.StructType([STOP_TIME_UPDATE["arrival"], STOP_TIME_UPDATE["stopId"]]))),
+    ]
+)
+TRIP_ONLY = T.StructType([T.StructField("trip", TRIP)])
+
 # A trip status (vehicle position): where the vehicle is on its trip.
 TRIP_STATUS = T.StructType(
     [
@@ -114,3 +123,12 @@ BOARD = T.StructType(
 UPDATE_ORDER = ["u_ingest_ts", "u_hash"]
 STATUS_ORDER = ["s_event_ts", "s_ingest_ts", "s_hash"]
 LATEST_ORDER = ["currentTime", "s_event_ts", "u_ingest_ts", "s_ingest_ts", "u_hash", "s_hash"]
+
+_ORDER_TYPES = {
+    "s_event_ts": T.TimestampNTZType(),
+    "u_ingest_ts": T.TimestampType(),
+    "s_ingest_ts": T.TimestampType(),
+    "u_hash": T.LongType(),
+    "s_hash": T.LongType(),
+}
+BOARD_WITH_ORDER = T.StructType([*BOARD, *[T.StructField(c, _ORDER_TYPES[c]) for c in LATEST_ORDER if c not in BOARD_COLUMNS]])

@@ -41,29 +41,22 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 _MB = 1024 * 1024
 
 
-def scale_settings(
-    input_bytes: int,
-    shuffled_fraction: float = 0.25,
-    target_partition_mb: int = 256,
-    max_partitions: int = 100_000,
-) -> dict[str, str]:
-    """Settings sized to the data, for a cluster.
+def scale_settings(input_bytes: int, shuffled_fraction: float = 0.25, target_partition_mb: int = 256) -> dict[str, str]:
+    """Settings sized to the data, for a batch job on a cluster.
 
     AQE can coalesce shuffle partitions but not split them (skewed join
     partitions aside), so the initial count must make every partition fit in
     executor memory: one per ``target_partition_mb`` of *shuffled* bytes,
     which after column pruning and partial aggregation are a fraction of the
     input (``shuffled_fraction``; about a quarter for the board, whose joins
-    move a few columns of each table). The count is capped: map x reduce
-    shuffle blocks grow with its square. It also fixes the number of state
-    partitions of a stream at its first start. Scans split files into pieces of
-    ``target_partition_mb``; a join partition is skewed at four times that.
-    """
+    move a few columns of each table). Map x reduce shuffle blocks grow with
+    the square of the count: raise the target with the input. Scans split
+    files into pieces of the target; a join partition is skewed at four times
+    that."""
     shuffled = int(input_bytes * shuffled_fraction)
-    parts = min(max_partitions, max(200, -(-shuffled // (target_partition_mb * _MB))))
     target = f"{target_partition_mb}m"
     return {
-        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.shuffle.partitions": str(max(200, -(-shuffled // (target_partition_mb * _MB)))),
         "spark.sql.files.maxPartitionBytes": target,
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": target,
         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": f"{4 * target_partition_mb}m",
@@ -71,6 +64,26 @@ def scale_settings(
     }
 
 
+# Settings a stream needs whatever the caller's session says.
+STREAM_CONF = {k: v for k, v in ENGINE_CONF.items() if ".streaming." in k}
+
+
+def stream_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
+    """A session for streams: the caller's settings, state in RocksDB, and a
+    number of state partitions of its own. That number is one task each per
+    trigger and stays for the life of a checkpoint, so it goes by the cores
+    (the default: as many) and by the state expected, not by what a batch job
+    would shuffle. The caller's settings are never changed."""
+    s = spark.newSession()
+    for k, v in spark.conf.getAll.items():
+        if s.conf.isModifiable(k):
+            s.conf.set(k, v)
+    for k, v in STREAM_CONF.items():
+        s.conf.set(k, v)
+    s.conf.set("spark.sql.shuffle.partitions", str(state_partitions or spark.sparkContext.defaultParallelism))
+    return s
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``. On a cluster this
     is set by the deployment; only when it is unset (local tests) does this
@@ -112,17 +125,10 @@ def make_dirs(spark: SparkSession, path: str) -> None:
     fs.mkdirs(p)
 
 
-def move(spark: SparkSession, src: str, dst: str) -> None:
-    """Rename a file or folder; raises when the file system refuses."""
-    fs, s = _fs(spark, src)
-    _, d = _fs(spark, dst)
-    if not fs.rename(s, d):
-        raise OSError(f"could not move {src} to {dst}")
-
-
-def content_bytes(spark: SparkSession, path: str) -> int:
+def modified_ms(spark: SparkSession, path: str) -> int | None:
+    """When a file was last changed; None if it isn't there."""
     fs, p = _fs(spark, path)
-    return int(fs.getContentSummary(p).getLength()) if fs.exists(p) else 0
+    return int(fs.getFileStatus(p).getModificationTime()) if fs.exists(p) else None
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
@@ -131,22 +137,6 @@ def delete_path(spark: SparkSession, path: str) -> None:
         fs.delete(p, True)
 
 
-def write_text_atomic(spark: SparkSession, path: str, text: str) -> None:
-    """Write a small driver-side file: to a hidden sibling, then rename."""
-    fs, p = _fs(spark, path)
-    jvm = spark.sparkContext._jvm
-    tmp = jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}.tmp")
-    out = fs.create(tmp, True)
-    try:
-        out.write(bytearray(text.encode("utf-8")))
-    finally:
-        out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(tmp, p):
-        raise OSError(f"could not commit {path}")
-
-
 def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     stream = fs.open(p)

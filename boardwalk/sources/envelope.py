@@ -83,22 +83,19 @@ def _load_connector(reader, package: str) -> DataFrame:
         raise
 
 
-def parse_updates(envelopes: DataFrame) -> DataFrame:
-    """Trip-update messages to columns: the trip fields, the stop list, and
-    the envelope's ingest time and a hash of the message (for ordering)."""
-    return _parse_once(envelopes, schemas.TRIP_UPDATE, "u").select(
-        "m.trip.*", "m.stopTimeUpdate", "u_ingest_ts", "u_hash"
-    )
-
-
-def parse_status(envelopes: DataFrame) -> DataFrame:
-    """Trip-status messages to columns, with ingest time and message hash."""
-    return _parse_once(envelopes, schemas.TRIP_STATUS, "s").select(
-        "m.trip.*",
-        "m.currentStopSequence",
-        "m.currentStatus",
-        "m.timestamp",
-        "m.stopId",
-        "s_ingest_ts",
-        "s_hash",
-    )
+def parse_updates(envelopes: DataFrame, stops: bool = True) -> DataFrame:
+    """Trip-update messages to columns: the trip fields, the stop list (unless
+    ``stops`` is false: then only the trip is parsed), and the envelope's
+    ingest time and a hash of the message (for ordering). A stop's departure
+    is not parsed: the board has no use for it."""
+    parts = ["m.stopTimeUpdate"] if stops else []
+    schema = schemas.BOARD_UPDATE if stops else schemas.TRIP_ONLY
+    return _parse_once(envelopes, schema, "u").select("m.trip.*", *parts, "u_ingest_ts", "u_hash")
+
+
+def parse_status(envelopes: DataFrame, detail: bool = True) -> DataFrame:
+    """Trip-status messages to columns, with ingest time and message hash;
+    without ``detail`` only the trip is parsed."""
+    parts = ["m.currentStopSequence", "m.currentStatus", "m.timestamp", "m.stopId"] if detail else []
+    schema = schemas.TRIP_STATUS if detail else schemas.TRIP_ONLY
+    return _parse_once(envelopes, schema, "s").select("m.trip.*", *parts, "s_ingest_ts", "s_hash")

@@ -57,21 +57,6 @@ def keyed_orders(orders: DataFrame) -> DataFrame:
     return orders.select(*_ORDER_COLS).repartition(F.col("o_orderkey"))
 
 
-def spread_if_narrow(df: DataFrame, key: str) -> DataFrame:
-    """Spread a scan with fewer splits than the cluster has cores (a small
-    table in one row group) by ``key``; leave a wide scan alone, so no
-    shuffle is added where the scan is already parallel. ``df`` must be a
-    scan with projections and filters only: building its RDD then computes
-    the file splits and runs nothing."""
-    spark = df.sparkSession
-    try:
-        splits = df._jdf.queryExecution().executedPlan().execute().getNumPartitions()
-        cores = spark.sparkContext.defaultParallelism
-    except AttributeError:  # no JVM handle (Spark Connect): spread
-        return df.repartition(F.col(key))
-    return df.repartition(F.col(key)) if splits < cores else df
-
-
 def trip_stops(lineitem: DataFrame) -> DataFrame:
     """One row per order with its stops in trip order (map-side partial
     collect, one shuffle by order key)."""
@@ -159,20 +144,23 @@ def update_messages(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     return e.select(*_envelope(UPDATES_TOPIC, F.col("tripUpdate")))
 
 
-def status_messages(orders: DataFrame) -> DataFrame:
-    """Trip-status messages; built from orders alone (no stop list needed)."""
+def status_messages(orders: DataFrame, spread: bool = False) -> DataFrame:
+    """Trip-status messages; built from orders alone (no stop list needed).
+    ``spread`` deals the orders out by key first: for a table whose files are
+    too few to keep the cores busy."""
     k = F.col("o_orderkey")
-    o = spread_if_narrow(orders.select(*_ORDER_COLS), "o_orderkey").where(_sends_status(k)).select(
+    o = keyed_orders(orders) if spread else orders.select(*_ORDER_COLS)
+    o = o.where(_sends_status(k)).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority",
         utc_to_instant("o_orderdate").alias("ingest_ts"),
     )
     return o.select(*_envelope(STATUS_TOPIC, _status(k)))
 
 
-def trip_messages(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
+def trip_messages(orders: DataFrame, lineitem: DataFrame, spread: bool = False) -> DataFrame:
     """Both topics in one frame, routed by ``topic``. Selecting one topic
     prunes the other branch of the union at planning time."""
-    return update_messages(orders, lineitem).unionByName(status_messages(orders))
+    return update_messages(orders, lineitem).unionByName(status_messages(orders, spread))
 
 
 # Four route-group feeds, as the transit operator publishes.
@@ -180,8 +168,8 @@ FEEDS = 4
 
 
 def feed_id(route: Column) -> Column:
-    """Route group of a route: the route's leading digit, folded onto FEEDS."""
-    return F.pmod(F.substring(route, 1, 1).try_cast("int") - 1, F.lit(FEEDS))
+    """Route group of any route, a null one too: its hash folded onto FEEDS."""
+    return F.pmod(F.xxhash64(route), F.lit(FEEDS)).cast("int")
 
 
 def feed_snapshots(orders: DataFrame, lineitem: DataFrame, entities_per_doc: int = 256) -> DataFrame:

@@ -3,6 +3,6 @@
 from boardwalk.streaming.board_stream import board_stream
 from boardwalk.streaming.replay import FeedReplay
 from boardwalk.streaming.sinks import AVAILABLE_NOW, merge_latest, publish, publish_stream, write_append, write_upsert
-from boardwalk.streaming.upsert import UpsertTable
+from boardwalk.sources.upsert import append_latest, compact, read_latest
 
-__all__ = ["AVAILABLE_NOW", "FeedReplay", "UpsertTable", "board_stream", "merge_latest", "publish", "publish_stream", "write_append", "write_upsert"]
+__all__ = ["AVAILABLE_NOW", "FeedReplay", "append_latest", "board_stream", "compact", "merge_latest", "publish", "publish_stream", "read_latest", "write_append", "write_upsert"]

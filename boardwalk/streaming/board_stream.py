@@ -15,6 +15,7 @@ def board_stream(
     mode: str = REFERENCE,
     clock: Column | str | None = None,
     bound: str | None = None,
+    watermark: str | None = None,
     salt: int = 1,
     keep_order: bool = False,
     shift_tz: str = REFERENCE_SHIFT_TZ,
@@ -24,8 +25,9 @@ def board_stream(
 
     ``clock=None`` stamps each row with the micro-batch time, as the original
     does; pass a column for repeatable results. ``bound`` switches the join to
-    watermarked, time-bounded state (see ``join_feeds``)."""
+    watermarked, time-bounded state, with ``watermark`` for the delay if that
+    is another (see ``join_feeds``)."""
     u = reshape_updates(parse_updates(updates))
     s = reshape_status(parse_status(status))
-    joined = join_feeds(u, s, bound=bound, salt=salt)
+    joined = join_feeds(u, s, bound=bound, watermark=watermark, salt=salt)
     return derive_board(joined, mode=mode, clock=clock, shift_tz=shift_tz, source_tz=source_tz, keep_order=keep_order)

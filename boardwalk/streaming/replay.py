@@ -1,12 +1,10 @@
-"""Replay table-derived messages as a file stream, slice by slice.
+"""Feed a stream from table-derived messages, slice by slice.
 
-Kafka and Kinesis are not reachable in tests, so the feed is written by a
-Spark job into a staging folder (one subfolder per topic and slice) and then
-delivered into the stream's input folders by renaming files, which is how
-files are handed to a file-stream source safely (they appear whole). The
-caller delivers slices in groups, in slice order; each group is drained by
-one ``availableNow`` run, restarting the query from its checkpoint between
-groups.
+The messages are written once by a Spark job, partitioned by slice and topic;
+delivering a slice is a Spark job that appends its rows to the stream's input
+folders. The caller delivers slices in groups, in slice order; each group is
+drained by one ``availableNow`` run, so the query restarts from its checkpoint
+in between.
 """
 
 from __future__ import annotations
@@ -14,8 +12,11 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from boardwalk.session import content_bytes, delete_path, list_dir, make_dirs, move, shared_dir
+from boardwalk import schemas
+from boardwalk.session import delete_path, make_dirs, shared_dir, stream_session
 from boardwalk.sources.envelope import read_envelope
 from boardwalk.sources.fixtures import STATUS_TOPIC, UPDATES_TOPIC
 
@@ -25,63 +26,30 @@ TOPICS = (UPDATES_TOPIC, STATUS_TOPIC)
 class FeedReplay:
     """A run folder under the shared ``spark.checkpoint.dir``."""
 
-    def __init__(self, spark: SparkSession, name: str, root: str | None = None):
+    def __init__(self, spark: SparkSession, name: str, root: str | None = None, state_partitions: int | None = None):
         self.spark = spark
         self.root = root or f"{shared_dir(spark)}/boardwalk/{name}-{uuid.uuid4().hex[:12]}"
-        self._stream_spark: SparkSession | None = None
+        self.stream_spark = stream_session(spark, state_partitions)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 
-    def stage(self, messages: DataFrame, slice_col: Column) -> list[int]:
-        """Write ``topic, key, value, ingest_ts`` messages, one folder per
-        topic and slice, in one job. Returns the slice ids."""
+    def stage(self, messages: DataFrame, slice_col: Column, files: int = 1) -> None:
+        """Write ``topic, key, value, ingest_ts`` messages by slice and topic,
+        ``files`` files each: rows are dealt by slice, topic and a part of the
+        key's hash, so a task does not write to every folder."""
         out = messages.select("topic", "key", "value", "ingest_ts", slice_col.cast("int").alias("slice"))
-        out.write.partitionBy("topic", "slice").json(self.path("stage"))
-        ids = set()
-        for t in list_dir(self.spark, self.path("stage")):
-            for s in list_dir(self.spark, self.path("stage", t)):
-                if s.startswith("slice="):
-                    ids.add(int(s.split("=", 1)[1]))
-        return sorted(ids)
-
-    def deliver(self, slice_id: int) -> None:
-        """Move the files of one slice into the input folders."""
+        out = out.repartition("slice", "topic", F.pmod(F.xxhash64("key"), F.lit(files)))
+        out.write.partitionBy("slice", "topic").parquet(self.path("stage"))
+
+    def deliver(self, wanted: str) -> None:
+        """Append the messages of the slices for which ``wanted`` (a condition
+        on ``slice``) holds to the input folders."""
+        schema = T.StructType([*schemas.ENVELOPE, T.StructField("slice", T.IntegerType()), T.StructField("topic", T.StringType())])
+        staged = self.spark.read.schema(schema).parquet(self.path("stage")).where(wanted)
         for t in TOPICS:
-            src = self.path("stage", f"topic={t}", f"slice={slice_id}")
-            dst = self.path("in", t)
-            make_dirs(self.spark, dst)
-            for name in list_dir(self.spark, src):
-                if name.startswith("part-"):
-                    move(self.spark, f"{src}/{name}", f"{dst}/s{slice_id}-{name}")
-
-    def staged_bytes(self) -> int:
-        return content_bytes(self.spark, self.path("stage"))
-
-    def state_partitions(self, target_bytes: int = 64 * 1024 * 1024) -> int:
-        """State partitions sized to the feed: one per ``target_bytes`` of
-        staged messages, at least the cluster's parallelism, at most the
-        session's shuffle partitions. A stream fixes this count in its
-        checkpoint at the first start."""
-        session = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
-        cores = self.spark.sparkContext.defaultParallelism
-        wanted = -(-self.staged_bytes() // target_bytes)
-        return max(1, min(session, max(cores, wanted)))
-
-    def stream_session(self) -> SparkSession:
-        """The session the replay's streams run in: the caller's settings,
-        with state partitions sized to the feed (:meth:`state_partitions`).
-        A separate session, so the caller's settings are never changed."""
-        if self._stream_spark is None:
-            s = self.spark.newSession()
-            for k, v in self.spark.conf.getAll.items():
-                try:
-                    s.conf.set(k, v)
-                except Exception:  # static settings: shared through the context already
-                    pass
-            s.conf.set("spark.sql.shuffle.partitions", str(self.state_partitions()))
-            self._stream_spark = s
-        return self._stream_spark
+            rows = staged.where(F.col("topic") == t).select("key", "value", "ingest_ts")
+            rows.write.mode("append").parquet(self.path("in", t))
 
     def release_inputs(self) -> None:
         """Drop the staged feed, the delivered input and the checkpoint once
@@ -92,7 +60,7 @@ class FeedReplay:
 
     def envelopes(self, topic_name: str) -> DataFrame:
         """Streaming envelopes of one topic from its input folder, in the
-        replay's stream session."""
+        replay's stream session. Parquet keeps times to the microsecond."""
         d = self.path("in", topic_name)
         make_dirs(self.spark, d)
-        return read_envelope(self.stream_session(), "json", path=d)
+        return read_envelope(self.stream_spark, "parquet", path=d)

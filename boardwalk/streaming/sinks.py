@@ -7,12 +7,14 @@ import json
 import uuid
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from boardwalk import schemas
 from boardwalk.operators.latest import latest_per_key
 from boardwalk.session import read_text
-from boardwalk.streaming.upsert import UpsertTable
+from boardwalk.sources.table import register_board_path
+from boardwalk.sources.upsert import append_latest, is_upsert_path
 
 # Fixed value: the micro-batch interval of the original.
 DEFAULT_TRIGGER = "10 seconds"
@@ -61,50 +63,47 @@ def merge_latest(batch: DataFrame, table: str, key: str = "tripId", order: list[
 
 def write_upsert(
     board: DataFrame,
-    path: str,
+    path: str | None,
     checkpoint: str,
     key: str = "tripId",
     order: list[str] | None = None,
-    buckets: int | None = None,
-    retain: int = 10,
     trigger: str | None = None,
     query_name: str | None = None,
     register_as: str | None = None,
     merge_into: str | None = None,
 ) -> StreamingQuery:
-    """Keep the latest board row per ``key`` in the table at ``path``, or,
-    with ``merge_into``, in that catalog table through ``MERGE`` (a table
-    format that supports it; ``path`` is then unused).
+    """Keep the latest board row per ``key`` at ``path``, or, with
+    ``merge_into``, in that catalog table through ``MERGE`` (a table format
+    that supports it; ``path`` is then unused).
 
     ``board`` must carry the order columns (``derive_board(keep_order=True)``).
-    Each micro-batch is merged into the touched buckets only and committed by
-    writing a new manifest last; a replayed batch id is skipped, so a restart
-    after a failure never applies a batch twice. ``register_as`` publishes
-    the committed version as the global view ``global_temp.<name>`` after
-    every commit, so SQL in any session of the application sees it."""
+    Each micro-batch adds its own latest rows (``upsert.append_latest``), so
+    its cost follows the batch and not the table, and a replayed batch
+    replaces itself. ``register_as`` names a persistent catalog view of the
+    latest rows, made at the first batch; it needs no renewal after."""
     spark = board.sparkSession
     order = order or schemas.LATEST_ORDER
-    table = None if merge_into else UpsertTable(spark, path, key=key, order=order, buckets=buckets, retain=retain)
-    writer: dict[str, str] = {}
-
-    def writer_id() -> str:
-        # The query id is written to the checkpoint's metadata file at start,
-        # before any batch: a checkpoint recreated at the same path is a new
-        # writer, so its batch ids (from 0 again) are not taken for replays.
-        if "id" not in writer:
-            ckpt = checkpoint.rstrip("/")
-            meta = json.loads(read_text(spark, f"{ckpt}/metadata").splitlines()[0])
-            writer["id"] = f"{ckpt}#{meta['id']}"
-        return writer["id"]
+    if not merge_into and not path:
+        raise ValueError("an upsert needs a path or a table to merge into")
+    known: dict[str, str] = {}
+
+    def writer() -> str:
+        # The query id is in the checkpoint's metadata from the start: a
+        # checkpoint made anew at the same path is another writer, whose batch
+        # ids (from 0 again) don't replace the old one's.
+        if "id" not in known:
+            meta = read_text(spark, f"{checkpoint.rstrip('/')}/metadata")
+            known["id"] = json.loads(meta.splitlines()[0])["id"]
+        return known["id"]
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         if merge_into:
             merge_latest(batch, merge_into, key, order)
             return
-        if table.commit(batch, batch_id, writer_id()) is not None and register_as:
-            current = table.read()
-            if current is not None:
-                current.select(*schemas.BOARD_COLUMNS).createOrReplaceGlobalTempView(register_as)
+        append_latest(batch, path, writer(), batch_id, key, order)
+        if register_as and "view" not in known and is_upsert_path(spark, path):
+            register_board_path(spark, path, register_as)
+            known["view"] = register_as
 
     w = board.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
     if query_name:
@@ -112,16 +111,31 @@ def write_upsert(
     return with_trigger(w, trigger).start()
 
 
-def publish(messages: DataFrame, fmt: str, options: dict[str, str] | None = None, path: str | None = None) -> None:
-    """Write routed messages ``topic, key, value`` (batch). Kafka sends each
-    row to the topic it names; a file format writes one folder per topic."""
-    options = dict(options or {})
+# Six digits, so that times read back are the times written.
+JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
+
+
+def _message_writer(messages: DataFrame, writer, fmt: str, options: dict[str, str], path: str | None):
+    """``writer(frame)`` set up for a message sink."""
     if fmt == "kafka":
-        messages.select("topic", "key", "value").write.format("kafka").options(**options).save()
-        return
+        return writer(messages.select("topic", "key", "value")).format("kafka").options(**options)
+    if fmt == "kinesis":
+        # Untested here: needs a Kinesis sink on the class path. The stream is
+        # an option; each topic is published to its own.
+        out = messages.select(F.col("key").alias("partitionKey"), F.col("value").cast("binary").alias("data"))
+        return writer(out).format("kinesis").options(**options)
     if path is None:
         raise ValueError("a file sink needs a path")
-    messages.write.mode("append").partitionBy("topic").format(fmt).options(**options).save(path)
+    extra = JSON_TIMES if fmt == "json" else {}
+    return writer(messages).format(fmt).partitionBy("topic").options(**{**extra, **options}).option("path", path)
+
+
+def publish(messages: DataFrame, fmt: str, options: dict[str, str] | None = None, path: str | None = None) -> None:
+    """Write routed messages ``topic, key, value`` (batch). Kafka sends each
+    row to the topic it names; Kinesis gets partition key and data, with the
+    stream among the options (publish one topic at a time); a file format
+    writes one folder per topic."""
+    _message_writer(messages, lambda df: df.write.mode("append"), fmt, dict(options or {}), path).save()
 
 
 def publish_stream(
@@ -133,17 +147,10 @@ def publish_stream(
     trigger: str | None = None,
     query_name: str | None = None,
 ) -> StreamingQuery:
-    """Stream routed messages ``topic, key, value, ingest_ts`` out: to Kafka
-    (each row to the topic it names) or to one folder per topic, which
-    ``read_envelope`` reads back. Exactly-once for files (sink log);
-    at-least-once for Kafka, as for any Kafka producer."""
-    options = dict(options or {})
-    if fmt == "kafka":
-        w = messages.select("topic", "key", "value").writeStream.format("kafka").options(**options)
-    else:
-        if path is None:
-            raise ValueError("a file sink needs a path")
-        w = messages.writeStream.format(fmt).partitionBy("topic").options(**options).option("path", path)
+    """Stream routed messages ``topic, key, value, ingest_ts`` out, as
+    ``publish`` does. Exactly-once for files (sink log); at-least-once for
+    brokers, as for any producer."""
+    w = _message_writer(messages, lambda df: df.writeStream, fmt, dict(options or {}), path)
     w = w.outputMode("append").option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)

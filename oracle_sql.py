@@ -126,17 +126,41 @@ def _epoch_text(c: str) -> str:
     return f"CAST(date_diff('second', {_EPOCH}, {c}) AS VARCHAR)"
 
 
+_FEED_STATUS = "CASE o_orderstatus WHEN 'F' THEN 'STOPPED_AT' WHEN 'O' THEN 'IN_TRANSIT_TO' END"
+# An order's stops in message order, as comma-joined text ('-' for a time left out).
+_BY = "ORDER BY l_linenumber, l_shipdate, l_partkey"
+_STOP_TEXT = f"""
+ln AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey {_BY}) AS i FROM lineitem),
+st AS (
+  SELECT l_orderkey AS okey,
+         string_agg(CAST(l_partkey AS VARCHAR), ',' {_BY}) AS stopIds,
+         string_agg(CASE WHEN i = 1 AND l_orderkey % 7 = 0 THEN '-' ELSE {_epoch_text('l_shipdate')} END, ',' {_BY}) AS arrivals,
+         string_agg(CAST(date_diff('second', {_EPOCH}, l_shipdate) + 60 AS VARCHAR), ',' {_BY}) AS departures
+  FROM ln GROUP BY l_orderkey
+)
+"""
+
+
 def queries() -> dict[str, str]:
+    q = _live()
+    # The same questions asked in SQL of a stored board.
+    q |= {f"sql_{name}": q[name] for name in list(q) if name[0] == "q" and name[1].isdigit()}
+    return q | {"sql_q9_pruned": q["q9_first_snapshot"]}
+
+
+def _live() -> dict[str, str]:
     q3_order = ", ".join(f"{c} ASC NULLS FIRST" for c in _Q3_COLS)
     q3_cols = ", ".join(_Q3_COLS)
     latest = f"""{BOARD}
 SELECT {BOARD_COLS} FROM board
 QUALIFY row_number() OVER (PARTITION BY tripId ORDER BY currentTime DESC) = 1"""
-    by_route_topic = f"""WITH {_TRIPS}
-SELECT topic, routeId, count(*) AS messages FROM (
-  SELECT 'trip_updates' AS topic, replace(o_orderpriority, ' ', '') AS routeId FROM u
+    by_route_topic = f"""WITH {_TRIPS}, {_STOP_TEXT}
+SELECT topic, routeId, count(*) AS messages, CAST(sum(chars) AS BIGINT) AS stopIdChars, count(status) AS statuses, max(ts) AS lastTimestamp FROM (
+  SELECT 'trip_updates' AS topic, replace(o_orderpriority, ' ', '') AS routeId, length(stopIds) AS chars, NULL AS status, NULL AS ts
+  FROM u LEFT JOIN st ON k = st.okey
   UNION ALL
-  SELECT 'trip_status' AS topic, replace(o_orderpriority, ' ', '') AS routeId FROM u WHERE poll = 0 AND k % 13 <> 0
+  SELECT 'trip_status', replace(o_orderpriority, ' ', ''), NULL, {_FEED_STATUS}, {_epoch_text('o_orderdate')}
+  FROM u WHERE poll = 0 AND k % 13 <> 0
 ) m GROUP BY topic, routeId"""
     return {
         "trip_board": f"{BOARD}\nSELECT * FROM board",
@@ -180,16 +204,26 @@ FROM o WHERE k % 13 <> 0""",
        CASE WHEN o_orderstatus = 'F' THEN 'STOPPED_AT' ELSE 'ON_THE_ROAD' END AS currentStatus,
        u_ingest AS u_ingest_ts, o_orderdate AS s_ingest_ts
 FROM ub""",
-        "feed_split": f"""WITH {_TRIPS}
+        "feed_split": f"""WITH {_TRIPS}, {_STOP_TEXT}
 SELECT 'trip_updates' AS topic, CAST(k AS VARCHAR) AS tripId, replace(o_orderpriority, ' ', '') AS routeId,
-       {_START_TEXT} AS startTime, strftime(o_orderdate, '%Y%m%d') AS startDate, u_ingest AS ingest_ts
-FROM u
+       {_START_TEXT} AS startTime, strftime(o_orderdate, '%Y%m%d') AS startDate,
+       stopIds, arrivals, departures,
+       NULL AS currentStatus, NULL AS timestamp, u_ingest AS ingest_ts
+FROM u LEFT JOIN st ON k = st.okey
 UNION ALL
 SELECT 'trip_status', CAST(k AS VARCHAR), replace(o_orderpriority, ' ', ''),
-       {_START_TEXT}, strftime(o_orderdate, '%Y%m%d'), u_ingest
+       {_START_TEXT}, strftime(o_orderdate, '%Y%m%d'), NULL, NULL, NULL, {_FEED_STATUS}, {_epoch_text('o_orderdate')}, u_ingest
 FROM u WHERE poll = 0 AND k % 13 <> 0""",
         "feed_compact": by_route_topic,
         "feed_union": by_route_topic,
+        "board_from_feed": f"{BOARD}\nSELECT * FROM board",
+        "board_default_clock": f"""{BOARD}
+SELECT routeId, count(tripId) AS numOfTrips, CAST(sum(numOfFutureStops) AS BIGINT) AS numOfFutureStops, 1 AS clocks
+FROM board GROUP BY routeId""",
+        "stream_late_dropped": f"""{BOARD}
+SELECT {BOARD_COLS} FROM board WHERE NOT (CAST(tripId AS BIGINT) % 17 = 5 AND
+  (SELECT o_orderdate FROM orders WHERE o_orderkey = CAST(tripId AS BIGINT)) < TIMESTAMP '1998-01-01')""",
+        "stream_upsert_replayed": latest,
         "stream_append": f"{BOARD}\nSELECT {BOARD_COLS} FROM board",
         "stream_join_bounded": f"{BOARD}\nSELECT {BOARD_COLS} FROM board",
         "stream_upsert": latest,

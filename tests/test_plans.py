@@ -26,12 +26,22 @@ def test_no_python_udfs_anywhere(spark):
             assert node not in p, (name, node)
 
 
+def q9_rank_form(board):
+    """The literal form: global rank, keep rank 1 (rows without a clock are
+    left out, as the minimum ignores them). One partition holds all rows."""
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    ranked = board.where("currentTime IS NOT NULL").withColumn("rnk", F.rank().over(Window.orderBy("currentTime")))
+    return adhoc._q9_sum(ranked.where("rnk = 1"))
+
+
 def test_q9_min_form_has_no_window_and_matches_rank_form(spark):
     b = trip_board(spark, SF_SMALL)
     q = adhoc.q9_first_snapshot(b)
     assert "Window" not in physical(q)
-    assert "Window" in physical(adhoc.q9_rank_form(b))
-    assert rows(q) == rows(adhoc.q9_rank_form(b))
+    assert "Window" in physical(q9_rank_form(b))
+    assert rows(q) == rows(q9_rank_form(b))
 
 
 def test_message_parsed_once_per_topic(spark):
@@ -97,16 +107,39 @@ def test_hot_trip_is_split_by_aqe_skew_join(spark):
                 spark.conf.set(k, v)
 
 
-def test_status_side_adds_no_shuffle_on_a_wide_scan(spark):
+def test_status_side_is_spread_only_when_asked(spark):
     from boardwalk.plans.board_plan import table
     from boardwalk.sources.fixtures import status_messages
 
-    narrow = status_messages(table(spark, SF_SMALL, "orders"))
-    assert "REPARTITION_BY_COL" in physical(narrow)  # one row group: spread by key
-    path = f"{shared_dir(spark)}/test-wide-{uuid.uuid4().hex[:8]}"
-    table(spark, SF_SMALL, "orders").repartition(2 * spark.sparkContext.defaultParallelism).write.parquet(path)
-    wide = status_messages(spark.read.parquet(path))
-    assert "Exchange" not in physical(wide)
+    orders = table(spark, SF_SMALL, "orders")
+    assert "REPARTITION_BY_COL" in physical(status_messages(orders, spread=True))
+    assert "Exchange" not in physical(status_messages(orders))
+
+
+def parsed_fields(df) -> list[str]:
+    """The schema text of each parse in a plan."""
+    return [p.split("value#")[0] for p in optimized(df).split("from_json(")[1:]]
+
+
+def test_questions_parse_only_the_parts_they_need(spark):
+    for name in ("q2_count", "q4_trips_per_route"):
+        got = parsed_fields(registry()[name](spark, SF_SMALL))
+        assert len(got) == 2 and all("StructField(trip," in p for p in got), name
+        assert not any(f"StructField({f}," in p for p in got for f in ("stopTimeUpdate", "timestamp", "currentStatus")), name
+    got = parsed_fields(trip_board(spark, SF_SMALL))
+    assert any("StructField(stopTimeUpdate," in p for p in got) and not any("StructField(departure," in p for p in got)
+
+
+def test_sql_on_a_stored_board_prunes_and_pushes(spark):
+    from boardwalk.plans.registered import stored_board
+
+    name = stored_board(spark, SF_SMALL)
+    assert name == stored_board(spark, SF_SMALL)
+    p = physical(registry()["sql_q5_started_between_1998"](spark, SF_SMALL))
+    assert "PushedFilters: [IsNotNull(startTime), GreaterThanOrEqual(startTime" in p
+    assert "ReadSchema: struct<tripId:string,routeId:string,startTime:timestamp_ntz>" in p
+    p = physical(registry()["sql_q9_pruned"](spark, SF_SMALL))
+    assert "PushedFilters: [IsNotNull(currentTime), EqualTo(currentTime," in p
 
 
 def test_pushed_q7_filter_stays_linear_in_size(spark):
@@ -125,4 +158,4 @@ def test_q9_on_a_board_table_pushes_the_first_clock_to_the_scan(spark):
     b = read_board(spark, path)
     q = adhoc.q9_first_snapshot_pruned(b)
     assert "PushedFilters: [IsNotNull(currentTime), EqualTo(currentTime," in physical(q)
-    assert rows(q) == rows(adhoc.q9_first_snapshot(b)) == rows(adhoc.q9_rank_form(b))
+    assert rows(q) == rows(adhoc.q9_first_snapshot(b)) == rows(q9_rank_form(b))

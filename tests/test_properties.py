@@ -7,7 +7,7 @@ from hypothesis import strategies as st
 
 from boardwalk.operators import latest_per_key
 from boardwalk.session import shared_dir
-from boardwalk.streaming import UpsertTable
+from boardwalk.sources.upsert import append_latest, compact, read_latest
 
 ROW = st.tuples(
     st.sampled_from(["a", "b", "c", "d", "e"]),          # key
@@ -45,15 +45,15 @@ def test_latest_per_key_matches_reference(spark, data):
     st.permutations([0, 1, 2]),
 )
 def test_upsert_any_split_any_order_equals_latest(spark, data, parts, order):
-    t = UpsertTable(spark, f"{shared_dir(spark)}/prop-{uuid.uuid4().hex[:8]}", key="k", order=ORDER, buckets=3)
+    path = f"{shared_dir(spark)}/prop-{uuid.uuid4().hex[:8]}"
     batches = [[r for r, p in zip(data, parts) if p == i] for i in range(3)]
-    batch_id = 0
+    batch_id, schema = 0, spark.createDataFrame([], SCHEMA).schema
     for i in order:
         if batches[i]:
-            t.commit(spark.createDataFrame(batches[i], SCHEMA), batch_id)
+            append_latest(spark.createDataFrame(batches[i], SCHEMA), path, "w", batch_id, "k", ORDER)
             batch_id += 1
-    # replaying the last batch id changes nothing
-    if batch_id:
-        t.commit(spark.createDataFrame(data, SCHEMA), batch_id - 1)
-    got = sorted(tuple(r) for r in t.read().select("k", "o1", "o2", "v").collect())
+    # all of it once more, under the id of a batch to come
+    append_latest(spark.createDataFrame(data, SCHEMA), path, "w", batch_id, "k", ORDER)
+    compact(spark, path, "k", ORDER, schema, keep_s=0)
+    got = sorted(tuple(r) for r in read_latest(spark, path, "k", ORDER, schema).select("k", "o1", "o2", "v").collect())
     assert got == _best(data)

@@ -13,7 +13,8 @@ from boardwalk.plans.board_plan import FIXTURE_CLOCK, board_from_messages, feeds
 from boardwalk.plans.registered import stream_append, stream_upsert
 from boardwalk.session import list_dir, shared_dir
 from boardwalk.sources.envelope import read_envelope
-from boardwalk.streaming import AVAILABLE_NOW, UpsertTable, board_stream, write_append, write_upsert
+from boardwalk.sources.upsert import DELTAS, append_latest, compact, read_deltas, read_latest
+from boardwalk.streaming import AVAILABLE_NOW, board_stream, write_append, write_upsert
 from conftest import SF_SMALL, rows
 
 
@@ -35,9 +36,12 @@ def test_latest_board_equals_latest_of_full_join(spark):
     assert rows(latest_board(u, s, clock=FIXTURE_CLOCK)) == rows(want)
 
 
-def _table(spark, retain=3):
-    path = f"{shared_dir(spark)}/test-upsert-{uuid.uuid4().hex[:8]}"
-    return UpsertTable(spark, path, key="tripId", order=schemas.LATEST_ORDER, buckets=4, retain=retain)
+def _path(spark):
+    return f"{shared_dir(spark)}/test-upsert-{uuid.uuid4().hex[:8]}"
+
+
+def _apply(path, batch, batch_id, writer="w"):
+    append_latest(batch, path, writer, batch_id, "tripId", schemas.LATEST_ORDER)
 
 
 def _slices(spark):
@@ -47,36 +51,70 @@ def _slices(spark):
 
 
 def test_upsert_one_row_per_key_and_idempotent_replay(spark):
-    t = _table(spark)
+    t = _path(spark)
     parts = _slices(spark)
-    assert t.commit(parts[0], 0) == 1
-    first = rows(t.read())
-    assert t.commit(parts[0], 0) is None  # replayed batch id: skipped
-    assert rows(t.read()) == first
-    for i, p in enumerate(parts[1:], start=1):
-        t.commit(p, i)
-    table = t.read()
+    assert read_latest(spark, t).count() == 0
+    _apply(t, parts[0], 0)
+    first, deltas = rows(read_latest(spark, t)), read_deltas(spark, t).count()
+    _apply(t, parts[0], 0)  # a replayed batch replaces itself
+    assert rows(read_latest(spark, t)) == first and read_deltas(spark, t).count() == deltas
+    _apply(t, parts[0], 1)  # and once more under another id changes nothing
+    assert rows(read_latest(spark, t)) == first
+    for i, p in enumerate(parts[1:], start=2):
+        _apply(t, p, i)
+    table = read_latest(spark, t)
     assert table.count() == table.select("tripId").distinct().count()
 
 
 def test_upsert_order_insensitive(spark):
     parts = _slices(spark)
-    a, b = _table(spark), _table(spark)
+    a, b = _path(spark), _path(spark)
     for i, p in enumerate(parts):
-        a.commit(p, i)
+        _apply(a, p, i)
     for i, p in enumerate(reversed(parts)):
-        b.commit(p, i)
-    assert rows(a.read()) == rows(b.read())
+        _apply(b, p, i)
+    assert rows(read_latest(spark, a)) == rows(read_latest(spark, b))
 
 
-def test_upsert_retention_keeps_last_versions(spark):
-    t = _table(spark, retain=2)
+def test_a_small_batch_writes_only_itself(spark):
+    t = _path(spark)
+    parts = _slices(spark)
+    _apply(t, parts[3], 0)
+    before = read_deltas(spark, t).count()
+    _apply(t, parts[0].limit(8), 1)
+    assert read_deltas(spark, t).count() - before <= 8
+    _apply(t, parts[0].limit(0), 2)  # no rows: no folder
+    assert list_dir(spark, f"{t}/{DELTAS}/writer=w") == ["batch=0", "batch=1"]
+
+
+def test_compaction_keeps_rows_and_waits_for_readers(spark):
+    t = _path(spark)
+    for i, p in enumerate(_slices(spark)):
+        _apply(t, p, i)
+    want = rows(read_latest(spark, t))
+    compact(spark, t)
+    assert len(list_dir(spark, f"{t}/{DELTAS}/writer=w")) == 4  # still there for open queries
+    assert rows(read_latest(spark, t)) == want
+    compact(spark, t, keep_s=0)
+    assert list_dir(spark, f"{t}/{DELTAS}/writer=w") == []
+    assert len(list_dir(spark, f"{t}/{DELTAS}/writer=compacted")) == 1
+    assert rows(read_latest(spark, t)) == want
+    assert read_deltas(spark, t).count() == len(want)
+    _apply(t, _slices(spark)[0], 0)  # a replay after compaction is harmless
+    assert rows(read_latest(spark, t)) == want
+
+
+def test_upsert_path_reads_and_registers_as_latest_rows(spark):
+    from boardwalk.sources import read_board, register_board_path
+
+    t = _path(spark)
     for i, p in enumerate(_slices(spark)):
-        t.commit(p, i)
-    assert t.versions() == [3, 4]
-    data_versions = [n for n in list_dir(spark, f"{t.path}/data") if n.startswith("v=")]
-    assert "v=1" not in data_versions or any(r.version == 1 for r in t.manifest())
-    assert t.read().count() > 0
+        _apply(t, p, i)
+    want = rows(read_latest(spark, t).select(*schemas.BOARD_COLUMNS))
+    assert rows(read_board(spark, t)) == want
+    name = f"latest_{uuid.uuid4().hex[:8]}"
+    register_board_path(spark, t, name)
+    assert rows(spark.newSession().table(name), schemas.BOARD_COLUMNS) == want
 
 
 def _write_envelopes(spark, folder, values):
@@ -136,10 +174,10 @@ def test_app_json_source_upsert_sink_registers_view(spark):
     args = parser().parse_args([
         "--source", "json", "--updates-path", f"{root}/in/{UPDATES_TOPIC}", "--status-path", f"{root}/in/{STATUS_TOPIC}",
         "--sink", "upsert", "--path", f"{root}/table", "--checkpoint", f"{root}/ckpt",
-        "--trigger", "available_now", "--register-as", "board_latest", "--buckets", "4",
+        "--trigger", "available_now", "--register-as", "board_latest",
     ])
     start(spark, args).awaitTermination()
-    view = spark.table("global_temp.board_latest")
+    view = spark.newSession().table("board_latest")
     assert view.count() == view.select("tripId").distinct().count() == trip_board(spark, SF_SMALL).select("tripId").distinct().count()
 
 
@@ -166,44 +204,43 @@ def test_producer_stream_splits_and_publishes(spark):
         assert rows(g) == rows(w), t
 
 
-def test_upsert_stream_recovers_from_a_failed_commit(spark, monkeypatch):
-    """The first manifest write fails after the data files are written (as
-    if the driver died mid-commit): the query fails, a restart from the
-    checkpoint replays the batch, and the table ends exactly right."""
+def test_upsert_stream_recovers_from_a_failed_batch(spark, monkeypatch):
+    """The first batch fails after its rows are written (as if the driver died
+    before the checkpoint): the query fails, a restart replays the batch, and
+    the table is right before and after."""
     import pytest
     from pyspark.errors import StreamingQueryException
 
-    from boardwalk.streaming import upsert as upsert_mod
+    from boardwalk.streaming import sinks
 
     root = f"{shared_dir(spark)}/test-fail-{uuid.uuid4().hex[:8]}"
     msgs = messages(spark, SF_SMALL)
     for t in ("trip_updates", "trip_status"):
         msgs.where(F.col("topic") == t).select("key", "value", "ingest_ts").write.json(f"{root}/in/{t}")
-    real = upsert_mod.write_text_atomic
-    calls = {"n": 0}
+    real, calls = sinks.append_latest, {"n": 0}
 
-    def flaky(spark_, path, text):
+    def flaky(*args):
+        real(*args)
         calls["n"] += 1
         if calls["n"] == 1:
-            raise OSError("simulated failure before the manifest")
-        return real(spark_, path, text)
+            raise OSError("simulated failure after the write")
 
-    monkeypatch.setattr(upsert_mod, "write_text_atomic", flaky)
+    monkeypatch.setattr(sinks, "append_latest", flaky)
 
     def run():
         b = board_stream(read_envelope(spark, "json", path=f"{root}/in/trip_updates"),
                          read_envelope(spark, "json", path=f"{root}/in/trip_status"),
                          clock=FIXTURE_CLOCK, keep_order=True)
-        q = write_upsert(b, f"{root}/table", f"{root}/ckpt", trigger=AVAILABLE_NOW, buckets=4)
-        q.awaitTermination()
+        write_upsert(b, f"{root}/table", f"{root}/ckpt", trigger=AVAILABLE_NOW).awaitTermination()
 
     with pytest.raises(StreamingQueryException, match="simulated failure"):
         run()
-    t = UpsertTable(spark, f"{root}/table", key="tripId", order=schemas.LATEST_ORDER)
-    assert t.read() is None  # nothing visible: no manifest was committed
     run()
+    assert calls["n"] >= 2
     want = latest_per_key(trip_board(spark, SF_SMALL), "tripId", ["currentTime"])
-    assert rows(t.read().select(*schemas.BOARD_COLUMNS)) == rows(want)
+    got = read_latest(spark, f"{root}/table").select(*schemas.BOARD_COLUMNS)
+    assert rows(got) == rows(want)
+    assert read_deltas(spark, f"{root}/table").count() == len(rows(want))
 
 
 def test_salted_stream_join_equals_plain(spark):
@@ -250,26 +287,6 @@ def test_registered_streams_on_an_empty_feed(spark, tmp_path):
         assert out.count() == 0 and out.columns == schemas.BOARD_COLUMNS, fn.__name__
 
 
-def test_upsert_table_keeps_its_bucket_count(spark):
-    import pytest
-
-    t = _table(spark)  # 4 buckets
-    parts = _slices(spark)
-    t.commit(parts[0], 0)
-    old = spark.conf.get("spark.sql.shuffle.partitions")
-    try:
-        spark.conf.set("spark.sql.shuffle.partitions", "7")
-        again = UpsertTable(spark, t.path, key="tripId", order=schemas.LATEST_ORDER)
-        assert again.buckets == 4
-        again.commit(parts[3], 1)
-        table = again.read()
-        assert table.count() == table.select("tripId").distinct().count()
-        with pytest.raises(ValueError, match="buckets"):
-            UpsertTable(spark, t.path, key="tripId", order=schemas.LATEST_ORDER, buckets=9)
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", old)
-
-
 def test_upsert_with_a_recreated_checkpoint_is_a_new_writer(spark):
     """Batch ids restart at 0 under a checkpoint recreated at the same path;
     they must be applied, not taken for replays of the old query's batches."""
@@ -288,22 +305,66 @@ def test_upsert_with_a_recreated_checkpoint_is_a_new_writer(spark):
         b = board_stream(read_envelope(spark, "json", path=f"{root}/in{part}/trip_updates"),
                          read_envelope(spark, "json", path=f"{root}/in{part}/trip_status"),
                          clock=FIXTURE_CLOCK, keep_order=True)
-        write_upsert(b, f"{root}/table", f"{root}/ckpt", trigger=AVAILABLE_NOW, buckets=4).awaitTermination()
+        write_upsert(b, f"{root}/table", f"{root}/ckpt", trigger=AVAILABLE_NOW).awaitTermination()
 
     add(0)
     run(0)
     delete_path(spark, f"{root}/ckpt")  # the operator starts over at the same path
     add(1)
     run(1)
-    t = UpsertTable(spark, f"{root}/table", key="tripId", order=schemas.LATEST_ORDER)
     want = latest_per_key(trip_board(spark, SF_SMALL), "tripId", ["currentTime"])
-    assert rows(t.read().select(*schemas.BOARD_COLUMNS)) == rows(want)
+    assert rows(read_latest(spark, f"{root}/table").select(*schemas.BOARD_COLUMNS)) == rows(want)
 
 
-def test_upsert_skips_an_empty_batch(spark):
-    t = _table(spark)
-    parts = _slices(spark)
-    assert t.commit(parts[0], 0) == 1
-    assert t.commit(parts[0].limit(0), 1) is None
-    assert t.versions() == [1]
-    assert t.commit(parts[1], 2) == 2
+def test_stream_session_keeps_state_in_rocksdb_and_its_own_partitions(spark):
+    from boardwalk.session import STREAM_CONF, stream_session
+
+    plain = spark.newSession()
+    for k in STREAM_CONF:
+        plain.conf.unset(k)
+    before = plain.conf.get("spark.sql.shuffle.partitions")
+    s = stream_session(plain, 3)
+    assert "RocksDB" in s.conf.get("spark.sql.streaming.stateStore.providerClass")
+    assert s.conf.get("spark.sql.shuffle.partitions") == "3"
+    assert plain.conf.get("spark.sql.shuffle.partitions") == before
+    assert stream_session(spark).conf.get("spark.sql.shuffle.partitions") == str(spark.sparkContext.defaultParallelism)
+
+
+def test_replay_stages_one_file_per_slice_and_topic(spark):
+    from boardwalk.plans.registered import _time_slices
+    from boardwalk.streaming import FeedReplay
+
+    msgs = messages(spark, SF_SMALL)
+    r = FeedReplay(spark, "test-stage")
+    r.stage(msgs, _time_slices(msgs))
+    staged = spark.read.parquet(r.path("stage"))
+    files = staged.select("slice", "topic", F.input_file_name().alias("f")).distinct()
+    folders = staged.select("slice", "topic").distinct().count()
+    assert folders > 50 and files.count() == folders
+    r.deliver("slice < 199501")
+    r.deliver("slice >= 199501")
+    got = r.spark.read.parquet(r.path("in", "trip_updates"))
+    assert rows(got, ["key", "value", "ingest_ts"]) == rows(msgs.where("topic = 'trip_updates'"), ["key", "value", "ingest_ts"])
+
+
+def test_latest_board_takes_the_source_zone(spark):
+    msgs = messages(spark, SF_SMALL)
+    u, s = feeds(msgs)
+    got = latest_board(u, s, mode="instant", clock=FIXTURE_CLOCK, source_tz="Europe/London")
+    from boardwalk.operators import derive_board, join_feeds
+
+    full = derive_board(join_feeds(u, s), mode="instant", clock=FIXTURE_CLOCK, source_tz="Europe/London", keep_order=True)
+    assert rows(got) == rows(latest_per_key(full, "tripId", schemas.LATEST_ORDER).select(*schemas.BOARD_COLUMNS))
+
+
+def test_app_asks_for_a_path_only_where_it_is_used(spark):
+    import pytest
+
+    from boardwalk.app import parser, start
+
+    with pytest.raises(SystemExit, match="needs --path"):
+        start(spark, parser().parse_args(["--sink", "append", "--checkpoint", "c"]))
+    with pytest.raises(Exception, match="(?i)kafka"):
+        snaps = f"{shared_dir(spark)}/test-snaps-{uuid.uuid4().hex[:8]}"
+        spark.createDataFrame([], schemas.SNAPSHOT_FILE).write.json(snaps)
+        start(spark, parser().parse_args(["--role", "producer", "--sink", "kafka", "--snapshots-path", snaps, "--checkpoint", f"{snaps}-c"]))
