@@ -1,16 +1,17 @@
 """Nearest neighbours by inner product over randomly rotated one-bit codes.
 
 A vector, less the centre, is turned by a random rotation and kept as its
-signs (packed bits) and three numbers: its length r, its product f with the
-unit vector of its signs, and its product with the centre. For a query q the
-product of signs and rotated query, divided by f, estimates the product of the
-vector's direction with q; the estimate's error is about
+signs (packed bits) and two scalars: its length r, and the product f of its
+direction with the unit vector of its signs. For a query q the product of that
+unit vector and the rotated query, divided by f, estimates the product of the
+direction with q; times r, plus the centre's product with q, it estimates the
+inner product sought. The error of the direction's estimate is about
 
     sqrt((1 - f^2) / f^2) * |q| / sqrt(dims - 1)
 
 and ``sure`` times that bounds it but for a small probability. Per query the
 best estimates are computed exactly first; a vector is reranked if its upper
-bound reaches the worst of the nearest found so far.
+bound reaches the worst of the nearest found by that.
 
 Every query meets every code, in blocks: queries and vectors are dealt into
 blocks, a pair of blocks is one task's work and returns each query's nearest
@@ -32,9 +33,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from boardwalk.llm.common import arrow_rows, settled, ship
+from boardwalk.llm.common import arrow_rows, settled, ship, smallest
 
-_CODES = "vec_id long, dims int, code binary, r double, f double, c double, vec binary"
+_CODES = "vec_id long, dims int, code binary, r double, f double, vec binary"
 _NEAREST = "query_id long, vec_id long, score double"
 
 
@@ -46,52 +47,57 @@ def rotation(dims: int, seed: int) -> np.ndarray:
 
 
 def encode(vectors: np.ndarray, centre: np.ndarray, turn: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Packed signs, r, f and the product with the centre, by row."""
+    """Packed signs, r and f, by row."""
     rest = vectors - centre
     r = np.sqrt((rest * rest).sum(axis=1))
     turned = rest @ turn
     f = np.abs(turned).sum(axis=1) / np.sqrt(turn.shape[1]) / np.where(r > 0, r, 1)
-    return np.packbits(turned >= 0, axis=1), r, np.where(r > 0, f, 1), vectors @ centre
-
-
-def exact(vectors: np.ndarray, queries: np.ndarray) -> np.ndarray:
-    """Inner products row by row in double precision, summed from the first
-    component on, so equal vectors get equal scores."""
-    out = np.zeros(len(vectors))
-    for k in range(vectors.shape[1]):
-        out += vectors[:, k] * queries[:, k]
+    return np.packbits(turned >= 0, axis=1), r, np.where(r > 0, f, 1)
+
+
+def exact(vectors: np.ndarray, rows: np.ndarray, queries: np.ndarray, query_rows: np.ndarray, lot: int = 8192) -> np.ndarray:
+    """Inner products of pairs of rows in double precision, summed from the
+    first component on, so equal vectors get equal scores."""
+    out = np.zeros(len(rows))
+    for i in range(0, len(rows), lot):
+        part = slice(i, i + lot)
+        v = np.ascontiguousarray(vectors[rows[part]].T, np.float64)
+        v *= queries[query_rows[part]].T
+        total = out[part]
+        for component in v:
+            total += component
     return out
 
 
-def search_block(query_ids, queries, ids, vectors, codes, r, f, c, centre, turn, k: int, sure: float, lot: int = 256) -> tuple[np.ndarray, ...]:
+def search_block(query_ids, queries, ids, vectors, codes, r, f, centre, turn, k: int, sure: float, lot: int = 64) -> tuple[np.ndarray, ...]:
     """``query row, vector row, score`` of each query's ``k`` nearest."""
     dims = turn.shape[1]
     signs = (np.unpackbits(codes, axis=1).astype(np.float32) * 2 - 1) / np.float32(np.sqrt(dims))
     signs *= (r / f)[:, None].astype(np.float32)
     error = r * np.sqrt(np.maximum(1 - f * f, 0)) / f / np.sqrt(max(dims - 1, 1)) * sure
-    error += 1e-5 * r  # single precision
+    error = (error + 1e-5 * r).astype(np.float32)  # single precision
+    at = {int(x): i for i, x in enumerate(ids)}
     found: list[tuple[np.ndarray, ...]] = []
     for i in range(0, len(queries), lot):
         q = queries[i : i + lot]
-        length = np.sqrt((q * q).sum(axis=1))
-        guess = (signs @ (q @ turn).T.astype(np.float32)).T  # (queries, vectors)
-        guess += c.astype(np.float32)
-        own = ids[None, :] == query_ids[i : i + lot, None]
-        guess[own] = -np.inf
-        first = min(2 * k, guess.shape[1])
-        tried = np.argpartition(-guess, first - 1, axis=1)[:, :first]
-        rows = np.repeat(np.arange(len(q)), first)
-        score = exact(vectors[tried.ravel()], q[rows]).reshape(len(q), first)
-        score[np.take_along_axis(own, tried, 1)] = -np.inf
-        worst = np.sort(score, axis=1)[:, -min(k, first)]
-        # The estimate leaves out what the centre adds for the query itself.
-        again = (guess + (error[None, :] * length[:, None]).astype(np.float32) >= worst[:, None].astype(np.float32) - 1e-6) & ~own
-        rows, cols = np.nonzero(again)
-        score = exact(vectors[cols], q[rows])
+        length = np.sqrt((q * q).sum(axis=1)).astype(np.float32)
+        guess = (q @ turn).astype(np.float32) @ signs.T  # (queries, vectors)
+        guess += (q @ centre).astype(np.float32)[:, None]
+        for n, x in enumerate(query_ids[i : i + lot].tolist()):
+            if x in at:  # a query is not its own neighbour
+                guess[n, at[x]] = -np.inf
+        first = min(4 * k, guess.shape[1])
+        tried = np.argpartition(guess, -first, axis=1)[:, -first:]
+        score = exact(vectors, tried.ravel(), q, np.repeat(np.arange(len(q)), first)).reshape(len(q), first)
+        score[np.isneginf(np.take_along_axis(guess, tried, 1))] = -np.inf
+        worst = np.partition(score, -min(k, first), axis=1)[:, -min(k, first)].astype(np.float32)
+        worst -= np.float32(1e-6) * (1 + np.abs(worst))
+        guess += length[:, None] * error  # now the upper bounds
+        rows, cols = np.nonzero((guess >= worst[:, None]) & ~np.isneginf(guess))
+        score = exact(vectors, cols, q, rows)
         order = np.lexsort((ids[cols], -score, rows))
         rows, cols, score = rows[order], cols[order], score[order]
-        nth = np.arange(len(rows)) - np.searchsorted(rows, rows)
-        best = nth < k
+        best = np.arange(len(rows)) - np.searchsorted(rows, rows) < k
         found.append((rows[best] + i, cols[best], score[best]))
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
@@ -110,7 +116,9 @@ def usable(vector: Column) -> Column:
 
 
 def _matrix(column, dims: int) -> np.ndarray:
-    return np.frombuffer(b"".join(column.to_pylist()), np.float64).reshape(-1, dims)
+    """Rows of packed vectors, in the precision they were packed in."""
+    data = b"".join(column.to_pylist())
+    return np.frombuffer(data, np.float32 if len(data) == 4 * dims * len(column) else np.float64).reshape(-1, dims)
 
 
 def build_index(vectors: DataFrame, sample: int = 4096, seed: int = 17) -> tuple[DataFrame, dict[int, np.ndarray]]:
@@ -120,10 +128,12 @@ def build_index(vectors: DataFrame, sample: int = 4096, seed: int = 17) -> tuple
     rows = rows.where(F.col("vec_id").isNotNull() & usable(F.col("v")))
     rows = rows.groupBy("vec_id").agg(F.min("v").alias("v")).withColumn("dims", F.size("v"))
     got: dict[int, list] = {}
-    for r in rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).collect():
+    for r in smallest(rows, sample, F.xxhash64("vec_id"), "vec_id"):
         got.setdefault(r["dims"], []).append(r["v"])
     centres = {d: np.mean(v, axis=0) for d, v in got.items()}
 
+    kept = np.float32 if dict(vectors.dtypes)["embedding"] == "array<float>" else np.float64  # exactly, either way
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turns: dict[int, np.ndarray] = {}
         for b in batches:
@@ -132,17 +142,17 @@ def build_index(vectors: DataFrame, sample: int = 4096, seed: int = 17) -> tuple
                 part = b.filter(pa.array(all_dims == d))
                 x = part.column(1).flatten().to_numpy().reshape(-1, d)
                 turn = turns.setdefault(d, rotation(d, seed))
-                code, r, f, c = encode(x, centres.get(d, np.zeros(d)), turn)
+                code, r, f = encode(x, centres.get(d, np.zeros(d)), turn)
                 packed = lambda m: pa.array([row.tobytes() for row in m], pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(2), packed(code), pa.array(r), pa.array(f), pa.array(c), packed(x)],
+                    [part.column(0), part.column(2), packed(code), pa.array(r), pa.array(f), packed(x.astype(kept))],
                     [x.split()[0] for x in _CODES.split(", ")],
                 )
 
     return settled(arrow_rows(rows, run, _CODES)), centres
 
 
-def search(codes: DataFrame, centres: dict[int, np.ndarray], queries: Column, k: int = 20, sure: float = 2.5, vector_block: int = 4096, query_block: int = 8192, seed: int = 17) -> DataFrame:
+def search(codes: DataFrame, centres: dict[int, np.ndarray], queries: Column, k: int = 20, sure: float = 2.2, vector_block: int = 32768, query_block: int = 1024, seed: int = 17) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of each row
     of the index for which ``queries`` holds, its own left out, by score and
     then smaller vec_id."""
@@ -155,7 +165,7 @@ def search(codes: DataFrame, centres: dict[int, np.ndarray], queries: Column, k:
     span = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
     own = lambda m: F.pmod(F.xxhash64("vec_id"), F.lit(m)).cast("int")
     left = codes.where(queries).select("dims", own(query_blocks).alias("qb"), span(blocks).alias("vb"), "vec_id", "vec")
-    right = codes.select("dims", span(query_blocks).alias("qb"), own(blocks).alias("vb"), "vec_id", "code", "r", "f", "c", "vec")
+    right = codes.select("dims", span(query_blocks).alias("qb"), own(blocks).alias("vb"), "vec_id", "code", "r", "f", "vec")
 
     def pair(q: pa.Table, v: pa.Table) -> pa.Table:
         empty = pa.table({"query_id": pa.array([], pa.int64()), "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
@@ -167,7 +177,7 @@ def search(codes: DataFrame, centres: dict[int, np.ndarray], queries: Column, k:
         v, ids, x = v.take(keep), ids[keep], x[keep]
         code = np.frombuffer(b"".join(v["code"].to_pylist()), np.uint8).reshape(len(ids), -1)
         q_ids = q["vec_id"].to_numpy()
-        rows, cols, score = search_block(q_ids, _matrix(q["vec"], d), ids, x, code, *(v[c].to_numpy() for c in "rfc"), centres.get(d, np.zeros(d)), rotation(d, seed), k, sure)
+        rows, cols, score = search_block(q_ids, _matrix(q["vec"], d).astype(np.float64), ids, x, code, v["r"].to_numpy(), v["f"].to_numpy(), centres.get(d, np.zeros(d)), rotation(d, seed), k, sure)
         return pa.table({"query_id": q_ids[rows], "vec_id": ids[cols], "score": score})
 
     by = ["dims", "qb", "vb"]

@@ -36,7 +36,7 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardwalk.llm.common import arrow_rows, ship
+from boardwalk.llm.common import arrow_rows, ship, smallest
 from boardwalk.session import shared_dir
 
 # Fixed values of the format.
@@ -191,7 +191,7 @@ def _commit(uri: str):
     return run
 
 
-def write_archives(pages: DataFrame, uri: str, min_bytes: int = 1000, shard_bytes: int = 64 << 20, roll_bytes: int = 16 << 20, sample: int = 20_000) -> str:
+def write_archives(pages: DataFrame, uri: str, min_bytes: int = 1000, shard_bytes: int = 64 << 20, roll_bytes: int = 16 << 20, sample: int = 10_000) -> str:
     """Writes ``pages (page_id, url, html)`` as archives under the folder
     ``uri`` (new, on storage that executors share) and returns it.
 
@@ -208,7 +208,7 @@ def write_archives(pages: DataFrame, uri: str, min_bytes: int = 1000, shard_byte
     total = rows.agg(F.sum("n")).first()[0] or 0
     shards = max(1, -(-int(total) // shard_bytes))
     ids = pages.select(F.coalesce(F.col("page_id").cast("long"), F.lit(NO_ID)).alias("page_id"))
-    ids = sorted(r[0] for r in ids.orderBy(F.xxhash64("page_id"), "page_id").limit(sample).collect()) if shards > 1 else []
+    ids = sorted(r[0] for r in smallest(ids, sample, F.xxhash64("page_id"), "page_id")) if shards > 1 else []
     bounds = np.array(sorted({ids[len(ids) * k // shards] for k in range(1, shards)}) if ids else [], np.int64)
 
     @F.pandas_udf("int")

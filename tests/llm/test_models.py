@@ -104,6 +104,8 @@ def test_ann_messy(spark, blocks):
     rows += [(100 + i, same) for i in range(50)] + [(100, same), (120, [1.0] * 12)]
     rows += [(None, same), (200, None), (220, []), (240, [0.0] * 12), (260, [float("nan")] + same[1:]), (280, [float("inf")] + same[1:]), (300, [None, *same[1:]])]
     rows += [(320, [1.0, 2.0]), (321, [2.0, 1.0]), (340, [3.0])]
+    # A common offset: the centre matters.
+    rows = [(i, [x + 0.5 for x in v] if v and len(v) == 12 and None not in v and any(v) else v) for i, v in rows]
     df = spark.createDataFrame([(*r, 1) for r in rows], "vec_id long, embedding array<double>, code int").repartition(3)
     got = sorted(map(tuple, rabitq.nearest(df, F.col("vec_id") % 20 == 0, 20, **blocks).collect()))
     want = sorted(_nearest(rows, 20))
@@ -114,12 +116,12 @@ def test_ann_messy(spark, blocks):
 
 def test_ann_estimate_and_bound():
     rng = np.random.default_rng(2)
-    x, q = rng.standard_normal((2000, 64)), rng.standard_normal(64)
+    x, q = rng.standard_normal((2000, 64)) + 1, rng.standard_normal(64)
     turn, centre = rabitq.rotation(64, 1), x.mean(axis=0)
     assert np.allclose(turn @ turn.T, np.eye(64))
-    code, r, f, c = rabitq.encode(x, centre, turn)
+    code, r, f = rabitq.encode(x, centre, turn)
     signs = np.unpackbits(code, axis=1) * 2.0 - 1
-    guess = c * 0 + signs @ (q @ turn) / 8 / f * r + centre @ q
+    guess = signs @ (q @ turn) / 8 / f * r + centre @ q
     error = 2.5 * r * np.sqrt(1 - f * f) / f * np.linalg.norm(q) / np.sqrt(63)
     assert (np.abs(guess - x @ q) <= error).mean() > 0.98
 
