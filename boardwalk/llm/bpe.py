@@ -30,11 +30,12 @@ import json
 from collections.abc import Iterator
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boardwalk.llm.common import arrow_rows
+from boardwalk.llm.common import arrow_rows, sliced
 
 # Fixed value: the pattern of the byte-level pre-tokenizer.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -42,7 +43,7 @@ PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?
 #: Texts are cut for the pattern at about so many characters.
 SLICE = 1 << 20
 #: Pieces up to this length are remembered, at most so many twice over.
-SHORT, REMEMBERED = 48, 1 << 18
+SHORT, REMEMBERED = 48, 1 << 17
 
 
 def _byte_letters() -> dict[str, int]:
@@ -126,24 +127,18 @@ class Codec:
         """Tokens of ``data`` on its own: lowest rank first, leftmost first."""
         ids = [self.one[b] for b in data]
         rank, none = self.rank.get, len(self.rules)
-        while len(ids) > 1:
-            ranks = [rank(p, none) for p in zip(ids, ids[1:])]  # noqa: B905
+        ranks = [rank(p, none) for p in zip(ids, ids[1:])]  # noqa: B905
+        while ranks:
             best = min(ranks)
             if best == none:
                 break
-            a, b, new = self.rules[best]
-            out, i = [], 0
-            while True:  # each occurrence, from the left
-                try:
-                    k = ranks.index(best, i)
-                except ValueError:
-                    break
-                out += ids[i:k]
-                out.append(new)
-                i = k + 2
-                if i >= len(ranks):
-                    break
-            ids = out + ids[i:]
+            k = ranks.index(best)
+            ids[k : k + 2] = [self.rules[best][2]]
+            del ranks[k]
+            if k < len(ranks):
+                ranks[k] = rank((ids[k], ids[k + 1]), none)
+            if k:
+                ranks[k - 1] = rank((ids[k - 1], ids[k]), none)
         return ids
 
     def stream(self, steps: Iterator[bytes]) -> Iterator[int]:
@@ -245,7 +240,7 @@ def tokenized(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(spec.value)
-        for b in batches:
+        for b in sliced(batches, 128):
             n, ids_sha, text_sha, all_ids = [], [], [], []
             for text in b.column(1):
                 count, seen, back, decoder, kept = 0, hashlib.sha256(), hashlib.sha256(), Decoder(c), []
@@ -256,16 +251,16 @@ def tokenized(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
                     back.update(decoder.feed(ids).encode())
                     count += len(ids)
                     if with_ids:
-                        kept += ids
+                        kept.append(np.array(ids, np.int32))
                 back.update(decoder.close().encode())
                 n.append(count)
                 ids_sha.append(seen.hexdigest())
                 text_sha.append(back.hexdigest())
-                all_ids.append(kept)
+                all_ids += kept
             cols = [b.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(text_sha, pa.string())]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
-                cols, names = [*cols, pa.array(all_ids, pa.list_(pa.int32()))], [*names, "ids"]
+                cols, names = [*cols, pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n]), pa.int32()), pa.array(np.concatenate([*all_ids, np.empty(0, np.int32)])))], [*names, "ids"]
             yield pa.RecordBatch.from_arrays(cols, names)
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids

@@ -5,8 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import zipfile
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -40,6 +41,13 @@ def ship(spark: SparkSession) -> None:
     sc._boardwalk_shipped = True
 
 
+def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
+    """The batches in smaller parts, so that what is made of one stays small."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def arrow_rows(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with the package on the executors."""
     ship(df.sparkSession)

@@ -19,11 +19,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from boardwalk.llm.common import arrow_rows, fold
+from boardwalk.llm.common import arrow_rows, fold, sliced, smallest
 
 UNKNOWN = "und"
 #: Fills a window after the end of its text; never a byte of UTF-8.
 PAD = 0xFF
+#: Parts that a language's rows are ranked in first.
+SALTS = 64
 
 
 @dataclass
@@ -174,15 +176,17 @@ def training_windows(docs: DataFrame, window: int, per_language: int, most: int)
     """A bounded sample: up to ``per_language`` rows a language and ``most``
     in all, chosen by the hash of ``doc_id``, two windows each, from places
     that the hash chooses too."""
-    chosen = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "lang", F.row_number().over(chosen).alias("n"))
-    ids = ids.where(F.col("n") <= per_language).orderBy("n", "lang").limit(most)
+    ids = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "lang", F.pmod(F.hash("doc_id"), F.lit(SALTS)).alias("salt"))
+    for by in (["lang", "salt"], ["lang"]):  # no language meets in one task but its first few
+        chosen = Window.partitionBy(*by).orderBy(F.xxhash64("doc_id"), "doc_id")
+        ids = ids.withColumn("n", F.row_number().over(chosen)).where(F.col("n") <= per_language)
+    ids = ids.orderBy("n", "lang").limit(most)
     raw = docs.where("lang IS NOT NULL AND octet_length(text) > 0").select("doc_id", "lang", F.encode("text", "utf-8").alias("raw"))
     size = F.octet_length("raw")
     part = lambda k: F.substring(F.col("raw"), F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(size - window // 2, F.lit(1))).cast("int") + 1, F.lit(window))
     # At most ``most`` ids; rows that repeat an id are bounded again after.
     rows = raw.join(F.broadcast(ids.select("doc_id", "n").distinct()), "doc_id").select("n", "lang", "doc_id", part(0).alias("a"), part(1).alias("b"))
-    got = rows.orderBy("n", "lang", "doc_id", "a").limit(most).collect()
+    got = smallest(rows, most, "n", "lang", "doc_id", "a")
     languages = sorted({r["lang"] for r in got})
     out = np.full((2 * len(got), window), PAD, np.uint8)
     for i, r in enumerate(got):
@@ -253,7 +257,7 @@ def identify(docs: DataFrame, net: Network | None, window: int = 128) -> DataFra
     languages = net.languages if net else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             label, scores, counts = _pooled(net, b.column(1), b.column(2), window)
             labels = [UNKNOWN if k < 0 else languages[k] for k in label.tolist()]
             yield pa.RecordBatch.from_arrays(
@@ -271,7 +275,7 @@ def keep_identified(docs: DataFrame, net: Network | None, min_score: float, wind
     at least ``min_score``, all columns as they are; ``und`` goes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             label, score, _ = _pooled(net, b.column(b.schema.get_field_index("text")), b.column(b.num_columns - 1), window)
             kept = b.filter(pa.array((label >= 0) & (score >= min_score)))
             yield kept.select(range(b.num_columns - 1))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boardwalk.llm.common import arrow_rows, row_key, settled
+from boardwalk.llm.common import arrow_rows, row_key, settled, sliced
 from boardwalk.llm.graph import connected_components
 
 SEED = 42
@@ -61,7 +61,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, id_col: str = "doc_id", text
     null id stays null; other columns are not read."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in sliced(batches):
             texts = b.column(1).cast(pa.large_binary())
             fps = np.fromiter((simhash(t.as_py(), shingle) for t in texts), np.uint64, len(texts))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(fps.view(np.int64))], ["doc_id", "row", "fp"])
