@@ -270,9 +270,9 @@ def identify(docs: DataFrame, net: Network | None, window: int = 128) -> DataFra
     return out.withColumn("languages", F.array(*map(F.lit, languages)).cast("array<string>"))
 
 
-def keep_identified(docs: DataFrame, net: Network | None, min_score: float, window: int = 128) -> DataFrame:
-    """The rows of ``docs`` whose language is told with a mean probability of
-    at least ``min_score``, all columns as they are; ``und`` goes."""
+def keep_identified(docs: DataFrame, net: Network | None, min_score: float = 0.0, window: int = 128) -> DataFrame:
+    """The rows of ``docs`` that get a language, all columns as they are; ``und``
+    goes, as do those whose mean probability is under ``min_score``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches):

@@ -216,3 +216,15 @@ def test_pipeline_messy_and_empty(spark):
             docs = spark.createDataFrame(out.collect(), out.schema)
         rows = c.STAGES[-1][1](spark, docs, SF).collect()
         assert len(rows) == docs.count() == len({(r.doc_id, r.ids_sha256) for r in rows})
+
+
+def test_pipeline_keeps_every_lettered_document(spark):
+    import corpus_pipeline as c
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    lettered = docs.where(F.col("text").rlike(r"\p{L}"))
+    assert c.language_id(spark, docs, SF).count() == lettered.count() == 200
+    # Nothing tells these six languages apart, so none gets a third.
+    rows = [(i, words(20, i // 6), f"l{i % 6}") for i in range(120)] + [(200, "12 !", "l0"), (201, None, "l1"), (202, "a", None)]
+    got = c.language_id(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), SF).collect()
+    assert sorted(r.doc_id for r in got) == [*range(120), 202]
