@@ -152,7 +152,7 @@ def build_index(vectors: DataFrame, sample: int = 4096, seed: int = 17) -> tuple
     return settled(arrow_rows(rows, run, _CODES)), centres
 
 
-def search(codes: DataFrame, centres: dict[int, np.ndarray], queries: Column, k: int = 20, sure: float = 2.2, vector_block: int = 32768, query_block: int = 1024, seed: int = 17) -> DataFrame:
+def search(codes: DataFrame, centres: dict[int, np.ndarray], queries: Column, k: int = 20, sure: float = 2.5, vector_block: int = 32768, query_block: int = 1024, seed: int = 17) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of each row
     of the index for which ``queries`` holds, its own left out, by score and
     then smaller vec_id."""

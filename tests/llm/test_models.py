@@ -1,6 +1,7 @@
 """Classifiers, nearest neighbours, archives and the pipeline."""
 
 import hashlib
+import inspect
 import math
 from collections import Counter
 
@@ -126,6 +127,11 @@ def test_ann_estimate_and_bound():
     assert (np.abs(guess - x @ q) <= error).mean() > 0.98
 
 
+def test_ann_bound_fails_for_few():
+    sure = inspect.signature(rabitq.search).parameters["sure"].default
+    assert math.erfc(sure / math.sqrt(2)) / 2 < 0.01  # upper bounds below the truth, were the error Gaussian
+
+
 # --- archives ---------------------------------------------------------------------
 
 
