@@ -66,6 +66,14 @@ def test_ftrl_separates_and_shrinks():
     assert w[1] + w[5] + b > 0 > w[0] + w[5] + b and not w[6:].any()
 
 
+def test_quality_learns_from_twelve_thousand(spark, monkeypatch):
+    got = []
+    monkeypatch.setattr(quality, "fit_ftrl", lambda rows: got.extend(rows))
+    docs = spark.range(12_500).selectExpr("id AS doc_id", "concat('text ', id % 7) AS text")
+    quality.fit(docs, docs.selectExpr("doc_id", "CAST(doc_id % 2 AS int) AS quality"), F.lit(True))
+    assert len(got) == 12_000
+
+
 # --- nearest neighbours ----------------------------------------------------------
 
 
