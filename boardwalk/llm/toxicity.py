@@ -1,7 +1,8 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
-Learned from texts confirmed as toxic and from unlabelled texts, which hold an
-unknown mix. With class prior p, the risk of a classifier is
+Learned from texts confirmed as toxic and from unlabelled texts, any texts with
+their labels ignored, which hold an unknown mix. With class prior p, the risk
+of a classifier is
 
     p * loss(positives as 1) + max(0, loss(unlabelled as 0) - p * loss(positives as 0))
 
@@ -112,16 +113,17 @@ def _collected(docs: DataFrame, ids: DataFrame, most: int) -> Rows:
 def fit(docs: DataFrame, labels: DataFrame, usable, most_positive: int = 4000, most_unlabelled: int = 12000) -> tuple[np.ndarray, float]:
     """Fitted on at most ``most_positive`` confirmed and ``most_unlabelled``
     unlabelled texts, chosen by the hash of their id among the rows where
-    ``usable`` holds. The prior is the share of toxic rows among the usable
-    labelled ones. A text with any row that says 1 is confirmed; a null label
+    ``usable`` holds. The unlabelled are drawn from all texts, labels ignored:
+    the mix that the risk assumes, even if every text has a label. The prior is
+    the share of toxic rows among the usable labelled ones. A text with any row that says 1 is confirmed; a null label
     is none. Each id is used once."""
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(usable)
     share = known.agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0]
     pick = lambda df, n: df.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     positive = pick(known.where("toxic > 0"), most_positive)
-    rest = docs.where("doc_id IS NOT NULL").where(usable).select("doc_id").join(known.select("doc_id"), "doc_id", "left_anti")
+    every = docs.where("doc_id IS NOT NULL").where(usable)
     prior = 0.0 if share is None else share
-    return fit_nnpu(_collected(docs, positive, most_positive), _collected(docs, pick(rest, most_unlabelled), most_unlabelled), prior)
+    return fit_nnpu(_collected(docs, positive, most_positive), _collected(docs, pick(every, most_unlabelled), most_unlabelled), prior)
 
 
 def score(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0) -> DataFrame:

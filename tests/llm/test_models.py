@@ -47,6 +47,13 @@ def test_classifiers_messy_and_empty(spark, score):
     assert all(0 <= r.score <= 1 for r in score(messy(spark), labels.limit(0)).collect())
 
 
+def test_toxicity_where_every_text_is_labelled(spark):
+    docs = spark.createDataFrame([(i, words(40, i, 300) + (" vile" if i % 5 == 0 else "")) for i in range(600)], "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "CAST(doc_id % 5 = 0 AS int) AS toxic")
+    got = toxicity.score(docs, labels).collect()
+    assert np.mean([r.predicted == (r.doc_id % 5 == 0) for r in got]) > 0.95
+
+
 def test_nnpu_finds_positives_among_the_unlabelled():
     rng = np.random.default_rng(3)
 
