@@ -8,6 +8,7 @@ sink's table.
 
 from __future__ import annotations
 
+import math
 import uuid
 from collections.abc import Callable
 from functools import partial
@@ -230,18 +231,24 @@ def _replay(spark: SparkSession, sf_dir: str, name: str, slices, start, groups=N
     return r
 
 
-def _appended(r: FeedReplay, **how):
-    b = board_stream(r.envelopes(UPDATES_TOPIC), r.envelopes(STATUS_TOPIC), clock=FIXTURE_CLOCK, **how)
-    return write_append(b, r.path("board"), r.path("ckpt"), trigger=AVAILABLE_NOW)
+#: The share of all updates that the hottest trip is expected to have at most.
+HOT_SHARE = 1 / 3
+
 
+def _salt(r: FeedReplay) -> int:
+    """Parts a trip's updates are dealt into in the streams' join, two at
+    least, so that the hottest trip has a state partition's share in each. The
+    same in every restart, as the number of state partitions is."""
+    return max(2, math.ceil(HOT_SHARE * int(r.stream_spark.conf.get("spark.sql.shuffle.partitions"))))
 
-#: Parts a trip's updates are dealt into in the streams' join, so that a trip
-#: with very many does not sit in one state partition.
-SALT = 2
+
+def _appended(r: FeedReplay, **how):
+    b = board_stream(r.envelopes(UPDATES_TOPIC), r.envelopes(STATUS_TOPIC), clock=FIXTURE_CLOCK, salt=_salt(r), **how)
+    return write_append(b, r.path("board"), r.path("ckpt"), trigger=AVAILABLE_NOW)
 
 
 def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
-    r = _replay(spark, sf_dir, "stream_append", _trip_slices, partial(_appended, salt=SALT))
+    r = _replay(spark, sf_dir, "stream_append", _trip_slices, _appended)
     return read_board(spark, r.path("board"), missing_ok=True)
 
 
@@ -269,7 +276,7 @@ def stream_late_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _upserted(r: FeedReplay):
-    b = board_stream(r.envelopes(UPDATES_TOPIC), r.envelopes(STATUS_TOPIC), clock=FIXTURE_CLOCK, salt=SALT, keep_order=True)
+    b = board_stream(r.envelopes(UPDATES_TOPIC), r.envelopes(STATUS_TOPIC), clock=FIXTURE_CLOCK, salt=_salt(r), keep_order=True)
     return write_upsert(b, r.path("table"), r.path("ckpt"), trigger=AVAILABLE_NOW)
 
 

@@ -368,3 +368,21 @@ def test_app_asks_for_a_path_only_where_it_is_used(spark):
         snaps = f"{shared_dir(spark)}/test-snaps-{uuid.uuid4().hex[:8]}"
         spark.createDataFrame([], schemas.SNAPSHOT_FILE).write.json(snaps)
         start(spark, parser().parse_args(["--role", "producer", "--sink", "kafka", "--snapshots-path", snaps, "--checkpoint", f"{snaps}-c"]))
+
+
+def test_bounded_streams_are_salted(spark, monkeypatch):
+    """Salted for a trip with a third of all updates, with the plain join's rows."""
+    from boardwalk.plans import registered
+
+    seen = []
+
+    def noted(*inputs, salt=1, **how):
+        seen.append(salt)
+        return board_stream(*inputs, salt=salt, **how)
+
+    monkeypatch.setattr(registered, "board_stream", noted)
+    streams = (registered.stream_join_bounded, registered.stream_late_dropped)
+    salted = [rows(fn(spark, SF_SMALL)) for fn in streams]
+    assert len(seen) == 5 and min(seen) >= 2
+    monkeypatch.setattr(registered, "_salt", lambda r: 1)
+    assert [rows(fn(spark, SF_SMALL)) for fn in streams] == salted and all(salted)
