@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardwalk.llm import bpe, decontaminate, langid, line_dedup, lm, quality, rabitq, simhash, toxicity, warc
+from boardwalk.llm import bpe, byte_bpe, decontaminate, langid, line_dedup, lm, quality, rabitq, simhash, toxicity, warc
 from boardwalk.llm.common import table
 
 
@@ -79,6 +79,12 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return byte_bpe.tokenized(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     every = [
         op1_rabitq_search,
@@ -91,5 +97,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op8_lm_score,
         op9_quality,
         op10_warc,
+        op11_byte_bpe,
     ]
     return {f.__name__: f for f in every}

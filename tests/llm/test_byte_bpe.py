@@ -1,0 +1,102 @@
+"""Byte-level BPE over rank files against the tiktoken library."""
+
+import hashlib
+import random
+from collections import Counter
+
+import duckdb
+import numpy as np
+import public_tokenizers
+import pytest
+import tiktoken
+from cases import SF, empty, messy, messy_rows
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from boardwalk.llm import byte_bpe, queries
+
+PATH, PATTERN = public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN
+
+
+@pytest.fixture(scope="module")
+def spec():
+    with open(PATH, "rb") as f:
+        return f.read()
+
+
+@pytest.fixture(scope="module")
+def own(spec):
+    return byte_bpe.Ranks(spec, PATTERN)
+
+
+@pytest.fixture(scope="module")
+def library(spec):
+    return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=byte_bpe.read_ranks(spec), special_tokens={})
+
+
+def _ids(own, *texts):
+    return [np.frombuffer(b"".join(parts), "<u4").tolist() for parts in own.encode_all(texts)]
+
+
+def _digests(library, text):
+    ids = library.encode_ordinary(text or "")
+    return len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(library.decode_bytes(ids)).hexdigest()
+
+
+def test_query_against_the_library(spark, library):
+    docs = duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall()
+    got = queries.op11_byte_bpe(spark, SF).collect()
+    assert Counter(map(tuple, got)) == Counter((i, *_digests(library, t)) for i, t in docs)
+
+
+def test_messy_and_empty(spark, library):
+    got = byte_bpe.tokenized(messy(spark), PATH, PATTERN, with_ids=True)
+    rows = got.collect()
+    assert Counter(tuple(r)[:4] for r in rows) == Counter((r[0], *_digests(library, r[1])) for r in messy_rows())
+    assert all(len(r.ids) == r.n_tokens for r in rows)
+    back = byte_bpe.decoded(got, PATH, PATTERN).collect()
+    assert Counter((r.doc_id, bytes(r.data).decode()) for r in back) == Counter((r[0], r[1] or "") for r in messy_rows())
+    assert byte_bpe.tokenized(empty(spark), PATH, PATTERN).collect() == []
+    assert byte_bpe.decoded(spark.createDataFrame([(1, None), (None, [])], "doc_id long, ids array<int>"), PATH, PATTERN).collect() == [(1, bytearray()), (None, bytearray())]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(st.one_of(st.sampled_from("aeht n\n'.ls7é中\U0001f600\x00\x85\x1c "), st.characters(exclude_categories=["Cs"])), max_size=120))
+def test_any_text(own, library, text):
+    ids = _ids(own, text)[0]
+    assert ids == library.encode_ordinary(text)
+    assert own.decode(np.array(ids)) == text.encode()
+
+
+def test_long_pieces_and_long_texts(own, library, monkeypatch):
+    rng = random.Random(1)
+    letters = "".join(rng.choice("etaoinshrdlu") for _ in range(9000))
+    texts = [letters, "=" * 3000, "e" * 2000, " " * 2500 + "x", "ab" * 300, "中" * 700, "é" + letters[:600]]
+    assert _ids(own, *texts) == [library.encode_ordinary(t) for t in texts]
+    # Parts of 50 pieces, groups of a few texts and a table that overflows.
+    for name, value in (("PART", 50), ("TOGETHER", 200), ("REMEMBERED", 20), ("WIDE", 4), ("STRETCH", 8)):
+        monkeypatch.setattr(byte_bpe, name, value)
+    own.known = {}
+    rows = [r[1] or "" for r in messy_rows()]
+    assert _ids(own, *rows, *texts[-4:]) == [library.encode_ordinary(t) for t in [*rows, *texts[-4:]]]
+    assert len(own.known) <= 20
+
+
+def test_either_way_of_merging_agrees(own):
+    rng = random.Random(2)
+    for n in (2, 3, 255, 256, 257, 400):
+        piece = "".join(rng.choice("aeinrst ") for _ in range(n)).encode()
+        assert own._merge_long(piece).tolist() == own._merge_rows([piece, b"th"])[0].tolist()
+
+
+def test_pair_table():
+    rng = np.random.default_rng(3)
+    pairs = np.unique(rng.integers(0, 1 << 60, 5000))
+    t = byte_bpe.PairTable(pairs[::2], np.arange(len(pairs[::2])))
+    got = t.ranks(pairs >> 32, pairs & 0xFFFFFFFF, -1)
+    assert got[::2].tolist() == list(range(len(pairs[::2]))) and (got[1::2] == -1).all()
+
+
+def test_a_file_without_all_bytes_is_refused():
+    with pytest.raises(ValueError):
+        byte_bpe.Ranks(b"YQ== 0\nYg== 1\n", PATTERN)

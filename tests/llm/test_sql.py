@@ -18,6 +18,7 @@ FIELDS = {
     "op8": {"doc_id": "bigint", "held_out": "boolean", "n_tokens": "bigint", "n_known": "bigint", "train_tokens": "bigint", "base_score": "double", "score": "double"},
     "op9": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op10": {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string", "refers_to": "bigint"},
+    "op11": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
 }
 
 
