@@ -1,0 +1,147 @@
+"""Spelling variants against brute force."""
+
+import random
+import re
+import zlib
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+from cases import SF, empty, lower, messy, messy_rows
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+from boardwalk.llm import queries, variants
+
+
+def near(a: str, b: str) -> bool:
+    if len(a) < len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b, strict=True)) == 1
+    return len(a) == len(b) + 1 and any(a[:i] + a[i + 1 :] == b for i in range(len(a)))
+
+
+def brute_words(rows, min_chars=6, min_count=5, drop_every=199):
+    counts = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", text or ""):
+            w = lower(run)
+            if drop_every:
+                h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{w}".encode())
+                if h % drop_every == 0:
+                    w = w[: h % len(w)] + w[h % len(w) + 1 :]
+            if len(w) >= min_chars:
+                counts[w] += 1
+    return {w: n for w, n in counts.items() if n >= min_count}
+
+
+def brute_near(words):
+    """Pairs through one deletion of each word, then the plain test."""
+    by = {}
+    for w in words:
+        for key in {w, *(w[:i] + w[i + 1 :] for i in range(len(w)))}:
+            by.setdefault(key, []).append(w)
+    return {(a, b) for ws in by.values() for a in ws for b in ws if a < b and near(a, b)}
+
+
+def brute_groups(counts, ratio=5):
+    touching = {w: [] for w in counts}
+    for a, b in brute_near(counts):
+        touching[a].append(b)
+        touching[b].append(a)
+    form = {}
+    for w, ws in touching.items():
+        if ws:
+            best = min(ws, key=lambda x: (-counts[x], x))
+            if counts[best] >= ratio * counts[w]:
+                form[w] = best
+
+    def root(w):
+        while w in form:
+            w = form[w]
+        return w
+
+    return {(w, n, len(touching[w]), form.get(w), counts.get(form.get(w)), root(w)) for w, n in counts.items()}
+
+
+def _tuples(df):
+    return {tuple(r[c] for c in ("word", "n", "n_near", "form", "form_n", "root")) for r in df.collect()}
+
+
+def test_query_against_brute_force(spark):
+    docs = duckdb.sql(f"SELECT doc_id, text FROM '{SF}/documents.parquet'").fetchall()
+    got = queries.op13_spelling_variants(spark, SF)
+    want = brute_groups(brute_words(docs))
+    assert _tuples(got) == want and got.count() == len(want) and len(want) > 500
+    assert any(w[3] for w in want)
+
+
+@pytest.mark.parametrize("drop_every", [None, 3])
+def test_words_messy_and_empty(spark, drop_every, monkeypatch):
+    monkeypatch.setattr(variants, "COUNTED", 3)
+    got = variants.corpus_words(messy(spark), 1, 1, drop_every).collect()
+    assert {r.word: r.n for r in got} == brute_words([r[:2] for r in messy_rows()], 1, 1, drop_every)
+    assert variants.corpus_words(empty(spark)).collect() == []
+    assert variants.spelling_variants(empty(spark)).collect() == []
+    with pytest.raises(ValueError):
+        variants.spelling_variants(messy(spark), min_chars=4)
+
+
+def _made_words(seed, n=900):
+    """Words with many near ones: a few stems and their edits, edits of
+    those, runs of one letter, and long words."""
+    rng = random.Random(seed)
+    letters = "abcdeé"
+    out = {"".join(rng.choice(letters) for _ in range(rng.randrange(5, 9))) for _ in range(n // 6)}
+    for w in [*out, *out]:
+        for _ in range(3):
+            i, c = rng.randrange(len(w)), rng.choice(letters)
+            w = rng.choice([w[:i] + w[i + 1 :], w[:i] + c + w[i:], w[:i] + c + w[i + 1 :]])
+            if len(w) >= 5:
+                out.add(w)
+    out |= {"a" * k for k in range(5, 12)} | {"ab" * k for k in range(3, 6)} | {"x" * 300, "x" * 301, "x" * 150 + "y" + "x" * 150}
+    return {w: rng.choice([1, 2, 9, 9, 50, 300, 2000]) for w in out}
+
+
+@pytest.mark.parametrize(("prune", "block"), [(0.02, 4096), (0.0, 7), (1.0, 16)])
+def test_groups_against_brute_force(spark, prune, block):
+    counts = _made_words(1)
+    df = spark.createDataFrame(list(counts.items()), "word string, n long").repartition(3)
+    pairs = variants.near_words(df, prune, block).collect()
+    assert len(pairs) == len({(r.a, r.b) for r in pairs})
+    assert {(r.a, r.b, r.na, r.nb) for r in pairs} == {(a, b, counts[a], counts[b]) for a, b in brute_near(counts)}
+    assert _tuples(variants.variant_groups(df, prune=prune, block=block)) == brute_groups(counts)
+
+
+def test_hot_list_is_dealt_into_blocks(spark):
+    """A third of all words share their rarest grams."""
+    words = [f"qz{chr(97 + i // 26 % 26)}{chr(97 + i % 26)}xwvk" for i in range(400)] + [f"m{chr(97 + i % 26)}{chr(97 + i // 26)}nop{chr(98 + i % 7)}" for i in range(800)]
+    counts = dict.fromkeys(words, 7)
+    df = spark.createDataFrame(list(counts.items()), "word string, n long").repartition(4)
+    got = variants.near_words(df, 0.02, 32).collect()
+    assert {(r.a, r.b) for r in got} == brute_near(counts) and len(got) == len(brute_near(counts))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.data())
+def test_an_edit_touches_no_more_grams_than_the_bound(data):
+    letters = "abc\U0001f600"
+    words = data.draw(st.lists(st.text(letters, min_size=5, max_size=9), min_size=1, max_size=8))
+    m = variants._codes(words, 9)
+    two, three = variants._twos_threes(m)
+    grams, n = np.unique(np.concatenate([two[two > 0], three[three > 0]]), return_counts=True)
+    index = variants.Grams(grams, n, data.draw(st.integers(0, 3)))
+    w = words[0]
+    i, c = data.draw(st.integers(0, len(w))), data.draw(st.sampled_from(letters))
+    v = data.draw(st.sampled_from([w[:i] + c + w[i:], w[:i] + w[i + 1 :], w[:i] + c + w[i + 1 :]]))
+    if not near(w, v) or len(v) < 4:
+        return
+    width = 12
+    g, touched = index.decompose(variants._codes([w, v], width))
+    before = next((k for k, (x, y) in enumerate(zip(w, v, strict=False)) if x != y), min(len(w), len(v)))
+    a, b = [[int(x) for x in row if x] for row in g]
+    left = sum(a[p] == b[p] for p in range(min(before, len(a), len(b))))
+    right = sum(a[-r] == b[-r] for r in range(1, min(len(a) - before - (len(w) >= len(v)), len(b) - before - (len(v) >= len(w))) + 1))
+    assert left + right >= max(len(a) - touched[0], len(b) - touched[1])
