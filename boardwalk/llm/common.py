@@ -48,6 +48,18 @@ def sliced(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.Re
             yield b.slice(i, rows)
 
 
+def split_words(data: bytes, size: int = 1 << 20) -> Iterator[list[bytes]]:
+    """Words of ``data``, which blanks separate, from bounded parts of it."""
+    at = 0
+    while len(data) - at > size:
+        end = data.find(b" ", at + size)
+        if end < 0:
+            break
+        yield data[at:end].split()
+        at = end
+    yield data[at:].split() if at else data.split()
+
+
 def arrow_rows(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
     """``mapInArrow`` with the package on the executors."""
     ship(df.sparkSession)

@@ -42,6 +42,32 @@ SELECT page_id, n AS payload_bytes, p.d AS payload_digest,
 FROM p LEFT JOIN f ON p.d = f.d
 """
 
+_TERMS = "regexp_extract_all(" + _LOWER.format("coalesce(text, '')") + r", '(?:[a-z]|[^\x00-\x7F])+')"
+
+OP12 = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source, {_TERMS} AS ts FROM documents),
+t AS (SELECT rid, lang, source, unnest(ts) AS term FROM d),
+k AS (SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT rid) >= 3),
+x AS (SELECT lang, source, term, count(*) AS n FROM t GROUP BY lang, source, term),
+g AS (SELECT DISTINCT lang, source FROM d),
+c AS (SELECT g.lang, g.source, k.term, k.total, coalesce(x.n, 0) AS n
+      FROM g JOIN k ON g.lang = k.lang LEFT JOIN x ON x.lang = g.lang AND x.source = g.source AND x.term = k.term),
+s AS (SELECT lang, source, CAST(sum(n) AS HUGEINT) + count(*) AS size FROM c GROUP BY lang, source),
+a AS (SELECT lang, CAST(sum(total) AS HUGEINT) + count(*) AS size FROM k GROUP BY lang),
+p AS (SELECT c.lang, c.source, c.term, c.n, 1 + (CAST(1000000000 AS HUGEINT) * (c.n + 1)) // s.size AS p,
+             1 + (CAST(1000000000 AS HUGEINT) * (c.total + 1)) // a.size AS q
+      FROM c JOIN s ON c.lang = s.lang AND c.source = s.source JOIN a ON c.lang = a.lang),
+f AS (SELECT u.lang, u.source, w.source AS item, sum(((u.p - w.p) * (u.p - w.p)) // w.p) AS value
+      FROM p u JOIN p w ON u.lang = w.lang AND u.term = w.term AND u.source <> w.source GROUP BY u.lang, u.source, w.source),
+r AS (SELECT u.lang, u.source, 'pair' AS part, w.source AS item, CAST(coalesce(f.value, 0) AS BIGINT) AS value
+      FROM g u JOIN g w ON u.lang = w.lang AND u.source <> w.source
+      LEFT JOIN f ON f.lang = u.lang AND f.source = u.source AND f.item = w.source
+      UNION ALL
+      SELECT lang, source, 'term', term, CAST(((p - q) * (p - q)) // q AS BIGINT) FROM p WHERE n > 0 AND p > q),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM r)
+SELECT lang, source, part, item, value, CAST(rank AS INTEGER) AS rank FROM o WHERE part = 'pair' OR rank <= 200
+"""
+
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_line_dedup": OP5, "op7_decontamination": OP7, "op10_warc": OP10}
+    return {"op5_line_dedup": OP5, "op7_decontamination": OP7, "op10_warc": OP10, "op12_source_divergence": OP12}

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from boardwalk.llm import bpe, byte_bpe, decontaminate, langid, line_dedup, lm, quality, rabitq, simhash, toxicity, variants, warc
+from boardwalk.llm import bpe, byte_bpe, decontaminate, divergence, langid, line_dedup, lm, quality, rabitq, simhash, toxicity, variants, warc
 from boardwalk.llm.common import table
 
 
@@ -85,6 +85,10 @@ def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.tokenized(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
 
 
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"), min_docs=3, top=200)
+
+
 def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variants.spelling_variants(table(spark, sf_dir, "documents"), min_chars=6, min_count=5, ratio=5, drop_every=199)
 
@@ -102,6 +106,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         op9_quality,
         op10_warc,
         op11_byte_bpe,
+        op12_source_divergence,
         op13_spelling_variants,
     ]
     return {f.__name__: f for f in every}

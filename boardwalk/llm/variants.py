@@ -40,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from boardwalk.llm.common import arrow_rows, settled, smallest
+from boardwalk.llm.common import arrow_rows, settled, smallest, split_words
 
 #: Grams that are kept with their counts.
 DICTIONARY = 1 << 16
@@ -56,7 +56,9 @@ _BITS = 21
 
 def _doc_words(doc_id: int | None, text: str, drop_every: int | None, min_chars: int, counts: Counter) -> None:
     """Adds the words of one document to ``counts``, as Latin-1 bytes."""
-    runs = Counter(text.encode("latin-1", "replace").translate(_RUNS).split())
+    runs: Counter = Counter()
+    for words in split_words(text.encode("latin-1", "replace").translate(_RUNS)):
+        runs.update(words)
     if drop_every is None:
         for run, n in runs.items():
             if len(run) >= min_chars:

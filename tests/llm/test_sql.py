@@ -19,6 +19,7 @@ FIELDS = {
     "op9": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
     "op10": {"page_id": "bigint", "payload_bytes": "bigint", "payload_digest": "string", "record_type": "string", "refers_to": "bigint"},
     "op11": {"doc_id": "bigint", "n_tokens": "bigint", "ids_sha256": "string", "decoded_sha256": "string"},
+    "op12": {"lang": "string", "source": "string", "part": "string", "item": "string", "value": "bigint", "rank": "int"},
     "op13": {"word": "string", "n": "bigint", "n_near": "bigint", "form": "string", "form_n": "bigint", "root": "string"},
 }
 
