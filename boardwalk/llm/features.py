@@ -55,6 +55,12 @@ Features = Callable[[bytes], tuple[np.ndarray, np.ndarray | None]]
 Row = tuple[np.ndarray, np.ndarray | None, int]
 
 
+def one_text(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``, a row per id: of the texts of an id that with the
+    smallest hash, then the smallest, whatever order the rows come in."""
+    return docs.groupBy("doc_id").agg(F.min(F.struct(F.xxhash64("text").alias("h"), "text")).alias("one")).select("doc_id", "one.text")
+
+
 def collected(docs: DataFrame, make: Features, label: str) -> list[Row]:
     """``ids, values, label`` of each row of ``docs (<label>, text)``, which
     must be a bounded sample; the arrays travel as plain bytes."""

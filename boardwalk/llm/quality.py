@@ -47,12 +47,13 @@ def fit_ftrl(rows: list[tuple[np.ndarray, np.ndarray, int]], epochs: int = 3, se
 def fit(docs: DataFrame, labels: DataFrame, usable, most: int = 12000) -> tuple[np.ndarray, float]:
     """Fitted on at most ``most`` labelled texts, chosen by the hash of their
     id among the rows where ``usable`` holds. Null labels don't count; of
-    several for one id the smallest does. Each id is used once."""
+    several for one id the smallest does. Each id is used once, with its text of
+    smallest hash where rows of one id differ (``features.one_text``)."""
     known = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").where(usable)
     known = known.groupBy("doc_id").agg(F.min((F.col("quality") > 0).cast("int")).alias("label"))
     # At most ``most`` rows, so small enough to broadcast.
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(most)
-    texts = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
+    texts = features.one_text(docs.join(F.broadcast(chosen.select("doc_id")), "doc_id", "left_semi")).join(F.broadcast(chosen), "doc_id")
     return fit_ftrl(features.collected(texts.orderBy("doc_id"), features.word_ngrams, "label"))
 
 

@@ -12,6 +12,9 @@ that part. The classifier is linear over the hashed words that occur
 significantly more or less often in the positives, fitted in numpy by Adam.
 Weights are shrunk, so probabilities come out too even; at the end the bias is
 set so that the share of unlabelled texts called toxic is the prior.
+
+The prior is the share of toxic rows where labels say both; where they only
+confirm, it is estimated from the unlabelled texts (``mixture_share``).
 """
 
 from __future__ import annotations
@@ -58,9 +61,41 @@ def telling(positive: Rows, unlabelled: Rows, min_rows: int, z: float) -> np.nda
     return np.flatnonzero((p + u >= min_rows) & (np.abs(p / n - u / m) >= z * error) & (error > 0))
 
 
-def fit_nnpu(positive: Rows, unlabelled: Rows, prior: float, min_rows: int = 5, z: float = 4.0, rounds: int = 1000, batch: int = 512, rate: float = 0.05, decay: float = 0.01, seed: int = 11) -> tuple[np.ndarray, float]:
+def mixture_share(positive: Rows, unlabelled: Rows, min_rows: int = 5, z: float = 4.0, delta: float = 0.1) -> float:
+    """The share of positives among the unlabelled, from positives alone.
+
+    One half of either kind gives the words that tell, and how much; the other
+    half is scored by them. Texts above a threshold make up a share u of the
+    unlabelled and p of the positives, so positives are at most u / p of the
+    unlabelled; far up hardly anything else is left there, and the ratio is the
+    share itself. The threshold is that whose ratio is smallest once u is
+    raised by its sampling error."""
+    if len(positive) < 4 or len(unlabelled) < 4:
+        return 0.5
+    p, u = positive[::2], unlabelled[::2]
+    kept = telling(p, u, min_rows, z)
+    column = np.full(BUCKETS, -1, np.int64)
+    column[kept] = np.arange(len(kept))
+    share = lambda x: (np.bincount(Sparse(x, column).ids, minlength=len(kept)) + 1) / (len(x) + 2)
+    weight = np.log(share(p) / share(u))
+
+    def scores(rows: Rows) -> np.ndarray:
+        ids, owner = Sparse(rows, column).take(np.arange(len(rows)))
+        return np.sort(np.bincount(owner, weight[ids], len(rows)))
+
+    sp, su = scores(positive[1::2]), scores(unlabelled[1::2])
+    above = lambda s, t: 1 - np.searchsorted(s, t) / len(s)
+    ts = np.unique(sp)
+    error = np.sqrt(np.log(4 / delta) / 2) * (1 / np.sqrt(len(su)) + 1 / np.sqrt(len(sp)))
+    best = ts[np.argmin((above(su, ts) + error) / above(sp, ts))]
+    return float(np.clip(above(su, best) / above(sp, best), 1 / len(su), 1 - 1 / len(su)))
+
+
+def fit_nnpu(positive: Rows, unlabelled: Rows, prior: float | None, min_rows: int = 5, z: float = 4.0, rounds: int = 1000, batch: int = 512, rate: float = 0.05, decay: float = 0.01, seed: int = 11) -> tuple[np.ndarray, float]:
     """Weights by bucket (zero but for ``telling`` ones) and the bias. Without
-    positives or unlabelled texts the score is the prior."""
+    a prior it is estimated. Without positives or unlabelled texts the score is
+    the prior."""
+    prior = mixture_share(positive, unlabelled, min_rows, z) if prior is None else prior
     weights, bias = np.zeros(BUCKETS), float(np.log(max(prior, 1e-6) / max(1 - prior, 1e-6)))
     if not positive or not unlabelled:
         return weights, bias
@@ -102,34 +137,39 @@ def fit_nnpu(positive: Rows, unlabelled: Rows, prior: float, min_rows: int = 5,
     return weights, float(w[-1] - (least + (below[-1] if len(below) else least)) / 2)
 
 
-def _collected(docs: DataFrame, ids: DataFrame, most: int) -> Rows:
-    """Features of the rows of ``docs`` whose id is among ``ids`` (at most
-    ``most``, so small enough to broadcast); as many rows at most."""
-    chosen = docs.select("doc_id", "text").join(F.broadcast(ids.select("doc_id").distinct()), "doc_id")
-    chosen = chosen.dropDuplicates(["doc_id"]).orderBy("doc_id").select(F.lit(1).alias("one"), "text")
-    return [(ids, None) for ids, _, _ in features.collected(chosen, features.word_set, "one")][:most]
+def _collected(docs: DataFrame, ids: DataFrame) -> Rows:
+    """Features of one text (``features.one_text``) of each id of ``ids``, a
+    bounded table, in the order of ids."""
+    ids = F.broadcast(ids.select("doc_id").distinct())
+    chosen = features.one_text(docs.join(ids, "doc_id", "left_semi")).orderBy("doc_id").select(F.lit(1).alias("one"), "text")
+    return [(ids, None) for ids, _, _ in features.collected(chosen, features.word_set, "one")]
 
 
-def fit(docs: DataFrame, labels: DataFrame, usable, most_positive: int = 4000, most_unlabelled: int = 12000) -> tuple[np.ndarray, float]:
+def fit(docs: DataFrame, labels: DataFrame, usable, most_positive: int = 4000, most_unlabelled: int = 12000, prior: float | None = None) -> tuple[np.ndarray, float]:
     """Fitted on at most ``most_positive`` confirmed and ``most_unlabelled``
     unlabelled texts, chosen by the hash of their id among the rows where
     ``usable`` holds. The unlabelled are drawn from all texts, labels ignored:
-    the mix that the risk assumes, even if every text has a label. The prior is
-    the share of toxic rows among the usable labelled ones. A text with any row that says 1 is confirmed; a null label
-    is none. Each id is used once."""
+    the mix that the risk assumes, even if every text has a label.
+
+    ``prior``: the share of toxic texts, if known. Else it is the share of toxic
+    rows among the usable labelled ones or, where those are toxic throughout,
+    estimated. A text with any row that says 1 is confirmed; a null label is
+    none. Each id is used once, with its text of smallest hash where rows of
+    one id differ."""
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").where(usable)
-    share = known.agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0]
+    if prior is None:
+        share = known.agg(F.avg((F.col("toxic") > 0).cast("double"))).first()[0]
+        prior = 0.0 if share is None else None if share == 1 else share
     pick = lambda df, n: df.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
     positive = pick(known.where("toxic > 0"), most_positive)
     every = docs.where("doc_id IS NOT NULL").where(usable)
-    prior = 0.0 if share is None else share
-    return fit_nnpu(_collected(docs, positive, most_positive), _collected(docs, pick(every, most_unlabelled), most_unlabelled), prior)
+    return fit_nnpu(_collected(docs, positive), _collected(docs, pick(every, most_unlabelled)), prior)
 
 
-def score(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, parts: int = 5, held: int = 0, prior: float | None = None) -> DataFrame:
     """``doc_id, score, predicted, held_out`` per row of ``docs``, learned from
     the rows whose fold (crc32 of the id modulo ``parts``) is not ``held``.
     Whole texts; a null text is an empty one, which gets the bias alone."""
     out_of = fold(F.col("doc_id"), parts) == held
-    weights, bias = fit(docs, labels, ~out_of)
+    weights, bias = fit(docs, labels, ~out_of, prior=prior)
     return features.scored(docs, features.word_set, weights, bias).withColumn("held_out", out_of)

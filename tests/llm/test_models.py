@@ -47,6 +47,36 @@ def test_classifiers_messy_and_empty(spark, score):
     assert all(0 <= r.score <= 1 for r in score(messy(spark), labels.limit(0)).collect())
 
 
+@pytest.mark.parametrize("score", [toxicity.score, quality.score])
+def test_rows_in_another_order_give_the_same_scores(spark, score):
+    """Ids with several texts, and texts with several labels."""
+    rows = [(i % 150, words(30, i, 200) + (" vile" if i % 5 == 0 else "")) for i in range(450)]
+    labels = spark.createDataFrame([(i, i % 2, int(i % 5 == 0)) for i in range(150)] + [(3, 1, 1), (3, 0, 0)], "doc_id long, quality int, toxic int")
+    got = []
+    for some in (rows, rows[::-1], rows[200:] + rows[:200]):
+        df = spark.createDataFrame(some, "doc_id long, text string").repartition(1 + len(got))
+        got.append(sorted((r.doc_id, r.score) for r in score(df, labels).collect()))
+    assert got[0] == got[1] == got[2]
+
+
+def test_toxicity_from_confirmed_texts_alone(spark):
+    """No label says 0: the prior is estimated, or given."""
+    docs = spark.createDataFrame([(i, words(40, i, 300) + (" vile words" if i % 5 == 0 else "")) for i in range(1500)], "doc_id long, text string")
+    labels = docs.where("doc_id % 5 = 0 AND doc_id % 2 = 0").selectExpr("doc_id", "1 AS toxic")
+    for prior in (None, 0.2):
+        got = toxicity.score(docs, labels, prior=prior).collect()
+        assert np.mean([r.predicted == (r.doc_id % 5 == 0) for r in got]) > 0.95, prior
+
+
+@pytest.mark.parametrize("share", [0.02, 0.2, 0.6])
+def test_share_of_positives_is_found(share):
+    rng = np.random.default_rng(4)
+    text = lambda bad: features.word_set((words(40, int(rng.integers(1 << 30)), 300) + (" vile" if bad else "")).encode())
+    found = toxicity.mixture_share([text(True) for _ in range(800)], [text(rng.random() < share) for _ in range(4000)])
+    assert abs(found - share) < 0.05
+    assert toxicity.mixture_share([], []) == 0.5
+
+
 def test_toxicity_where_every_text_is_labelled(spark):
     docs = spark.createDataFrame([(i, words(40, i, 300) + (" vile" if i % 5 == 0 else "")) for i in range(600)], "doc_id long, text string")
     labels = docs.selectExpr("doc_id", "CAST(doc_id % 5 = 0 AS int) AS toxic")
