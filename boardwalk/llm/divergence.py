@@ -45,28 +45,35 @@ TERMS, GROUPS = 1024, 32
 #: Rows and columns of a block of the indicator matrix.
 ROWS, COLUMNS = 128, 2048
 #: Distinct (language, source, term) a task counts before it passes them on.
-COUNTED = 1 << 18
-#: Parts that a group's rows are dealt into before its first ones are chosen.
+COUNTED = 1 << 19
+#: Parts that rows are dealt into where a key may hold most of them.
 SALT = 32
+#: Documents that hold a group's own row: more than any term is asked for.
+_ALWAYS = 1 << 40
 
 # ASCII letters in lower case and all bytes of other code points; else a blank.
 _TERMS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """``lang, source, term, n, docs``: occurrences of each term in a group and
-    the number of its documents that hold it. A group also has one row with a
-    null term, so that groups without terms are there."""
+    """``lang, term, docs, sources, counts``: what a task found of a term, with
+    its occurrences by source and the number of documents that hold it. Rows
+    with term '' name all groups, those without terms too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
 
-        def part() -> pa.RecordBatch:
-            rows = [(*g, None, 0, 0) for g in groups] + [(*g, t, k, has[t]) for g, (n, has) in groups.items() for t, k in n.items()]
-            lang, source, term, n, has = zip(*rows, strict=True) if rows else ((),) * 5
-            text = pa.array([t and t.decode() for t in term], pa.string())
-            cols = [pa.array(lang, pa.string()), pa.array(source, pa.string()), text, pa.array(n, pa.int64()), pa.array(has, pa.int64())]
-            return pa.RecordBatch.from_arrays(cols, ["lang", "source", "term", "n", "docs"])
+        def part() -> Iterator[pa.RecordBatch]:
+            parts = []
+            for (lang, source), (n, has) in groups.items():
+                size = len(n) + 1
+                term = pa.array([b"", *n], pa.binary()).cast(pa.string())
+                counts, found = pa.array([0, *n.values()], pa.int64()), pa.array([_ALWAYS, *map(has.__getitem__, n)], pa.int64())
+                parts.append(pa.table([pa.repeat(pa.scalar(lang), size), pa.repeat(pa.scalar(source), size), term, counts, found], names=["lang", "source", "term", "n", "docs"]))
+            if parts:
+                by = pa.concat_tables(parts).group_by(["lang", "term"], use_threads=False)
+                t = by.aggregate([("docs", "sum"), ("source", "list"), ("n", "list")])
+                yield from t.select(["lang", "term", "docs_sum", "source_list", "n_list"]).rename_columns(["lang", "term", "docs", "sources", "counts"]).to_batches(1 << 16)
 
         held = 0
         for b in batches:
@@ -81,20 +88,27 @@ def term_counts(docs: DataFrame) -> DataFrame:
                 has.update(mine)
                 held += len(n) - before
                 if held >= COUNTED:
-                    yield part()
+                    yield from part()
                     groups.clear()
                     held = 0
-        yield part()
+        yield from part()
 
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
-    rows = arrow_rows(docs.select(blank("lang"), blank("source"), blank("text")), run, "lang string, source string, term string, n long, docs long")
-    return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    return arrow_rows(docs.select(blank("lang"), blank("source"), blank("text")), run, "lang string, term string, docs long, sources array<string>, counts array<long>")
 
 
-def kept_terms(counts: DataFrame, min_docs: int) -> DataFrame:
-    """``lang, term, total``: the terms in ``min_docs`` documents of a language."""
-    by = counts.where("term IS NOT NULL").groupBy("lang", "term").agg(F.sum("n").alias("total"), F.sum("docs").alias("docs"))
-    return by.where(F.col("docs") >= min_docs).drop("docs")
+def kept_entries(counts: DataFrame, min_docs: int) -> DataFrame:
+    """``lang, source, term, n, in_all``: the terms in ``min_docs`` documents of
+    a language or more, as each group has them, with the language's own count;
+    and each group with term ''. Rare terms go before they are spread out, and
+    all of it follows one exchange by term."""
+    by = counts.repartition("lang", "term")
+    kept = by.groupBy("lang", "term").agg(F.sum("docs").alias("in_docs"), F.sum(F.expr("aggregate(counts, 0L, (a, x) -> a + x)")).alias("in_all"))
+    kept = kept.where(F.col("in_docs") >= min_docs).select("lang", "term", "in_all")
+    at = by.join(kept.hint("shuffle_hash"), ["lang", "term"])
+    at = at.select("lang", "term", "in_all", F.explode(F.arrays_zip("sources", "counts")).alias("x"))
+    at = at.select("lang", "term", "in_all", F.col("x.sources").alias("source"), F.col("x.counts").alias("n"))
+    return at.groupBy("lang", "term", "source", "in_all").agg(F.sum("n").alias("n")).select("lang", "source", "term", "n", "in_all")
 
 
 def price(count: str, total: str, kept: str) -> Column:
@@ -235,10 +249,8 @@ def term_values(entries: DataFrame, groups: DataFrame, top: int) -> DataFrame:
     at = _salted(_salted(entries, groups, "term", ("lang", "source")), langs, "term")
     at = at.select("lang", "source", F.col("term").alias("item"), price("n", "total", "kept").alias("p"), price("in_all", "in_lang", "kept").alias("q"))
     at = at.where("p > q").withColumn("value", F.expr("(p - q) * (p - q) div q")).drop("p", "q")
-    first = [F.col("value").desc(), "item"]
-    some = Window.partitionBy("lang", "source", "salt").orderBy(*first)
-    at = at.withColumn("salt", F.pmod(F.xxhash64("item"), F.lit(SALT))).withColumn("rank", F.row_number().over(some)).where(F.col("rank") <= top)
-    at = at.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source").orderBy(*first)))
+    # Tasks pass on their own first rows of a group, ``top`` at most.
+    at = at.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.col("value").desc(), "item")))
     return at.where(F.col("rank") <= top).select("lang", "source", "item", "value", "rank")
 
 
@@ -247,11 +259,9 @@ def audit(docs: DataFrame, min_docs: int = 3, top: int = 200) -> DataFrame:
     each other source of its language (part ``pair``, all of them) and the
     terms that stand out in it (part ``term``, ``top`` at most), ranked by
     value, then by item in code-point order."""
-    counts = settled(term_counts(docs))
-    terms = settled(kept_terms(counts, min_docs))
-    entries = counts.where("term IS NOT NULL").join(terms, ["lang", "term"])
-    entries = settled(entries.select("lang", "source", "term", "n", F.col("total").alias("in_all")))
-    found = counts.where("term IS NULL").select("lang", "source")
+    every = settled(kept_entries(term_counts(docs), min_docs))
+    found, entries = every.where("term = ''").select("lang", "source"), every.where("term <> ''")
+    terms = settled(entries.groupBy("lang", "term").agg(F.first("in_all").alias("total")))
     n = entries.groupBy("lang", "source").agg(F.sum("n").alias("total"))
     v = terms.select("lang", F.lit(1).alias("k")).union(found.select("lang", F.lit(0)).distinct())
     v = v.groupBy("lang").agg(F.sum("k").alias("kept"))
