@@ -56,9 +56,9 @@ _TERMS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0
 
 
 def term_counts(docs: DataFrame) -> DataFrame:
-    """``lang, term, docs, sources, counts``: what a task found of a term, with
-    its occurrences by source and the number of documents that hold it. Rows
-    with term '' name all groups, those without terms too."""
+    """``lang, term, sources, counts``: what a task found of a term: the number
+    of documents that hold it (first in ``counts``), and its occurrences by
+    source. Rows with term '' name all groups, those without terms too."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         groups: dict[tuple[str, str], tuple[Counter, Counter]] = {}
@@ -72,8 +72,12 @@ def term_counts(docs: DataFrame) -> DataFrame:
                 parts.append(pa.table([pa.repeat(pa.scalar(lang), size), pa.repeat(pa.scalar(source), size), term, counts, found], names=["lang", "source", "term", "n", "docs"]))
             if parts:
                 by = pa.concat_tables(parts).group_by(["lang", "term"], use_threads=False)
-                t = by.aggregate([("docs", "sum"), ("source", "list"), ("n", "list")])
-                yield from t.select(["lang", "term", "docs_sum", "source_list", "n_list"]).rename_columns(["lang", "term", "docs", "sources", "counts"]).to_batches(1 << 16)
+                t = by.aggregate([("docs", "sum"), ("source", "list"), ("n", "list")]).combine_chunks()
+                for b in t.to_batches(1 << 16):
+                    starts = b["n_list"].offsets.to_numpy()
+                    counts = np.insert(b["n_list"].flatten().to_numpy(), starts[:-1] - starts[0], b["docs_sum"].to_numpy())
+                    lists = pa.ListArray.from_arrays(pa.array(starts - starts[0] + np.arange(len(starts)), pa.int32()), pa.array(counts))
+                    yield pa.RecordBatch.from_arrays([b["lang"], b["term"], b["source_list"], lists], ["lang", "term", "sources", "counts"])
 
         held = 0
         for b in batches:
@@ -94,7 +98,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
         yield from part()
 
     blank = lambda c: F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c)
-    return arrow_rows(docs.select(blank("lang"), blank("source"), blank("text")), run, "lang string, term string, docs long, sources array<string>, counts array<long>")
+    return arrow_rows(docs.select(blank("lang"), blank("source"), blank("text")), run, "lang string, term string, sources array<string>, counts array<long>")
 
 
 def kept_entries(counts: DataFrame, min_docs: int) -> DataFrame:
@@ -103,11 +107,13 @@ def kept_entries(counts: DataFrame, min_docs: int) -> DataFrame:
     and each group with term ''. Rare terms go before they are spread out, and
     all of it follows one exchange by term."""
     by = counts.repartition("lang", "term")
-    kept = by.groupBy("lang", "term").agg(F.sum("docs").alias("in_docs"), F.sum(F.expr("aggregate(counts, 0L, (a, x) -> a + x)")).alias("in_all"))
-    kept = kept.where(F.col("in_docs") >= min_docs).select("lang", "term", "in_all")
+    # Both readers of the exchange ask for all its columns, so that it is one.
+    in_all = F.sum(F.expr("aggregate(counts, -counts[0], (a, x) -> a + x)")).alias("in_all")
+    kept = by.groupBy("lang", "term").agg(F.sum(F.col("counts")[0]).alias("in_docs"), in_all, F.max(F.size("sources")).alias("most"))
+    kept = kept.where((F.col("in_docs") >= min_docs) & (F.col("most") > 0)).select("lang", "term", "in_all")
     at = by.join(kept.hint("shuffle_hash"), ["lang", "term"])
-    at = at.select("lang", "term", "in_all", F.explode(F.arrays_zip("sources", "counts")).alias("x"))
-    at = at.select("lang", "term", "in_all", F.col("x.sources").alias("source"), F.col("x.counts").alias("n"))
+    at = at.select("lang", "term", "in_all", F.explode(F.arrays_zip("sources", F.expr("slice(counts, 2, size(counts))").alias("n"))).alias("x"))
+    at = at.select("lang", "term", "in_all", F.col("x.sources").alias("source"), F.col("x.n").alias("n"))
     return at.groupBy("lang", "term", "source", "in_all").agg(F.sum("n").alias("n")).select("lang", "source", "term", "n", "in_all")
 
 
