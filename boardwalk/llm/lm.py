@@ -22,10 +22,20 @@ the answers back to the blocks, where the texts are scored:
 
 A subtree holds the contexts that end in the same two bytes; it has 2^24 grams
 at most. Words are told apart by 64-bit hashes.
+
+Dictionaries are dealt into a number of parts that hardly grows with the
+corpus, so their rows grow with the blocks and not with the blocks' square. A
+part is totalled up a tree: ``FAN`` blocks' rows become one, ``FAN`` of those
+one, and the answers come down the same way, so no task reads a part of more
+than ``FAN`` blocks or nodes.
+
+A row (equal id and text) that is there so often that it would unbalance the
+blocks is scored and learned from once, with its number.
 """
 
 from __future__ import annotations
 
+import math
 import zlib
 from collections.abc import Iterator
 
@@ -41,6 +51,10 @@ START, END = 0xFE, 0xFF  # never bytes of UTF-8
 GRAM, WORD = 0, 1
 #: Positions worked on at a time.
 CHUNK = 1 << 22
+#: Blocks or nodes that a node of the tree of totals sums; parts of a
+#: dictionary, at least (but one per block) and at most; grams of a subtree's
+#: part, on average; rows that are counted as hot, at most.
+FAN, PARTS, MOST_PARTS, SUBTREE, HOT = 64, 32, 1024, 1 << 21, 1 << 16
 
 _DICT = "part int, block int, kind int, keys binary, counts binary"
 
@@ -151,17 +165,18 @@ def _lowered(column: pa.ChunkedArray | pa.Array) -> list[bytes]:
 
 
 def _count(parts: int):
-    """One block's documents (block, train, text) to its dictionary, dealt
-    into ``parts`` by key."""
+    """One block's documents (block, train, text, times) to its dictionary,
+    dealt into ``parts`` by key."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, dict[int, list]] = {}
         for b in batches:
             blocks, train = b.column(0).to_numpy(), b.column(1).to_numpy(zero_copy_only=False).astype(bool)
+            all_times = b.column(3).to_numpy()
             texts = _lowered(b.column(2))
             for block in np.unique(blocks):
                 rows = np.flatnonzero(blocks == block)
-                mine, learn = [texts[i] for i in rows], train[rows]
+                mine, learn, times = [texts[i] for i in rows], train[rows], all_times[rows]
                 kinds = held.setdefault(int(block), {GRAM: [], WORD: []})
                 for lot in _lots(mine):
                     code, starts = grams(mine[lot])
@@ -172,10 +187,11 @@ def _count(parts: int):
                         (GRAM, code, np.diff(starts, append=len(code))),
                         (WORD, word, np.fromiter((len(h) + 1 for h in hashes), np.int64, len(hashes))),
                     ):
-                        known = np.repeat(learn[lot], sizes)
-                        seen, n = np.unique(keys[known], return_counts=True)
-                        rest = np.unique(keys[~known])
-                        kinds[kind].append(_summed([seen, rest], [n.astype(float), np.zeros(len(rest))]))
+                        often = np.repeat(np.where(learn[lot], times[lot], 0), sizes)
+                        once = often == 1
+                        seen, n = np.unique(keys[once], return_counts=True)
+                        rest, at = np.unique(keys[~once], return_inverse=True)
+                        kinds[kind].append(_summed([seen, rest], [n.astype(float), np.bincount(at, often[~once], len(rest))]))
                 for kind, found in kinds.items():
                     if len(found) > 8:
                         kinds[kind] = [_summed([k for k, _ in found], [v for _, v in found])]
@@ -222,7 +238,8 @@ def _word_totals(t: pa.Table) -> pa.Table:
 
 def _vocabulary(t: pa.Table) -> pa.Table:
     _, n = _totals(t)
-    return pa.table({"tokens": pa.array([int(n.sum())], pa.int64()), "types": pa.array([int((n > 0).sum())], pa.int64())})
+    sizes = {"tokens": int(n.sum()), "types": int((n > 0).sum()), "grams": len(n)}
+    return pa.table({"kind": t["kind"].slice(0, 1)} | {c: pa.array([x], pa.int64()) for c, x in sizes.items()})
 
 
 def _to_subtrees(parts: int):
@@ -310,17 +327,44 @@ def _model(pairs: np.ndarray):
     return run
 
 
-def _answer_grams(blocks: pa.Table, lengths: pa.Table) -> pa.Table:
-    """A part's dictionaries with the code lengths of their grams."""
-    if not blocks.num_rows:
+def _answer(asked: pa.Table, known: pa.Table) -> pa.Table:
+    """Dictionaries of a part with the values that ``known`` has of their keys."""
+    if not asked.num_rows:
         return _table([])
-    keys, values = _totals(lengths)
-    return _table(list(_answered(blocks, keys, values)))
+    return _table(list(_answered(asked, *_totals(known))))
+
+
+def _summed_rows(t: pa.Table) -> pa.Table:
+    """A node of the tree: the rows below it as one."""
+    keys, n = _totals(t)
+    block, part, kind = (t[c][0].as_py() for c in ("up", "part", "kind"))
+    row = [part, block, kind, pack_keys(keys), pack_values(n)]
+    return pa.Table.from_arrays([pa.array([c], ty) for c, ty in zip(row, _TYPES, strict=True)], _NAMES)
+
+
+def _levels(dicts: DataFrame, blocks: int) -> list[DataFrame]:
+    """The dictionaries, and the nodes above them up to ``FAN`` or fewer."""
+    levels = [dicts]
+    while blocks > FAN:
+        up = levels[-1].withColumn("up", F.expr(f"block div {FAN}").cast("int"))
+        levels.append(settled(up.groupBy("part", "kind", "up").applyInArrow(_summed_rows, _DICT)))
+        blocks = -(-blocks // FAN)
+    return levels
+
+
+def _down(levels: list[DataFrame], answers: DataFrame) -> DataFrame:
+    """Answers to the top nodes brought down to the dictionaries."""
+    for below in levels[-2::-1]:
+        asked = below.withColumn("up", F.expr(f"block div {FAN}").cast("int")).groupBy("part", "kind", "up")
+        # Answers come from the same tables: other names keep their keys apart.
+        known = answers.select(F.col("part").alias("of_part"), F.col("kind").alias("of_kind"), F.col("block").alias("of"), "keys", "counts")
+        answers = asked.cogroup(known.groupBy("of_part", "of_kind", "of")).applyInArrow(_answer, _DICT)
+    return answers
 
 
 # --- scores -----------------------------------------------------------------
 
-_SCORED = "doc_id long, row string, n_tokens long, n_known long, seen_log double, n_bytes long, score double"
+_SCORED = "doc_id long, row string, n_tokens long, n_known long, seen_log double, n_bytes long, score double, times long"
 
 
 def _score(docs: pa.Table, answers: pa.Table) -> pa.Table:
@@ -349,11 +393,33 @@ def _score(docs: pa.Table, answers: pa.Table) -> pa.Table:
             "seen_log": pa.array(logs, pa.float64()),
             "n_bytes": pa.array([len(t) for t in texts], pa.int64()),
             "score": pa.array(score, pa.float64()),
+            "times": docs["times"],
         }
     )
 
 
-def scores(docs: DataFrame, train, block_bytes: int = 16 << 20) -> DataFrame:
+def _rows(docs: DataFrame, train, most_bytes: int, most_rows: int) -> tuple[DataFrame, bool]:
+    """``docs`` with ``train``, ``row`` and ``times``, and whether any row is
+    there for several. A row that holds more than ``most_bytes`` in all its
+    copies, or ``most_rows`` copies, is reduced to one; the copies combine
+    before the shuffle. There are ``2 * HOT`` such rows at most."""
+    at = docs.select(
+        F.coalesce(train, F.lit(False)).alias("train"),
+        F.col("text").cast("string").alias("text"),
+        F.col("doc_id").cast("long").alias("doc_id"),
+        row_key(F.col("doc_id"), F.col("text")).alias("row"),
+    )
+    one = F.lit(1).cast("long").alias("times")
+    per = at.select("row", F.coalesce(F.octet_length("text"), F.lit(0)).alias("size")).groupBy("row").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("m"))
+    hot = settled(per.where((F.col("m") > 1) & ((F.col("size") > most_bytes) | (F.col("m") > most_rows))).select("row"))
+    if hot.isEmpty():
+        return at.withColumn("times", one), False
+    cold = at.join(F.broadcast(hot), "row", "left_anti").withColumn("times", one)
+    few = at.join(F.broadcast(hot), "row", "left_semi").groupBy(*at.columns).agg(F.count(F.lit(1)).alias("times"))
+    return cold.unionByName(few), True
+
+
+def scores(docs: DataFrame, train, block_bytes: int = 16 << 20, block_rows: int = 8192) -> DataFrame:
     """``doc_id, row, n_tokens, n_known, train_tokens, base_score, n_bytes,
     score`` per row of ``docs``; the models learn from the rows where the
     condition ``train`` holds.
@@ -363,34 +429,38 @@ def scores(docs: DataFrame, train, block_bytes: int = 16 << 20) -> DataFrame:
     and one end token. A null text is an empty one, which is one end token and
     one end symbol; repeated rows are scored and learned from each. Without
     training rows all counts are zero and every symbol has probability 1/256.
-    No rows: no rows. ``block_bytes`` bounds a task's texts and dictionary."""
+    No rows: no rows. ``block_bytes`` and ``block_rows`` bound what a block
+    holds on average; a row's copies beyond that, or beyond one in ``HOT`` of
+    all bytes or rows, count as one row in it."""
     spark = docs.sparkSession
     ship(spark)
-    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = max(1, -(-int(size) // block_bytes))
-    rows = docs.select(
-        F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int").alias("block"),
-        F.coalesce(train, F.lit(False)).alias("train"),
-        F.col("text"),
-        F.col("doc_id").cast("long").alias("doc_id"),
-        row_key(F.col("doc_id"), F.col("text")).alias("row"),
-    )
-    counted = arrow_rows(rows.select("block", "train", "text").repartitionById(blocks, F.col("block")), _count(blocks), _DICT)
-    dicts = settled(counted)
-    words, gram = dicts.where(f"kind = {WORD}"), dicts.where(f"kind = {GRAM}")
-    n = words.groupBy("part").applyInArrow(_vocabulary, "tokens long, types long").agg(F.sum("tokens"), F.sum("types")).first()
-    tokens, types = n[0] or 0, n[1] or 0
-
-    subtrees = settled(gram.groupBy("part").applyInArrow(_to_subtrees(blocks), _DICT))
+    size, n_rows = docs.agg(F.sum(F.octet_length("text")), F.count(F.lit(1))).first()
+    size = int(size or 0)
+    blocks = max(1, -(-size // block_bytes), -(-n_rows // block_rows))
+    parts = min(blocks, max(PARTS, min(MOST_PARTS, math.isqrt(blocks))))
+    rows, hot = _rows(docs, train, max(block_bytes // 4, size // HOT), max(block_rows // 4, n_rows // HOT))
+    rows = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", "text"), F.lit(blocks)).cast("int"))
+    counted = arrow_rows(rows.select("block", "train", "text", "times").repartitionById(blocks, F.col("block")), _count(parts), _DICT)
+    levels = _levels(settled(counted), blocks)
+    top = levels[-1]
+    words, gram = top.where(f"kind = {WORD}"), top.where(f"kind = {GRAM}")
+    sizes = top.groupBy("part", "kind").applyInArrow(_vocabulary, "kind int, tokens long, types long, grams long")
+    found = {r["kind"]: r for r in sizes.groupBy("kind").agg(F.sum("tokens").alias("tokens"), F.sum("types").alias("types"), F.sum("grams").alias("grams")).collect()}
+    tokens, types = (found[WORD]["tokens"], found[WORD]["types"]) if WORD in found else (0, 0)
+    subtree_parts = max(parts, -(-found[GRAM]["grams"] // SUBTREE)) if GRAM in found else 1
+
+    subtrees = settled(gram.groupBy("part").applyInArrow(_to_subtrees(subtree_parts), _DICT))
     table = np.zeros(1 << 16)
     counts = arrow_rows(subtrees.select("keys", "counts"), _pairs, "pair int, n double")
     for r in counts.groupBy("pair").agg(F.sum("n").alias("n")).collect():  # 65,536 rows at most
         table[r["pair"]] = r["n"]
     lengths = subtrees.groupBy("part").applyInArrow(_model(table.reshape(256, 256)), _DICT)
 
-    answers = gram.groupBy("part").cogroup(lengths.groupBy("part")).applyInArrow(_answer_grams, _DICT)
-    answers = answers.union(words.groupBy("part").applyInArrow(_word_totals, _DICT))
+    answers = gram.groupBy("part").cogroup(lengths.groupBy("part")).applyInArrow(_answer, _DICT)
+    answers = _down(levels, answers.union(words.groupBy("part").applyInArrow(_word_totals, _DICT)))
     out = rows.drop("train").groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(_score, _SCORED)
+    if hot:
+        out = out.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "times")))
     base = F.col("seen_log") - F.col("n_tokens") * F.lit(float(np.log10(tokens + types + 1)))
     return out.select("doc_id", "row", "n_tokens", "n_known", F.lit(int(tokens)).cast("long").alias("train_tokens"), base.alias("base_score"), "n_bytes", "score")
 

@@ -12,6 +12,7 @@ import pytest
 from cases import SF, empty, fold, lower, messy, messy_rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from boardwalk.llm import bpe, langid, lm, queries
@@ -241,13 +242,38 @@ def test_lm_probabilities_sum_to_one():
 
 def test_lm_without_rows_or_training(spark):
     assert lm.held_out_scores(empty(spark)).collect() == []
-    from pyspark.sql import functions as F
-
     got = lm.scores(messy(spark).where("doc_id = 10"), F.lit(False)).first()
     assert (got.n_tokens, got.n_known, got.train_tokens) == (2, 0, 0)
     assert abs(got.score + 4 * math.log10(256)) < 1e-9 and got.base_score == 0
 
 
+@pytest.mark.parametrize("fan", [2, 64])
+def test_lm_tree_of_totals_and_hot_rows(spark, monkeypatch, fan):
+    """A third of all rows equal, many blocks: scores as ever, dictionary rows
+    in proportion to the blocks, no block with more than its share."""
+    monkeypatch.setattr(lm, "FAN", fan)
+    monkeypatch.setattr(lm, "PARTS", 3)
+    monkeypatch.setattr(lm, "MOST_PARTS", 3)
+    rows = [r[:2] for r in messy_rows()] + [(77, "the same text again and again")] * 60 + [(100 + i, f"text {i} of many {i % 7}") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    seen, real = [], lm.settled
+
+    def noted(df):
+        out = real(df)
+        seen.append(out)
+        return out
+
+    monkeypatch.setattr(lm, "settled", noted)
+    got = lm.held_out_scores(docs, block_bytes=3000, block_rows=10).select(*NAMES)
+    _same([tuple(r) for r in got.collect()], _brute(rows))
+    dicts = next(d for d in seen if d.columns[:3] == ["part", "block", "kind"])
+    blocks = dicts.select("block").distinct().count()
+    assert blocks > 12 and dicts.count() <= 2 * 3 * blocks
+    placed, hot = lm._rows(docs, F.lit(True), 750, 2)
+    assert hot and placed.where("doc_id = 77").select("times").collect() == [(60,)]
+    assert placed.agg(F.sum("times")).first()[0] == len(rows)
+
+
 def test_lm_table():
     rng = np.random.default_rng(1)
     keys = np.unique(rng.integers(0, 2**63, 5000).astype(np.uint64))
