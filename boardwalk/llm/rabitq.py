@@ -11,7 +11,9 @@ inner product sought. The error of the direction's estimate is about
 
 and ``sure`` times that bounds it but for a small probability. Per query the
 best estimates are computed exactly first; a vector is reranked if its upper
-bound reaches the worst of the nearest found by that.
+bound reaches the worst of the nearest found by that. Reranking takes single
+precision first, and double precision for what can be among the nearest within
+the rounding error of that.
 
 Every query meets every code, in blocks: queries and vectors are dealt into
 blocks, a pair of blocks is one task's work and returns each query's nearest
@@ -76,6 +78,9 @@ def search_block(query_ids, queries, ids, vectors, codes, r, f, centre, turn, k:
     signs *= (r / f)[:, None].astype(np.float32)
     error = r * np.sqrt(np.maximum(1 - f * f, 0)) / f / np.sqrt(max(dims - 1, 1)) * sure
     error = (error + 1e-5 * r).astype(np.float32)  # single precision
+    single = np.ascontiguousarray(vectors, np.float32)
+    # Of a product of two single-precision vectors, by their lengths.
+    rounding = np.float32((vectors.shape[1] + 2) * 2.0**-23) * np.sqrt((single * single).sum(axis=1)).max(initial=0)
     at = {int(x): i for i, x in enumerate(ids)}
     found: list[tuple[np.ndarray, ...]] = []
     for i in range(0, len(queries), lot):
@@ -93,7 +98,11 @@ def search_block(query_ids, queries, ids, vectors, codes, r, f, centre, turn, k:
         worst = np.partition(score, -min(k, first), axis=1)[:, -min(k, first)].astype(np.float32)
         worst -= np.float32(1e-6) * (1 + np.abs(worst))
         guess += length[:, None] * error  # now the upper bounds
-        rows, cols = np.nonzero((guess >= worst[:, None]) & ~np.isneginf(guess))
+        chosen = (guess >= worst[:, None]) & ~np.isneginf(guess)
+        near = np.where(chosen, q.astype(np.float32) @ single.T, -np.inf)
+        tail = min(k, near.shape[1])
+        least = np.partition(near, -tail, axis=1)[:, -tail] - 2 * rounding * length
+        rows, cols = np.nonzero(chosen & ~(near < least[:, None]))  # overflows stay
         score = exact(vectors, cols, q, rows)
         order = np.lexsort((ids[cols], -score, rows))
         rows, cols, score = rows[order], cols[order], score[order]
@@ -152,7 +161,7 @@ def build_index(vectors: DataFrame, sample: int = 4096, seed: int = 17) -> tuple
     return settled(arrow_rows(rows, run, _CODES)), centres
 
 
-def search(codes: DataFrame, centres: dict[int, np.ndarray], queries: Column, k: int = 20, sure: float = 2.5, vector_block: int = 32768, query_block: int = 1024, seed: int = 17) -> DataFrame:
+def search(codes: DataFrame, centres: dict[int, np.ndarray], queries: Column, k: int = 20, sure: float = 2.5, vector_block: int = 32768, query_block: int = 8192, seed: int = 17) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of each row
     of the index for which ``queries`` holds, its own left out, by score and
     then smaller vec_id."""

@@ -172,6 +172,20 @@ def test_ann_estimate_and_bound():
     assert (np.abs(guess - x @ q) <= error).mean() > 0.98
 
 
+def test_ann_reranks_in_double_precision():
+    """Products that single precision cannot tell apart, and large ones."""
+    rng = np.random.default_rng(6)
+    base = rng.standard_normal(24)
+    x = np.vstack([base * (1 + 1e-9 * rng.integers(-50, 50, (300, 1))), rng.standard_normal((300, 24)) * 1e6])
+    ids, q = np.arange(600), np.vstack([base, base * 1e5])
+    code, r, f = rabitq.encode(x, x.mean(axis=0), rabitq.rotation(24, 1))
+    rows, cols, score = rabitq.search_block(np.array([-1, -2]), q, ids, x, code, r, f, x.mean(axis=0), rabitq.rotation(24, 1), 20, 50.0)
+    every = rabitq.exact(x, np.tile(ids, 2), q, np.repeat([0, 1], 600)).reshape(2, 600)
+    for n in (0, 1):
+        want = sorted((-s, i) for i, s in enumerate(every[n].tolist()))[:20]
+        assert sorted(zip((-score[rows == n]).tolist(), cols[rows == n].tolist(), strict=True)) == want
+
+
 def test_ann_bound_fails_for_few():
     sure = inspect.signature(rabitq.search).parameters["sure"].default
     assert math.erfc(sure / math.sqrt(2)) / 2 < 0.01  # upper bounds below the truth, were the error Gaussian
@@ -225,6 +239,49 @@ def test_warc_round_trip_shards_and_rolls(spark):
     assert names[0] == names[1]  # the same bytes each time
 
 
+def _shards(spark, uri):
+    return spark.read.parquet(f"{uri}/manifest").groupBy("shard").agg(F.sum("records").alias("records")).collect()
+
+
+@pytest.mark.parametrize("copies", [4096, 7])
+def test_warc_ids_and_pages_that_fill_a_shard(spark, monkeypatch, copies):
+    """All ids null; one id throughout; one page throughout; one small page
+    throughout: several shards each but for the page that is one chunk."""
+    monkeypatch.setattr(warc, "COPIES", copies)
+    monkeypatch.setattr(warc, "REMEMBERED", 2)
+    tables = {
+        "null ids": [(None, f"u{i}", f"page {i} " * 200) for i in range(250)],
+        "one id": [(7, f"u{i % 9}", f"page {i} " * 200) for i in range(250)],
+        "one page": [(7, "u", "x" * 3000)] * 250 + [(3, None, "x" * 3000)] * 30,
+        "small page": [(7, "u", "x" * 900)] * 250,
+    }
+    for name, rows in tables.items():
+        pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+        uri = warc.write_archives(pages, warc.archive_folder(spark), shard_bytes=20_000, roll_bytes=5000)
+        got = warc.read_archives(spark, uri, with_payload=True).collect()
+        assert Counter(tuple(r)[:1] + tuple(r)[2:6] for r in got) == _plain(rows), name
+        assert all(len(r.payload) == r.payload_bytes for r in got if r.record_type == "response"), name
+        shards = _shards(spark, uri)
+        assert sum(r.records for r in shards) == len(rows)
+        if copies == 7 or "page" not in name:
+            assert len(shards) > 2 and max(r.records for r in shards) < len(rows) / 2, name
+
+
+def test_warc_names_of_stores():
+    assert warc.mapped("s3a://b/x") == warc.mapped("s3n://b/x") == "s3://b/x"
+    assert [warc.mapped(u) for u in ("file:///x", "/x", "hdfs://n/x", "gs://b/x")] == ["file:///x", "/x", "hdfs://n/x", "gs://b/x"]
+    with pytest.raises(ValueError, match="viewfs"):
+        warc.mapped("viewfs://store/x")
+
+
+def test_warc_refuses_a_chunk_without_its_html():
+    chunk = {"shard": 0, "page_id": 1, "digest": "00" * 20, "url": "u", "chunk": True, "awaits": True, "start": 0, "copies": 2, "large": True, "n": 5, "html": None, "first_id": 1, "first_url": "u"}
+    with pytest.raises(ValueError, match="missing"):
+        list(warc._records(iter([chunk])))
+    with pytest.raises(ValueError, match="missing"):
+        list(warc._records(iter([chunk, chunk | {"page_id": 2}])))
+
+
 def test_warc_without_rows(spark):
     pages = spark.createDataFrame([], "page_id long, url string, html string")
     assert warc.read_archives(spark, warc.write_archives(pages, warc.archive_folder(spark))).collect() == []
