@@ -29,7 +29,7 @@ from boardwalk.functions.timefn import FEED_SOURCE_TZ, MODES, REFERENCE, REFEREN
 from boardwalk.operators.feed import split_feed, union_feeds  # noqa: E402
 from boardwalk.schemas import SNAPSHOT_FILE  # noqa: E402
 from boardwalk.sources.envelope import read_envelope  # noqa: E402
-from boardwalk.streaming.board_stream import board_stream  # noqa: E402
+from boardwalk.streaming.board_stream import board_stream, kept_heavy_trips  # noqa: E402
 from boardwalk.streaming.sinks import publish_stream, write_append, write_upsert  # noqa: E402
 
 
@@ -62,17 +62,23 @@ def start(spark: SparkSession, args: argparse.Namespace):
         return start_producer(spark, args)
     if args.sink not in ("append", "upsert"):
         raise SystemExit("a consumer writes the board with --sink append or --sink upsert")
-    u = read_envelope(spark, args.source, _options(args.updates_option), path=args.updates_path)
-    s = read_envelope(spark, args.source, _options(args.status_option), path=args.status_path)
+    u = read_envelope(spark, args.source, _options(args.updates_option), path=args.updates_path, checkpoint=args.checkpoint)
+    s = read_envelope(spark, args.source, _options(args.status_option), path=args.status_path, checkpoint=args.checkpoint)
+    heavy = None
+    if args.heavy_share:
+        # What the source holds of the updates now; in a restart the kept list.
+        options = {**_options(args.updates_option), "startingOffsets": "earliest"}
+        history = read_envelope(spark, args.source, options, path=args.updates_path, stream=False)
+        heavy = kept_heavy_trips(history, args.checkpoint, args.heavy_share)
     board = board_stream(
-        u, s, mode=args.time_mode, bound=args.bound, watermark=args.watermark, salt=args.salt, keep_order=args.sink == "upsert",
-        shift_tz=args.shift_tz, source_tz=args.source_tz,
+        u, s, mode=args.time_mode, bound=args.bound, watermark=args.watermark, salt=args.salt, heavy=heavy,
+        keep_order=args.sink == "upsert", shift_tz=args.shift_tz, source_tz=args.source_tz,
     )
     if args.sink == "append":
-        return write_append(board, args.path, args.checkpoint, trigger=args.trigger, query_name=args.query_name)
+        return write_append(board, args.path, args.checkpoint, trigger=args.trigger, query_name=args.query_name, by_start=args.by_start)
     return write_upsert(
         board, args.path, args.checkpoint, trigger=args.trigger, query_name=args.query_name,
-        register_as=args.register_as, merge_into=args.merge_into,
+        register_as=args.register_as, merge_into=args.merge_into, merge_every=args.merge_every or None,
     )
 
 
@@ -96,6 +102,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--bound", default=None, help="e.g. '1 hour': watermarked, time-bounded join")
     p.add_argument("--watermark", default=None, help="delay of both watermarks (default: the bound)")
     p.add_argument("--salt", type=int, default=1, help="parts of every trip's updates in the join")
+    p.add_argument("--heavy-share", type=float, default=None,
+                   help="salt only trips with more than this share of the updates that the source holds at the first start")
+    p.add_argument("--by-start", choices=["day", "month"], default=None, help="lay the append folder out by start of trip")
+    p.add_argument("--merge-every", type=int, default=16, help="batches after which the upsert merges its folders (0: never)")
     p.add_argument("--state-partitions", type=int, default=None,
                    help="join state partitions of a fresh checkpoint (default: the cluster's cores)")
     p.add_argument("--register-as", default=None, help="catalog view of the upsert's latest rows")

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from boardwalk.functions import minute_boundaries, minutes_elapsed
+from boardwalk.operators.rank import global_rank
 from boardwalk.schemas import BOARD_COLUMNS
 
 # The interval of the original's "trips started between" query.
@@ -116,6 +117,18 @@ def q9_first_snapshot(board: DataFrame, clocks: DataFrame | None = None) -> Data
     return _q9_sum(rows.drop("_first"))
 
 
+def rank_by_clock(board: DataFrame) -> DataFrame:
+    """Every board row's rank by clock over the whole board, ties alike: the
+    ranked form of the first-snapshot question before its filter. For a board
+    *table* (read twice)."""
+    return global_rank(board.select("tripId", "routeId", "currentTime", "numOfFutureStops"), "currentTime")
+
+
+def q9_ranked(board: DataFrame) -> DataFrame:
+    """Q9 as the original asks it, by the rank itself."""
+    return _q9_sum(rank_by_clock(board).where(F.col("rnk") == 1))
+
+
 def q9_first_snapshot_pruned(board: DataFrame) -> DataFrame:
     """Q9 for a board *table*: the minimum clock is computed first (one value
     reaches the driver) and then applied as a literal, so the equality filter

@@ -8,7 +8,7 @@ from boardwalk.functions import clock_time
 from boardwalk.functions.timefn import REFERENCE, REFERENCE_SHIFT_TZ
 from boardwalk.operators import derive_board, join_feeds, latest_board, reshape_status, reshape_updates, topic
 from boardwalk.operators.board import clock_column
-from boardwalk.sources import parse_status, parse_updates, trip_messages
+from boardwalk.sources import parse_status, parse_updates, trip_key_messages, trip_messages
 from boardwalk.sources.fixtures import STATUS_TOPIC, UPDATES_TOPIC
 
 # The clock of fixture boards: the update's ingest time, so results repeat.
@@ -24,6 +24,11 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trip_messages(table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem"), spread=True)
 
 
+def key_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The feed for questions about trips and clocks alone."""
+    return trip_key_messages(table(spark, sf_dir, "orders"), spread=True)
+
+
 def feeds(msgs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Parsed and reshaped (updates, status) from routed messages."""
     u = reshape_updates(parse_updates(topic(msgs, UPDATES_TOPIC)))

@@ -20,14 +20,35 @@ from pyspark.sql import types as T
 from boardwalk import schemas
 from boardwalk.functions import instant_to_utc, stop_count
 from boardwalk.functions.timefn import INSTANT
-from boardwalk.operators import join_feeds, reshape_status, reshape_updates, split_feed, topic, union_feeds
+from boardwalk.operators import derive_board, join_feeds, reshape_status, reshape_updates, split_feed, topic, union_feeds
 from boardwalk.plans import adhoc
-from boardwalk.plans.board_plan import FIXTURE_CLOCK, board_from_messages, board_keys, feeds, latest_trip_board, messages, table, trip_board
-from boardwalk.plans.sql import SQL, run_sql
-from boardwalk.session import list_dir, shared_dir
+from boardwalk.plans.board_plan import FIXTURE_CLOCK, board_from_messages, board_keys, feeds, key_messages, latest_trip_board, messages, table, trip_board
+from boardwalk.plans.sql import CLUSTERED_SQL, SQL, run_sql
+from boardwalk.session import file_times, list_dir, settled, shared_dir
 from boardwalk.sources import feed_snapshots, parse_status, parse_updates, read_board, register_board_path
+from boardwalk.sources.bucketed import join_bucketed, store_bucketed
 from boardwalk.sources.fixtures import STATUS_TOPIC, UPDATES_TOPIC
-from boardwalk.streaming import AVAILABLE_NOW, FeedReplay, append_latest, board_stream, compact, read_latest, write_append, write_upsert
+from boardwalk.sources.layout import CLUSTERED, write_clustered
+from boardwalk.streaming import (
+    AVAILABLE_NOW,
+    FeedReplay,
+    append_latest,
+    append_rollup,
+    board_stream,
+    compact,
+    fold_rollup,
+    kept_heavy_trips,
+    read_dead_letters,
+    read_latest,
+    read_parsed,
+    rollup,
+    state_by_partition,
+    write_append,
+    write_intake,
+    write_latest,
+    write_rollup,
+    write_upsert,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -158,34 +179,57 @@ def board_default_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q2_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adhoc.q2_count(board_keys(messages(spark, sf_dir)))
+    return adhoc.q2_count(board_keys(key_messages(spark, sf_dir)))
 
 
 def q4_trips_per_route(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adhoc.q4_trips_per_route(board_keys(messages(spark, sf_dir)))
+    return adhoc.q4_trips_per_route(board_keys(key_messages(spark, sf_dir)))
 
 
 def q9_first_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return adhoc.q9_first_snapshot(trip_board(spark, sf_dir), board_keys(messages(spark, sf_dir)))
+    return adhoc.q9_first_snapshot(trip_board(spark, sf_dir), board_keys(key_messages(spark, sf_dir)))
 
 
 # -- a stored board, asked in SQL ---------------------------------------------------
-_stored: dict[tuple[str, str], str] = {}
+_stored: dict[tuple, str] = {}
 
 
-def stored_board(spark: SparkSession, sf_dir: str) -> str:
-    """The name of a catalog view over the board of ``sf_dir`` as files,
-    written once per application."""
-    at = (spark.sparkContext.applicationId, sf_dir)
+def _kept(kind: str, spark: SparkSession, sf_dir: str, make: Callable[[str, str], None]) -> str:
+    """The name of something stored from the tables of ``sf_dir``, made by
+    ``make(name, path)`` once per application and state of those files."""
+    files = [tuple(sorted(file_times(spark, f"{sf_dir}/{t}.parquet").items())) for t in ("orders", "lineitem")]
+    at = (spark.sparkContext.applicationId, kind, sf_dir, *files)
     if at not in _stored or not spark.catalog.tableExists(_stored[at]):
-        name = f"boardwalk_board_{uuid.uuid4().hex}"
-        path = f"{shared_dir(spark)}/boardwalk/{name}"
-        trip_board(spark, sf_dir).write.parquet(path)
-        register_board_path(spark, path, name)
+        name = f"boardwalk_{kind}_{uuid.uuid4().hex}"
+        make(name, f"{shared_dir(spark)}/boardwalk/{name}")
         _stored[at] = name
     return _stored[at]
 
 
+def stored_board(spark: SparkSession, sf_dir: str) -> str:
+    """The name of a catalog view over the board of ``sf_dir`` as files."""
+
+    def make(name: str, path: str) -> None:
+        trip_board(spark, sf_dir).write.parquet(path)
+        register_board_path(spark, path, name)
+
+    return _kept("board", spark, sf_dir, make)
+
+
+#: The layout unit of the registered clustered board: its starts span years.
+CLUSTER_UNIT = "month"
+
+
+def clustered_board(spark: SparkSession, sf_dir: str) -> str:
+    """The name of a catalog view over the board laid out by start."""
+
+    def make(name: str, path: str) -> None:
+        write_clustered(spark.table(stored_board(spark, sf_dir)), path, CLUSTER_UNIT)
+        register_board_path(spark, path, name, CLUSTERED.names)
+
+    return _kept("clustered", spark, sf_dir, make)
+
+
 def _sql(name: str, spark: SparkSession, sf_dir: str, **params) -> DataFrame:
     return run_sql(spark, name, stored_board(spark, sf_dir), **params)
 
@@ -195,6 +239,40 @@ def sql_q9_pruned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adhoc.q9_first_snapshot_pruned(spark.table(stored_board(spark, sf_dir)))
 
 
+def sql_q5_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5 from the folders of its interval."""
+    lo, hi = Q5_FIXTURE_WINDOW
+    text = CLUSTERED_SQL["q5_clustered"]
+    return spark.sql(text.format(board=clustered_board(spark, sf_dir), lo=lo, hi=hi, lo_day=lo[:10], hi_day=hi[:10], unit=CLUSTER_UNIT))
+
+
+def sql_lookup_by_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows of the trips with the five smallest order keys."""
+    first = table(spark, sf_dir, "orders").select("o_orderkey").orderBy("o_orderkey").limit(5).collect()
+    ids = ", ".join(f"'{r[0]}'" for r in first) or "NULL"
+    return spark.sql(CLUSTERED_SQL["lookup_by_trip"].format(board=clustered_board(spark, sf_dir), columns=", ".join(schemas.BOARD_COLUMNS), ids=ids))
+
+
+def rank_by_clock(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranked = adhoc.rank_by_clock(spark.table(stored_board(spark, sf_dir)))
+    return ranked.select("tripId", "routeId", "currentTime", "rnk")
+
+
+def q9_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return adhoc.q9_ranked(spark.table(stored_board(spark, sf_dir)))
+
+
+def board_bucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The board from both feeds stored bucketed by trip: no exchange."""
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def make(side: int, name: str, path: str) -> None:
+        store_bucketed(feeds(messages(spark, sf_dir))[side], name, path, n)
+
+    names = [_kept(f"{kind}_{n}", spark, sf_dir, partial(make, i)) for i, kind in enumerate(("updates", "status"))]
+    return derive_board(join_bucketed(spark, *names), clock=FIXTURE_CLOCK)
+
+
 def trip_board_instant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return trip_board(spark, sf_dir, mode=INSTANT)
 
@@ -217,16 +295,28 @@ def _time_slices(msgs: DataFrame) -> Column:
     return F.date_format(instant_to_utc("ingest_ts"), "yyyyMM").cast("int")
 
 
-def _replay(spark: SparkSession, sf_dir: str, name: str, slices, start, groups=None, state_partitions: int | None = None) -> FeedReplay:
-    """Stage the feed, then deliver its slices group by group (conditions over
-    ``slice``; by default the first three slices one by one), draining each
-    with a restart of the stream."""
+def _staged(spark: SparkSession, sf_dir: str, name: str, slices, state_partitions: int | None = None, change=None) -> FeedReplay:
+    """A replay whose feed is staged, and whose heavy trips are known: what a
+    broker holds of the updates when the stream is first started."""
     msgs = messages(spark, sf_dir)
+    msgs = change(msgs) if change else msgs
     r = FeedReplay(spark, name, state_partitions=state_partitions)
     r.stage(msgs, slices(msgs))
+    kept_heavy_trips(r.staged(UPDATES_TOPIC), r.path("ckpt"))
+    return r
+
+
+def _replay(spark: SparkSession, sf_dir: str, name: str, slices, start, groups=None, state_partitions: int | None = None, then=None) -> FeedReplay:
+    """Stage the feed, then deliver its slices group by group (conditions over
+    ``slice``; by default the first three slices one by one), draining each
+    with a restart of the stream. ``then`` sees the replay before its inputs
+    and checkpoint go."""
+    r = _staged(spark, sf_dir, name, slices, state_partitions)
     for wanted in groups or [f"slice = {i}" for i in range(3)]:
         r.deliver(wanted)
         start(r).awaitTermination()
+    if then:
+        then(r)
     r.release_inputs()
     return r
 
@@ -236,15 +326,19 @@ HOT_SHARE = 1 / 3
 
 
 def _salt(r: FeedReplay) -> int:
-    """Parts a trip's updates are dealt into in the streams' join, two at
-    least, so that the hottest trip has a state partition's share in each. The
-    same in every restart, as the number of state partitions is."""
+    """Parts that a heavy trip's updates are dealt into in the streams' join,
+    two at least, so that the hottest trip has a state partition's share in
+    each. The same in every restart, as the number of state partitions is."""
     return max(2, math.ceil(HOT_SHARE * int(r.stream_spark.conf.get("spark.sql.shuffle.partitions"))))
 
 
+def _board_stream(r: FeedReplay, **how) -> DataFrame:
+    heavy = kept_heavy_trips(r.staged(UPDATES_TOPIC), r.path("ckpt"))
+    return board_stream(r.envelopes(UPDATES_TOPIC), r.envelopes(STATUS_TOPIC), clock=FIXTURE_CLOCK, salt=_salt(r), heavy=heavy, **how)
+
+
 def _appended(r: FeedReplay, **how):
-    b = board_stream(r.envelopes(UPDATES_TOPIC), r.envelopes(STATUS_TOPIC), clock=FIXTURE_CLOCK, salt=_salt(r), **how)
-    return write_append(b, r.path("board"), r.path("ckpt"), trigger=AVAILABLE_NOW)
+    return write_append(_board_stream(r, **how), r.path("board"), r.path("ckpt"), trigger=AVAILABLE_NOW)
 
 
 def stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -275,9 +369,8 @@ def stream_late_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_board(spark, r.path("board"), missing_ok=True)
 
 
-def _upserted(r: FeedReplay):
-    b = board_stream(r.envelopes(UPDATES_TOPIC), r.envelopes(STATUS_TOPIC), clock=FIXTURE_CLOCK, salt=_salt(r), keep_order=True)
-    return write_upsert(b, r.path("table"), r.path("ckpt"), trigger=AVAILABLE_NOW)
+def _upserted(r: FeedReplay, **how):
+    return write_upsert(_board_stream(r, keep_order=True), r.path("table"), r.path("ckpt"), trigger=AVAILABLE_NOW, **how)
 
 
 def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -285,6 +378,100 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_latest(spark, r.path("table")).select(*schemas.BOARD_COLUMNS)
 
 
+def stream_upsert_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sink merges its folders in tiers as it goes."""
+    r = _replay(spark, sf_dir, "stream_upsert_compacted", _trip_slices, partial(_upserted, merge_every=1, fanout=2))
+    return read_latest(spark, r.path("table")).select(*schemas.BOARD_COLUMNS)
+
+
+def stream_state_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the unbounded join holds after the whole feed: rows by side."""
+    seen: list[DataFrame] = []
+    _replay(spark, sf_dir, "stream_state_rows", _trip_slices, _appended, then=lambda r: seen.append(settled(state_by_partition(spark, r.path("ckpt")))))
+    return seen[0].groupBy("side").agg(F.sum("rows").alias("rows"))
+
+
+def _from_latest(r: FeedReplay):
+    u, s = (r.envelopes(t, {"startingOffsets": "latest"}, r.path("ckpt")) for t in (UPDATES_TOPIC, STATUS_TOPIC))
+    return write_append(board_stream(u, s, clock=FIXTURE_CLOCK), r.path("board"), r.path("ckpt"), trigger=AVAILABLE_NOW)
+
+
+def stream_from_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first slice lies there when the stream first starts, and is passed
+    over: a trip needs its update in the second and its status in the third."""
+    r = _replay(spark, sf_dir, "stream_from_latest", _trip_slices, _from_latest)
+    return read_board(spark, r.path("board"), missing_ok=True)
+
+
+def rollup_trips_per_route(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Trips per route kept up to date by the board stream, folded as it goes."""
+
+    def start(r: FeedReplay):
+        return write_rollup(_board_stream(r), r.path("rollup"), r.path("ckpt"), trigger=AVAILABLE_NOW, fold_every=1, fanout=2)
+
+    return rollup.trips_per_route(spark, _replay(spark, sf_dir, "rollup", _trip_slices, start).path("rollup"))
+
+
+def rollup_first_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Future stops per trip in the earliest snapshot, from batches that come
+    out of order, one of them twice, with folds in between."""
+    board = spark.table(stored_board(spark, sf_dir))
+    path = f"{shared_dir(spark)}/boardwalk/rollup-{uuid.uuid4().hex}"
+    part = F.pmod(F.xxhash64("tripId"), F.lit(5))
+    for batch_id in (3, 0, 4, 4, 1, 2):
+        append_rollup(board.where(part == batch_id), path, "writer", batch_id)
+        fold_rollup(spark, path, fanout=2)
+    return rollup.first_snapshot(spark, path)
+
+
+# -- intake with dead letters ----------------------------------------------------------
+KINDS = {"updates": UPDATES_TOPIC, "status": STATUS_TOPIC}
+
+
+def _damaged(msgs: DataFrame) -> DataFrame:
+    """Messages of every 17th trip are cut off half-way."""
+    cut = F.pmod(F.col("key").cast("bigint"), F.lit(17)) == 3
+    return msgs.withColumn("value", F.when(cut, F.expr("left(value, length(value) div 2)")).otherwise(F.col("value")))
+
+
+def _taken_in(spark: SparkSession, sf_dir: str) -> FeedReplay:
+    """The damaged feed parsed by two intake streams, with restarts."""
+    r = _staged(spark, sf_dir, "intake", _trip_slices, change=_damaged)
+    for i in range(3):
+        r.deliver(f"slice = {i}")
+        for kind, t in KINDS.items():
+            write_intake(r.envelopes(t), kind, r.path(kind), r.path("ckpt", kind), trigger=AVAILABLE_NOW).awaitTermination()
+    r.release_inputs()
+    return r
+
+
+def dead_letters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The messages that did not parse."""
+    r = _taken_in(spark, sf_dir)
+    per = [read_dead_letters(spark, k, r.path(k)).select(F.lit(k).alias("kind"), "key", instant_to_utc("ingest_ts").alias("ingest_ts")) for k in KINDS]
+    return per[0].unionByName(per[1])
+
+
+def board_after_intake(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The board of the messages that did parse, not parsed again."""
+    r = _taken_in(spark, sf_dir)
+    u, s = (read_parsed(spark, k, r.path(k)) for k in KINDS)
+    return derive_board(join_feeds(reshape_updates(u), reshape_status(s)), clock=FIXTURE_CLOCK)
+
+
+def stream_latest_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The board appended, and its latest rows kept by a second stream that
+    writes a trip's row only when it has changed."""
+    r = _staged(spark, sf_dir, "stream_latest_changes", _trip_slices)
+    for i in range(3):
+        r.deliver(f"slice = {i}")
+        write_append(_board_stream(r, keep_order=True), r.path("board"), r.path("ckpt"), trigger=AVAILABLE_NOW).awaitTermination()
+        rows = r.stream_spark.readStream.schema(schemas.BOARD_WITH_ORDER).parquet(r.path("board"))
+        write_latest(rows, r.path("table"), r.path("ckpt", "latest"), trigger=AVAILABLE_NOW).awaitTermination()
+    r.release_inputs()
+    return read_latest(spark, r.path("table")).select(*schemas.BOARD_COLUMNS)
+
+
 def stream_upsert_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The board in two batches with the second applied twice, as after a
     failure between writing and checkpointing, and merged in the end."""
@@ -329,6 +516,19 @@ def registry() -> dict[str, Query]:
             "stream_late_dropped": stream_late_dropped,
             "stream_upsert": stream_upsert,
             "stream_upsert_replayed": stream_upsert_replayed,
+            "stream_upsert_compacted": stream_upsert_compacted,
+            "stream_latest_changes": stream_latest_changes,
+            "stream_state_rows": stream_state_rows,
+            "stream_from_latest": stream_from_latest,
+            "rank_by_clock": rank_by_clock,
+            "q9_ranked": q9_ranked,
+            "sql_q5_clustered": sql_q5_clustered,
+            "sql_lookup_by_trip": sql_lookup_by_trip,
+            "board_bucketed": board_bucketed,
+            "rollup_trips_per_route": rollup_trips_per_route,
+            "rollup_first_snapshot": rollup_first_snapshot,
+            "dead_letters": dead_letters,
+            "board_after_intake": board_after_intake,
         }
     )
     return q

@@ -51,6 +51,17 @@ SQL = {
     ),
 }
 
+# Of a board laid out by start (``layout.py``), with its ``startPart``.
+CLUSTERED_SQL = {
+    "q5_clustered": (
+        "SELECT count(tripId) AS numOfTrips, routeId FROM {board} "
+        "WHERE startPart BETWEEN trunc(DATE '{lo_day}', '{unit}') AND trunc(DATE '{hi_day}', '{unit}') "
+        "AND startTime BETWEEN TIMESTAMP_NTZ '{lo}' AND TIMESTAMP_NTZ '{hi}' "
+        "GROUP BY routeId, startTime ORDER BY 1 DESC"
+    ),
+    "lookup_by_trip": "SELECT {columns} FROM {board} WHERE tripId IN ({ids})",
+}
+
 
 def sql_text(name: str, board: str = "board", lo: str = Q5_FROM, hi: str = Q5_TO) -> str:
     return SQL[name].format(board=board, lo=lo, hi=hi)

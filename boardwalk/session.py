@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job of the engine relies on. AQE re-plans joins and
 # aggregations from runtime sizes (coalescing small partitions, splitting
@@ -101,6 +101,16 @@ def shared_dir(spark: SparkSession) -> str:
     return d.rstrip("/")
 
 
+def settled(df: DataFrame) -> DataFrame:
+    """``df`` computed once into the shared checkpoint folder: later readers
+    neither recompute it nor depend on the executors that made it."""
+    sc = df.sparkSession.sparkContext
+    folder = shared_dir(df.sparkSession)
+    if sc.getCheckpointDir() is None:  # the setting was made after the start
+        sc.setCheckpointDir(folder)
+    return df.checkpoint()
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
@@ -131,6 +141,36 @@ def modified_ms(spark: SparkSession, path: str) -> int | None:
     return int(fs.getFileStatus(p).getModificationTime()) if fs.exists(p) else None
 
 
+def file_times(spark: SparkSession, path: str) -> dict[str, int]:
+    """Data files of a folder (the immediate ones) and when each was written,
+    in ms by the store's clock; a folder that is not there has none."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return {}
+    found = {s.getPath().getName(): int(s.getModificationTime()) for s in fs.listStatus(p) if s.isFile()}
+    return {n: t for n, t in found.items() if not n.startswith(("_", "."))}
+
+
+def move_files(spark: SparkSession, folder: str, into: str, prefix: str) -> None:
+    """Moves the data files of a folder into another one of the same store.
+    ``prefix`` goes before their names: a job that writes several folders gives
+    the same name to files in each."""
+    fs, p = _fs(spark, folder)
+    for s in fs.listStatus(p):
+        name = s.getPath().getName()
+        if not name.startswith(("_", ".")) and not fs.rename(s.getPath(), _fs(spark, f"{into}/{prefix}{name}")[1]):
+            raise OSError(f"could not move {s.getPath()} to {into}")
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(text.encode("utf-8")))
+    finally:
+        out.close()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     if fs.exists(p):

@@ -157,6 +157,20 @@ def status_messages(orders: DataFrame, spread: bool = False) -> DataFrame:
     return o.select(*_envelope(STATUS_TOPIC, _status(k)))
 
 
+def trip_key_messages(orders: DataFrame, spread: bool = False) -> DataFrame:
+    """Both topics with messages that hold their trip alone: same trips, keys
+    and ingest times as ``trip_messages``, made without the stop lists."""
+    k = F.col("o_orderkey")
+    o = keyed_orders(orders) if spread else orders.select(*_ORDER_COLS)
+    polled = o.select(*_ORDER_COLS, F.explode(_polls(k)).alias("poll"))
+    u = polled.select(
+        "o_orderkey",
+        utc_to_instant(F.timestamp_add("MINUTE", F.col("poll"), F.col("o_orderdate"))).alias("ingest_ts"),
+        F.struct(_trip(k).alias("trip")).alias("tripUpdate"),
+    )
+    return u.select(*_envelope(UPDATES_TOPIC, F.col("tripUpdate"))).unionByName(status_messages(orders, spread))
+
+
 def trip_messages(orders: DataFrame, lineitem: DataFrame, spread: bool = False) -> DataFrame:
     """Both topics in one frame, routed by ``topic``. Selecting one topic
     prunes the other branch of the union at planning time."""

@@ -33,7 +33,7 @@ def _quote(name: str) -> str:
     return ".".join(f"`{part.replace('`', '``')}`" for part in name.split("."))
 
 
-def register_board_path(spark: SparkSession, path: str, name: str) -> None:
+def register_board_path(spark: SparkSession, path: str, name: str, columns: list[str] | None = None) -> None:
     """A persistent catalog view over the files of a board at ``path`` (append
     folder or upsert table), like an external schema: any session of the
     catalog can ask it, and every query lists the files anew, so rows that a
@@ -42,7 +42,7 @@ def register_board_path(spark: SparkSession, path: str, name: str) -> None:
     ``name`` (unquoted parts) may be ``database.view``; the database is
     created when absent. A view or an external table of that name is replaced
     (no files are touched); a managed table, whose data a drop would delete,
-    is refused."""
+    is refused. ``columns``: of an append folder, if more than the board's."""
     quoted = _quote(name)
     if "." in name:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {_quote(name.rsplit('.', 1)[0])}")
@@ -53,5 +53,5 @@ def register_board_path(spark: SparkSession, path: str, name: str) -> None:
         if kind == "EXTERNAL":
             spark.sql(f"DROP TABLE {quoted}")
     files = path.rstrip("/").replace("`", "``")
-    query = latest_sql(files) if is_upsert_path(spark, path) else f"SELECT {', '.join(schemas.BOARD_COLUMNS)} FROM parquet.`{files}`"
+    query = latest_sql(files) if is_upsert_path(spark, path) else f"SELECT {', '.join(columns or schemas.BOARD_COLUMNS)} FROM parquet.`{files}`"
     spark.sql(f"CREATE OR REPLACE VIEW {quoted} AS {query}")

@@ -7,29 +7,36 @@ folder of its own:
 
 The table is what ``latest_per_key`` gives over all folders. A row that is
 there twice changes nothing, so a replayed batch simply writes its folder
-again, and ``compact`` may add a folder with the merged rows of others long
-before those go. Nothing else is recorded: there is no manifest, no bucket
-count and no version. Readers are DataFrame or SQL queries.
+again, and a merge may add a folder with the merged rows of others long before
+those go. Merged folders list the files they cover (``folders.py``); there is
+no manifest of the table, no bucket count and no version. Readers are
+DataFrame or SQL queries.
+
+``merge_tiers`` keeps the number of folders small at a bounded cost: whenever
+``fanout`` folders of a level are there, they become one of the next level, so
+a row is rewritten once per level, a logarithmic number of times. ``compact``
+merges everything at once.
 """
 
 from __future__ import annotations
 
-import time
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 from boardwalk import schemas
 from boardwalk.operators.latest import latest_per_key
-from boardwalk.session import delete_path, list_dir, modified_ms, path_exists
+from boardwalk.session import delete_path, modified_ms, path_exists, write_text
+from boardwalk.sources.folders import COMPACTED, Folder, covered, declare, drop_covered_files, finished, merged_name
 
 DELTAS = "deltas"
-#: Writer name of merged folders; their batch is when the merge began (ms).
-COMPACTED = "compacted"
+
+
+def _base(path: str) -> str:
+    return f"{path.rstrip('/')}/{DELTAS}"
 
 
 def _folder(path: str, writer: str, batch_id: int) -> str:
-    return f"{path.rstrip('/')}/{DELTAS}/writer={writer}/batch={batch_id}"
+    return f"{_base(path)}/writer={writer}/batch={batch_id}"
 
 
 def is_upsert_path(spark: SparkSession, path: str) -> bool:
@@ -72,30 +79,65 @@ def latest_sql(path: str, key: str = "tripId", order: list[str] | None = None, c
     return f"SELECT {', '.join(c if c == key else f'r.{c}' for c in columns)} FROM ({best})"
 
 
+def _merge(spark: SparkSession, path: str, inputs: list[Folder], level: int, key: str, order: list[str] | None, schema) -> None:
+    """One folder with the latest rows of ``inputs``, read file by file as they
+    were listed."""
+    base, schema = _base(path), schema or schemas.BOARD_WITH_ORDER
+    rows = spark.read.schema(schema).parquet(*[f"{base}/{p}" for f in inputs for p in sorted(f.paths())])
+    name = merged_name(level, inputs)
+    latest_per_key(rows, key, order or schemas.LATEST_ORDER).write.mode("overwrite").parquet(f"{base}/{name}")
+    declare(spark, base, name, finished(spark, base), set().union(*(f.paths() for f in inputs)))
+
+
+def _live(folders: list[Folder]) -> list[Folder]:
+    """Folders with a file that no merge covers."""
+    gone = covered(folders)
+    return [f for f in folders if f.paths() - gone]
+
+
+def merge_tiers(
+    spark: SparkSession, path: str, key: str = "tripId", order: list[str] | None = None, schema=None, fanout: int = 8, retain: int = 1
+) -> int:
+    """Merges the folders of every level that has ``fanout`` of them into one
+    of the next; returns how many merges that took. What the last ``retain``
+    merges cover stays for queries that may still read it, the rest goes.
+
+    For one caller at a time (the sink, between its batches). Dying anywhere
+    leaves the same latest rows."""
+    if fanout < 2:
+        raise ValueError("fanout must be 2 or more")
+    base, merges, level = _base(path), 0, 0
+    while True:
+        folders = finished(spark, base)
+        live = _live(folders)
+        if level > max((f.level for f in live), default=-1):
+            break
+        group = [f for f in live if f.level == level]
+        if len(group) >= fanout:
+            _merge(spark, path, group, level + 1, key, order, schema)
+            merges += 1
+        level += 1
+    newest = max((f.number for f in folders), default=-1)
+    old = covered([f for f in folders if 0 <= f.number <= newest - retain])
+    drop_covered_files(spark, base, folders, old)
+    return merges
+
+
 def compact(spark: SparkSession, path: str, key: str = "tripId", order: list[str] | None = None, schema=None, keep_s: float = 3600.0) -> None:
-    """Merge all folders into one, then remove folders that a merge older
+    """Merge all folders into one, then remove the files that a merge older
     than ``keep_s`` covers: queries that began before it have ended by then.
-
-    A merge covers what was complete when it began, which its folder's name
-    says. Running it twice, or dying in between, leaves the same rows."""
-    base = f"{path.rstrip('/')}/{DELTAS}"
+    Both times are the store's. Running it twice, or dying in between, leaves
+    the same latest rows."""
+    base = _base(path)
     if not path_exists(spark, base):
         return
-    began = int(time.time() * 1000)
-    merged = latest_per_key(read_deltas(spark, path, schema), key, order or schemas.LATEST_ORDER)
-    merged.write.mode("overwrite").parquet(_folder(path, COMPACTED, began))
-    done = [
-        (writer, batch, modified_ms(spark, f"{base}/{writer}/{batch}/_SUCCESS"))
-        for writer in list_dir(spark, base)
-        for batch in list_dir(spark, f"{base}/{writer}")
-    ]
-    # The merge just made is newest; without an age limit it counts at once.
-    ready = {b for w, b, at in done if w == f"writer={COMPACTED}" and at is not None and at <= time.time() * 1000 - keep_s * 1000}
-    merges = [int(b.split("=")[1]) for b in ready]
-    if not merges:
-        return
-    covered = max(merges)
-    for writer, batch, at in done:
-        newest = writer == f"writer={COMPACTED}" and int(batch.split("=")[1]) >= covered
-        if at is not None and at < covered and not newest:
-            delete_path(spark, f"{base}/{writer}/{batch}")
+    live = _live(finished(spark, base))
+    if len(live) > 1:
+        _merge(spark, path, live, 1 + max(f.level for f in live), key, order, schema)
+    folders = finished(spark, base)
+    now = f"{path.rstrip('/')}/_now"
+    write_text(spark, now, "")
+    limit = modified_ms(spark, now) - keep_s * 1000
+    delete_path(spark, now)
+    ready = [f for f in folders if f.covers and (modified_ms(spark, f"{base}/{f.name}/_SUCCESS") or limit + 1) <= limit]
+    drop_covered_files(spark, base, folders, covered(ready))

@@ -1,10 +1,9 @@
 """Feed a stream from table-derived messages, slice by slice.
 
 The messages are written once by a Spark job, partitioned by slice and topic;
-delivering a slice is a Spark job that appends its rows to the stream's input
-folders. The caller delivers slices in groups, in slice order; each group is
-drained by one ``availableNow`` run, so the query restarts from its checkpoint
-in between.
+delivering a slice moves its files into the stream's input folder. The caller
+delivers slices in groups, in slice order; each group is drained by one
+``availableNow`` run, so the query restarts from its checkpoint in between.
 """
 
 from __future__ import annotations
@@ -16,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boardwalk import schemas
-from boardwalk.session import delete_path, make_dirs, shared_dir, stream_session
+from boardwalk.session import delete_path, list_dir, make_dirs, move_files, path_exists, shared_dir, stream_session
 from boardwalk.sources.envelope import read_envelope
 from boardwalk.sources.fixtures import STATUS_TOPIC, UPDATES_TOPIC
 
@@ -34,33 +33,45 @@ class FeedReplay:
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
 
-    def stage(self, messages: DataFrame, slice_col: Column, files: int = 1) -> None:
-        """Write ``topic, key, value, ingest_ts`` messages by slice and topic,
-        ``files`` files each: rows are dealt by slice, topic and a part of the
-        key's hash, so a task does not write to every folder."""
+    def stage(self, messages: DataFrame, slice_col: Column, rows_per_file: int = 16384) -> None:
+        """Write ``topic, key, value, ingest_ts`` messages by slice and topic.
+
+        The rows are rebalanced: adaptive execution splits a slice's topic over
+        as many tasks as its bytes ask for and joins small ones. A file holds
+        ``rows_per_file`` messages at most, so the stream reads a slice with
+        tasks that grow in number with it."""
         out = messages.select("topic", "key", "value", "ingest_ts", slice_col.cast("int").alias("slice"))
-        out = out.repartition("slice", "topic", F.pmod(F.xxhash64("key"), F.lit(files)))
-        out.write.partitionBy("slice", "topic").parquet(self.path("stage"))
+        out = out.hint("rebalance", "slice", "topic")
+        out.write.partitionBy("slice", "topic").option("maxRecordsPerFile", rows_per_file).parquet(self.path("stage"))
 
-    def deliver(self, wanted: str) -> None:
-        """Append the messages of the slices for which ``wanted`` (a condition
-        on ``slice``) holds to the input folders."""
+    def staged(self, topic_name: str) -> DataFrame:
+        """Messages of a topic that are staged and not yet delivered."""
         schema = T.StructType([*schemas.ENVELOPE, T.StructField("slice", T.IntegerType()), T.StructField("topic", T.StringType())])
-        staged = self.spark.read.schema(schema).parquet(self.path("stage")).where(wanted)
-        for t in TOPICS:
-            rows = staged.where(F.col("topic") == t).select("key", "value", "ingest_ts")
-            rows.write.mode("append").parquet(self.path("in", t))
+        return self.spark.read.schema(schema).parquet(self.path("stage")).where(F.col("topic") == topic_name)
+
+    def deliver(self, wanted: str) -> None:
+        """Move the files of the slices for which ``wanted`` (a condition on
+        ``slice``) holds to the input folders; no row is written again."""
+        names = [n for n in list_dir(self.spark, self.path("stage")) if n.startswith("slice=")]
+        numbers = [int(n.split("=")[1]) for n in names if n.split("=")[1].lstrip("-").isdigit()]
+        hits = self.spark.createDataFrame([(n,) for n in numbers], "slice int").where(wanted).collect()
+        for r in sorted(hits):
+            for t in TOPICS:
+                make_dirs(self.spark, self.path("in", t))
+                folder = self.path("stage", f"slice={r['slice']}", f"topic={t}")
+                if path_exists(self.spark, folder):
+                    move_files(self.spark, folder, self.path("in", t), f"slice-{r['slice']}-")
 
     def release_inputs(self) -> None:
         """Drop the staged feed, the delivered input and the checkpoint once
         the replay is over; the sink's output (which carries its own commit
         log) is all that is read afterwards."""
-        for part in ("stage", "in", "ckpt"):
+        for part in ("stage", "in", "ckpt", "ckpt.heavy.json"):
             delete_path(self.spark, self.path(part))
 
-    def envelopes(self, topic_name: str) -> DataFrame:
+    def envelopes(self, topic_name: str, options: dict[str, str] | None = None, checkpoint: str | None = None) -> DataFrame:
         """Streaming envelopes of one topic from its input folder, in the
         replay's stream session. Parquet keeps times to the microsecond."""
         d = self.path("in", topic_name)
         make_dirs(self.spark, d)
-        return read_envelope(self.stream_spark, "parquet", path=d)
+        return read_envelope(self.stream_spark, "parquet", options, path=d, checkpoint=checkpoint)

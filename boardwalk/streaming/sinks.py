@@ -6,15 +6,16 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from boardwalk import schemas
 from boardwalk.operators.latest import latest_per_key
 from boardwalk.session import read_text
+from boardwalk.sources.layout import PART, bloom_options, start_part
 from boardwalk.sources.table import register_board_path
-from boardwalk.sources.upsert import append_latest, is_upsert_path
+from boardwalk.sources.upsert import append_latest, is_upsert_path, merge_tiers
 
 # Fixed value: the micro-batch interval of the original.
 DEFAULT_TRIGGER = "10 seconds"
@@ -30,18 +31,34 @@ def with_trigger(w: DataStreamWriter, trigger: str | None) -> DataStreamWriter:
 
 
 def write_append(
-    board: DataFrame, path: str, checkpoint: str, trigger: str | None = None, query_name: str | None = None
+    board: DataFrame, path: str, checkpoint: str, trigger: str | None = None, query_name: str | None = None, by_start: str | None = None
 ) -> StreamingQuery:
     """Append every new board row to a Parquet folder. The file sink's log
     (under ``path/_spark_metadata``) makes each micro-batch exactly-once; a
-    reader of the folder sees only committed files."""
+    reader of the folder sees only committed files.
+
+    ``by_start`` ("day" or "month") lays the folder out by start of trip, with
+    a bloom filter for trip ids (``layout.py``); ``read_clustered`` reads it,
+    and ``write_clustered`` makes few ordered files of what has gathered."""
+    if by_start:
+        board = board.select(*schemas.BOARD_COLUMNS, start_part(F.col("startTime"), by_start).alias(PART))
     w = board.writeStream.outputMode("append").format("parquet").option("path", path)
     w = w.option("checkpointLocation", checkpoint)
+    if by_start:
+        w = w.partitionBy(PART).options(**bloom_options())
     if query_name:
         w = w.queryName(query_name)
     return with_trigger(w, trigger).start()
 
 
+def writer_id(spark: SparkSession, checkpoint: str) -> str:
+    """A stream's own id. It is in the checkpoint's metadata from the start: a
+    checkpoint made anew at the same path is another writer, whose batch ids
+    (from 0 again) don't replace the old one's."""
+    meta = read_text(spark, f"{checkpoint.rstrip('/')}/metadata")
+    return json.loads(meta.splitlines()[0])["id"]
+
+
 def merge_latest(batch: DataFrame, table: str, key: str = "tripId", order: list[str] | None = None) -> None:
     """Upsert one batch into a catalog table whose format supports ``MERGE``
     (Delta, Iceberg): the batch is reduced to one row per key, and a
@@ -71,6 +88,10 @@ def write_upsert(
     query_name: str | None = None,
     register_as: str | None = None,
     merge_into: str | None = None,
+    merge_every: int | None = 16,
+    fanout: int = 8,
+    retain: int = 1,
+    output_mode: str = "append",
 ) -> StreamingQuery:
     """Keep the latest board row per ``key`` at ``path``, or, with
     ``merge_into``, in that catalog table through ``MERGE`` (a table format
@@ -79,7 +100,9 @@ def write_upsert(
     ``board`` must carry the order columns (``derive_board(keep_order=True)``).
     Each micro-batch adds its own latest rows (``upsert.append_latest``), so
     its cost follows the batch and not the table, and a replayed batch
-    replaces itself. ``register_as`` names a persistent catalog view of the
+    replaces itself. After every ``merge_every`` batches the sink merges folders
+    in tiers of ``fanout`` and keeps what the last ``retain`` merges cover
+    (``upsert.merge_tiers``; None: never). ``register_as`` names a persistent catalog view of the
     latest rows, made at the first batch; it needs no renewal after."""
     spark = board.sparkSession
     order = order or schemas.LATEST_ORDER
@@ -88,12 +111,8 @@ def write_upsert(
     known: dict[str, str] = {}
 
     def writer() -> str:
-        # The query id is in the checkpoint's metadata from the start: a
-        # checkpoint made anew at the same path is another writer, whose batch
-        # ids (from 0 again) don't replace the old one's.
         if "id" not in known:
-            meta = read_text(spark, f"{checkpoint.rstrip('/')}/metadata")
-            known["id"] = json.loads(meta.splitlines()[0])["id"]
+            known["id"] = writer_id(spark, checkpoint)
         return known["id"]
 
     def merge(batch: DataFrame, batch_id: int) -> None:
@@ -101,11 +120,13 @@ def write_upsert(
             merge_latest(batch, merge_into, key, order)
             return
         append_latest(batch, path, writer(), batch_id, key, order)
+        if merge_every and (batch_id + 1) % merge_every == 0:
+            merge_tiers(spark, path, key, order, fanout=fanout, retain=retain)
         if register_as and "view" not in known and is_upsert_path(spark, path):
             register_board_path(spark, path, register_as)
             known["view"] = register_as
 
-    w = board.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+    w = board.writeStream.outputMode(output_mode).foreachBatch(merge).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
     return with_trigger(w, trigger).start()

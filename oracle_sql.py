@@ -145,7 +145,8 @@ def queries() -> dict[str, str]:
     q = _live()
     # The same questions asked in SQL of a stored board.
     q |= {f"sql_{name}": q[name] for name in list(q) if name[0] == "q" and name[1].isdigit()}
-    return q | {"sql_q9_pruned": q["q9_first_snapshot"]}
+    q |= {"sql_q9_pruned": q["q9_first_snapshot"], "q9_ranked": q["q9_first_snapshot"], "rollup_first_snapshot": q["q9_first_snapshot"]}
+    return q | {"sql_q5_clustered": q["q5_started_between_1998"]}
 
 
 def _live() -> dict[str, str]:
@@ -227,4 +228,23 @@ SELECT {BOARD_COLS} FROM board WHERE NOT (CAST(tripId AS BIGINT) % 17 = 5 AND
         "stream_append": f"{BOARD}\nSELECT {BOARD_COLS} FROM board",
         "stream_join_bounded": f"{BOARD}\nSELECT {BOARD_COLS} FROM board",
         "stream_upsert": latest,
+        "stream_upsert_compacted": latest,
+        "stream_latest_changes": latest,
+        "stream_state_rows": f"""WITH {_TRIPS}
+SELECT 'updates' AS side, count(*) AS rows FROM u HAVING count(*) > 0
+UNION ALL
+SELECT 'status', count(*) FROM o WHERE k % 13 <> 0 HAVING count(*) > 0""",
+        "stream_from_latest": f"{BOARD}\nSELECT {BOARD_COLS} FROM board WHERE CAST(tripId AS BIGINT) % 3 = 1",
+        "rank_by_clock": f"""{BOARD}
+SELECT tripId, routeId, currentTime, rank() OVER (ORDER BY currentTime) AS rnk FROM board""",
+        "board_bucketed": f"{BOARD}\nSELECT {BOARD_COLS} FROM board",
+        "rollup_trips_per_route": f"""{BOARD}
+SELECT routeId, count(tripId) AS numOfTrips FROM board GROUP BY routeId ORDER BY routeId""",
+        "dead_letters": f"""WITH {_TRIPS}
+SELECT 'updates' AS kind, CAST(k AS VARCHAR) AS key, u_ingest AS ingest_ts FROM u WHERE k % 17 = 3
+UNION ALL
+SELECT 'status', CAST(k AS VARCHAR), o_orderdate FROM o WHERE k % 17 = 3 AND k % 13 <> 0""",
+        "board_after_intake": f"{BOARD}\nSELECT {BOARD_COLS} FROM board WHERE CAST(tripId AS BIGINT) % 17 <> 3",
+        "sql_lookup_by_trip": f"""{BOARD}
+SELECT {BOARD_COLS} FROM board WHERE tripId IN (SELECT CAST(o_orderkey AS VARCHAR) FROM (SELECT o_orderkey FROM orders ORDER BY 1 LIMIT 5) f)""",
     }

@@ -1,0 +1,213 @@
+"""Tiered merges of the upsert table, and aggregates kept up to date."""
+
+import uuid
+
+import pytest
+from pyspark.sql import functions as F
+
+from boardwalk import schemas
+from boardwalk.operators import latest_per_key
+from boardwalk.plans import adhoc, registered
+from boardwalk.session import _fs, delete_path, list_dir, shared_dir
+from boardwalk.sources import folders, upsert
+from boardwalk.sources.upsert import DELTAS, append_latest, compact, merge_tiers, read_latest
+from boardwalk.streaming import rollup
+from boardwalk.streaming.rollup import append_rollup, fold_rollup
+from conftest import SF_SMALL, rows
+
+SCHEMA = "k string, o long, v string"
+
+
+def _new(spark, kind="merge"):
+    return f"{shared_dir(spark)}/test-{kind}-{uuid.uuid4().hex[:8]}"
+
+
+def _batch(spark, n, size=12):
+    """Keys that batches share in part; later batches win for some, not all."""
+    return spark.createDataFrame([(f"k{(n * 5 + i) % 40}", (n * 7 + i * 3) % 23 * 1000 + n, f"b{n}-{i}") for i in range(size)], SCHEMA)
+
+
+def _table(spark, path):
+    schema = spark.createDataFrame([], SCHEMA).schema
+    return rows(read_latest(spark, path, "k", ["o"], schema))
+
+
+def _merge(spark, path, **how):
+    return merge_tiers(spark, path, "k", ["o"], spark.createDataFrame([], SCHEMA).schema, **how)
+
+
+def test_tiers_keep_rows_and_bound_rewrites(spark, monkeypatch):
+    path, written = _new(spark), []
+    real = upsert._merge
+
+    def counted(spark, path, inputs, level, *rest):
+        written.append((level, len(inputs)))
+        return real(spark, path, inputs, level, *rest)
+
+    monkeypatch.setattr(upsert, "_merge", counted)
+    n = 18
+    for i in range(n):
+        append_latest(_batch(spark, i), path, "w", i, "k", ["o"])
+        before = _table(spark, path)
+        _merge(spark, path, fanout=3)
+        assert _table(spark, path) == before
+    want = None
+    for i in range(n):
+        want = _batch(spark, i) if want is None else want.union(_batch(spark, i))
+    assert _table(spark, path) == rows(latest_per_key(want, "k", ["o"]))
+    # A batch is rewritten once per level at most: levels 1 and 2 of 18 batches.
+    assert max(level for level, _ in written) == 2
+    assert sum(k for level, k in written if level == 1) == n
+    assert sum(k for level, k in written if level == 2) <= n / 3
+    left = sum(len(list_dir(spark, f"{path}/{DELTAS}/{w}")) for w in list_dir(spark, f"{path}/{DELTAS}"))
+    assert left < n / 2
+
+
+def test_covered_folders_wait_for_a_later_merge(spark):
+    path = _new(spark)
+    for i in range(3):
+        append_latest(_batch(spark, i), path, "w", i, "k", ["o"])
+    assert _merge(spark, path, fanout=3) == 1
+    assert list_dir(spark, f"{path}/{DELTAS}/writer=w") == ["batch=0", "batch=1", "batch=2"]
+    for i in range(3, 6):
+        append_latest(_batch(spark, i), path, "w", i, "k", ["o"])
+    assert _merge(spark, path, fanout=3) == 1
+    assert list_dir(spark, f"{path}/{DELTAS}/writer=w") == ["batch=3", "batch=4", "batch=5"]
+
+
+@pytest.mark.parametrize("shift_s", [-10, 10])
+def test_clocks_do_not_matter(spark, shift_s):
+    """The store's times are 10 s off the driver's, and a batch ends while the
+    merge runs: it is neither covered nor lost."""
+    path = _new(spark)
+    for i in range(3):
+        append_latest(_batch(spark, i), path, "w", i, "k", ["o"])
+
+    real = upsert.declare
+
+    def late(spark, base, name, found, covers):
+        append_latest(_batch(spark, 9), path, "other", 0, "k", ["o"])
+        real(spark, base, name, found, covers)
+        fs, _ = _fs(spark, base)
+        files = fs.listFiles(_fs(spark, base)[1], True)
+        while files.hasNext():
+            f = files.next()
+            fs.setTimes(f.getPath(), f.getModificationTime() + shift_s * 1000, -1)
+
+    upsert.declare = late
+    try:
+        compact(spark, path, "k", ["o"], spark.createDataFrame([], SCHEMA).schema, keep_s=0)
+    finally:
+        upsert.declare = real
+    every = _batch(spark, 0).union(_batch(spark, 1)).union(_batch(spark, 2)).union(_batch(spark, 9))
+    assert _table(spark, path) == rows(latest_per_key(every, "k", ["o"]))
+    assert list_dir(spark, f"{path}/{DELTAS}/writer=other") == ["batch=0"]
+
+
+def test_a_merge_that_died_covers_nothing(spark, monkeypatch):
+    path = _new(spark)
+    for i in range(4):
+        append_latest(_batch(spark, i), path, "w", i, "k", ["o"])
+    want = _table(spark, path)
+
+    def dies(*args):
+        raise OSError("before it said what it covers")
+
+    with monkeypatch.context() as m:
+        m.setattr(upsert, "declare", dies)
+        with pytest.raises(OSError, match="before it said"):
+            _merge(spark, path, fanout=2)
+    assert _table(spark, path) == want and folders.covered(folders.finished(spark, f"{path}/{DELTAS}")) == set()
+    assert _merge(spark, path, fanout=2) >= 1 and _table(spark, path) == want
+
+
+def test_a_replayed_batch_after_its_merge_is_kept(spark):
+    """A batch that comes again with other rows (a later clock) has new files:
+    no merge covers those."""
+    path = _new(spark)
+    for i in range(2):
+        append_latest(_batch(spark, i), path, "w", i, "k", ["o"])
+    _merge(spark, path, fanout=2)
+    again = _batch(spark, 1).withColumn("o", F.col("o") + 10**6)
+    append_latest(again, path, "w", 1, "k", ["o"])
+    for i in range(2, 6):
+        append_latest(_batch(spark, i), path, "w", i, "k", ["o"])
+        _merge(spark, path, fanout=2)
+    every = _batch(spark, 0).union(again)
+    for i in range(2, 6):
+        every = every.union(_batch(spark, i))
+    assert _table(spark, path) == rows(latest_per_key(every, "k", ["o"]))
+
+
+def test_the_sink_merges_as_it_goes(spark):
+    got = registered.stream_upsert_compacted(spark, SF_SMALL)
+    assert rows(got) == rows(registered.latest_per_trip(spark, SF_SMALL))
+
+
+# -- rollup ------------------------------------------------------------------------
+def _asked(spark, path):
+    return rows(rollup.trips_per_route(spark, path)), rows(rollup.trip_count(spark, path)), rows(rollup.first_snapshot(spark, path))
+
+
+def _answers(board):
+    return rows(adhoc.q4_trips_per_route(board)), rows(adhoc.q2_count(board)), rows(adhoc.q9_first_snapshot(board))
+
+
+def test_rollup_follows_the_board_through_replays_and_folds(spark):
+    board = spark.table(registered.stored_board(spark, SF_SMALL))
+    part = F.pmod(F.xxhash64("tripId"), F.lit(7))
+    path, seen = _new(spark, "rollup"), set()
+    assert _asked(spark, path) == ([], [(0,)], [])
+    for batch_id in (2, 0, 1, 1, 5, 3, 4, 4, 6):
+        append_rollup(board.where(part == batch_id), path, "w", batch_id)
+        seen.add(batch_id)
+        assert _asked(spark, path) == _answers(board.where(part.isin(*seen)))
+        fold_rollup(spark, path, fanout=2)
+        assert _asked(spark, path) == _answers(board.where(part.isin(*seen)))
+    # Folding keeps the folders few, and the last batch unfolded.
+    left = [f for f in rollup._live(folders.finished(spark, path))]
+    assert len(left) <= 4 and any(f.name == "writer=w/batch=6" for f in left)
+
+
+def test_a_fold_that_died_counts_nothing_twice(spark, monkeypatch):
+    board = spark.table(registered.stored_board(spark, SF_SMALL))
+    part = F.pmod(F.xxhash64("tripId"), F.lit(3))
+    path = _new(spark, "rollup")
+    for i in range(3):
+        append_rollup(board.where(part == i), path, "w", i)
+    want = _asked(spark, path)
+
+    def dies(*args):
+        raise OSError("before it said what it covers")
+
+    with monkeypatch.context() as m:
+        m.setattr(rollup, "declare", dies)
+        with pytest.raises(OSError, match="before it said"):
+            fold_rollup(spark, path, fanout=2)
+    assert _asked(spark, path) == want
+    fold_rollup(spark, path, fanout=2)
+    assert _asked(spark, path) == want
+    append_rollup(board.where(part == 0), path, "w", 0)  # committed and folded: nothing is added
+    assert _asked(spark, path) == want
+
+
+def test_rollup_with_null_routes_and_trips(spark):
+    cols = "tripId string, routeId string, currentTime timestamp_ntz, numOfFutureStops int"
+    data = [(None, None, "2022-10-12 10:00:00", 3), ("a", None, "2022-10-12 10:00:00", 4), ("a", "r", None, 5), ("b", "r", "2022-10-12 11:00:00", None)]
+    board = spark.createDataFrame([(a, b, c, d) for a, b, c, d in data], "tripId string, routeId string, c string, numOfFutureStops int")
+    board = board.withColumn("currentTime", F.col("c").cast("timestamp_ntz")).drop("c").select(*[c.split()[0] for c in cols.split(", ")])
+    path = _new(spark, "rollup")
+    append_rollup(board, path, "w", 0)
+    append_rollup(board.limit(0), path, "w", 1)
+    assert _asked(spark, path) == _answers(board)
+
+
+def test_a_batch_costs_what_it_holds(spark):
+    """One small batch adds a few rows, whatever the rollup holds."""
+    board = spark.table(registered.stored_board(spark, SF_SMALL))
+    path = _new(spark, "rollup")
+    append_rollup(board, path, "w", 0)
+    before = rollup.read_rollup(spark, path).count()
+    append_rollup(board.limit(5), path, "w", 1)
+    assert rollup.read_rollup(spark, path).count() - before <= 10
+    delete_path(spark, path)
