@@ -152,16 +152,16 @@ def gradients(net: Network, windows: np.ndarray, labels: np.ndarray) -> tuple[fl
     return loss, [d_in.transpose(0, 2, 1), d_rec, d_bias, d_out, d_bias_out]
 
 
-def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], hidden: int = 8, rounds: int = 240, batch: int = 256, rate: float = 0.03, seed: int = 7) -> Network:
-    """A network fitted by Adam on rows of bytes; each batch draws its rows
-    evenly over the languages."""
-    net = new_network(languages, hidden, seed)
+def train(sample: Sample, hidden: int = 8, rounds: int = 240, batch: int = 256, rate: float = 0.03, seed: int = 7) -> Network:
+    """A network fitted by Adam on windows of bytes; each batch draws texts
+    evenly over the languages, and a window of each from all of the text."""
+    net = new_network(sample.languages, hidden, seed)
     rng = np.random.default_rng(seed)
-    rows = [np.flatnonzero(labels == i) for i in range(len(languages))]
+    rows = [np.flatnonzero(sample.labels == i) for i in range(len(sample.languages))]
     m, v = [np.zeros_like(a) for a in net.arrays()], [np.zeros_like(a) for a in net.arrays()]
     for step in range(1, rounds + 1):
         take = np.concatenate([rng.choice(r, -(-batch // len(rows))) for r in rows])
-        _, grads = gradients(net, windows[take], labels[take])
+        _, grads = gradients(net, sample.draw(rng, take), sample.labels[take])
         norm = np.sqrt(sum(float((g * g).sum()) for g in grads))
         lr = rate * min(1.0, 2 * (1 - step / (rounds + 1)))
         for a, g, m1, v1 in zip(net.arrays(), grads, m, v, strict=True):
@@ -172,27 +172,49 @@ def train(windows: np.ndarray, labels: np.ndarray, languages: list[str], hidden:
     return net
 
 
-def training_windows(docs: DataFrame, window: int, per_language: int, most: int) -> tuple[np.ndarray, np.ndarray, list[str]]:
-    """A bounded sample: up to ``per_language`` rows a language and ``most``
-    in all, chosen by the hash of ``doc_id``, two windows each, from places
-    that the hash chooses too."""
-    ids = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL").select("doc_id", "lang", F.pmod(F.hash("doc_id"), F.lit(SALTS)).alias("salt"))
+@dataclass
+class Sample:
+    """Training texts cut into windows, end to end: text i has the windows from
+    ``starts[i]`` to ``starts[i + 1]`` and the label ``labels[i]``."""
+
+    windows: np.ndarray
+    starts: np.ndarray
+    labels: np.ndarray
+    languages: list[str]
+
+    def draw(self, rng: np.random.Generator, texts: np.ndarray) -> np.ndarray:
+        """A window of each text, any with the same chance."""
+        size = self.starts[texts + 1] - self.starts[texts]
+        return self.windows[self.starts[texts] + (rng.random(len(texts)) * size).astype(np.int64)]
+
+
+def _windows(raw: bytes, window: int) -> np.ndarray:
+    """The windows that a text is made up of, the last one filled up."""
+    out = np.full(max(1, -(-len(raw) // window)) * window, PAD, np.uint8)
+    out[: len(raw)] = np.frombuffer(raw, np.uint8)
+    return out.reshape(-1, window)
+
+
+def training_sample(docs: DataFrame, window: int, per_language: int, most: int) -> Sample:
+    """A bounded sample of rows: up to ``per_language`` a language and ``most``
+    in all, chosen by the hash of ``doc_id``; of rows that share an id each
+    text once, those of smallest hash first. The chosen texts are whole. With
+    more languages than ``most`` the last in order are never learned."""
+    ids = docs.where("lang IS NOT NULL AND doc_id IS NOT NULL AND octet_length(text) > 0")
+    ids = ids.select("doc_id", "lang", F.xxhash64("text").alias("h"), F.pmod(F.hash("doc_id"), F.lit(SALTS)).alias("salt"))
+    order = [F.xxhash64("doc_id"), "doc_id", "h"]
     for by in (["lang", "salt"], ["lang"]):  # no language meets in one task but its first few
-        chosen = Window.partitionBy(*by).orderBy(F.xxhash64("doc_id"), "doc_id")
-        ids = ids.withColumn("n", F.row_number().over(chosen)).where(F.col("n") <= per_language)
-    ids = ids.orderBy("n", "lang").limit(most)
-    raw = docs.where("lang IS NOT NULL AND octet_length(text) > 0").select("doc_id", "lang", F.encode("text", "utf-8").alias("raw"))
-    size = F.octet_length("raw")
-    part = lambda k: F.substring(F.col("raw"), F.pmod(F.xxhash64("doc_id", F.lit(k)), F.greatest(size - window // 2, F.lit(1))).cast("int") + 1, F.lit(window))
-    # At most ``most`` ids; rows that repeat an id are bounded again after.
-    rows = raw.join(F.broadcast(ids.select("doc_id", "n").distinct()), "doc_id").select("n", "lang", "doc_id", part(0).alias("a"), part(1).alias("b"))
-    got = smallest(rows, most, "n", "lang", "doc_id", "a")
-    languages = sorted({r["lang"] for r in got})
-    out = np.full((2 * len(got), window), PAD, np.uint8)
-    for i, r in enumerate(got):
-        for k, piece in enumerate((r["a"], r["b"])):
-            out[2 * i + k, : len(piece)] = np.frombuffer(bytes(piece), np.uint8)
-    return out, np.repeat([languages.index(r["lang"]) for r in got], 2).astype(np.int64), languages
+        ids = ids.withColumn("n", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).where(F.col("n") <= per_language)
+    got = smallest(ids.select("n", "lang", "doc_id", "h"), most, "n", "lang", "doc_id", "h")
+    # At most ``most`` rows; the texts come a partition at a time.
+    keys = docs.sparkSession.createDataFrame([(r["doc_id"], r["lang"], r["h"]) for r in got], docs.select("doc_id", "lang", F.lit(0).cast("long").alias("h")).schema)
+    chosen = docs.select("doc_id", "lang", F.xxhash64("text").alias("h"), F.encode("text", "utf-8").alias("raw")).join(F.broadcast(keys.distinct()), ["doc_id", "lang", "h"])
+    texts = {(r["lang"], r["doc_id"], r["h"]): bytes(r["raw"]) for r in chosen.toLocalIterator()}
+    languages = sorted({k[0] for k in texts})
+    cut = [_windows(texts[k], window) for k in sorted(texts)]
+    starts = np.cumsum([0, *map(len, cut)])
+    windows = np.concatenate(cut) if cut else np.empty((0, window), np.uint8)
+    return Sample(windows, starts, np.array([languages.index(k[0]) for k in sorted(texts)], np.int64), languages)
 
 
 def document_probs(net: Network, texts: list[bytes], window: int, batch: int = 2048) -> tuple[np.ndarray, np.ndarray]:
@@ -222,9 +244,9 @@ def document_probs(net: Network, texts: list[bytes], window: int, batch: int = 2
 
 def fit(docs: DataFrame, window: int = 64, per_language: int = 768, most: int = 8192, **how) -> Network | None:
     """The network learned from the rows of ``docs`` (doc_id, text, lang) with
-    a language; None if there is none. See ``training_windows`` for the bound."""
-    windows, labels, languages = training_windows(docs, window, per_language, most)
-    return train(windows, labels, languages, **how) if languages else None
+    a language; None if there is none. See ``training_sample`` for the bound."""
+    sample = training_sample(docs, window, per_language, most)
+    return train(sample, **how) if sample.languages else None
 
 
 def _pooled(net: Network | None, texts: pa.Array, lettered: pa.Array, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
