@@ -65,8 +65,9 @@ def join_feeds(
     return joined.drop("_salt") if salted else joined
 
 
-#: Trips that may be called heavy, and items that the sketch tracks.
-HEAVY, TRACKED = 64, 16384
+#: Trips that may be called heavy, items that a sketch tracks, and groups that
+#: the tasks' sketches are merged in first.
+HEAVY, TRACKED, GROUPS = 64, 16384, 64
 
 
 def heavy_trips(messages: DataFrame, share: float = 1 / HEAVY, key: str = "key") -> list[str]:
@@ -77,8 +78,11 @@ def heavy_trips(messages: DataFrame, share: float = 1 / HEAVY, key: str = "key")
     candidates; a second pass counts those exactly. Null keys don't count."""
     if share * HEAVY < 1:
         raise ValueError(f"share must be 1/{HEAVY} or more")
-    top = messages.where(F.col(key).isNotNull()).agg(F.expr(f"approx_top_k({key}, {HEAVY}, {TRACKED})").alias("top"))
-    likely = [r["item"] for r in top.select(F.inline("top")).toDF("item", "count").collect()]
+    some = messages.where(F.col(key).isNotNull()).groupBy(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("part"))
+    some = some.agg(F.expr(f"approx_top_k_accumulate({key}, {TRACKED})").alias("sketch"))
+    # Grouped, if by nothing: there is no sketch of no rows.
+    top = some.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch"))
+    likely = [r["item"] for r in top.select(F.inline(F.expr(f"approx_top_k_estimate(sketch, {HEAVY})"))).toDF("item", "count").collect()]
     if not likely:
         return []
     exact = messages.agg(F.count(F.lit(1)).alias("all"), *[F.count_if(F.col(key) == k).alias(f"k{i}") for i, k in enumerate(likely)]).first()

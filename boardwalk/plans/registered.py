@@ -24,7 +24,7 @@ from boardwalk.operators import derive_board, join_feeds, reshape_status, reshap
 from boardwalk.plans import adhoc
 from boardwalk.plans.board_plan import FIXTURE_CLOCK, board_from_messages, board_keys, feeds, key_messages, latest_trip_board, messages, table, trip_board
 from boardwalk.plans.sql import CLUSTERED_SQL, SQL, run_sql
-from boardwalk.session import file_times, list_dir, settled, shared_dir
+from boardwalk.session import file_times, list_dir, settled, working_folder
 from boardwalk.sources import feed_snapshots, parse_status, parse_updates, read_board, register_board_path
 from boardwalk.sources.bucketed import join_bucketed, store_bucketed
 from boardwalk.sources.fixtures import STATUS_TOPIC, UPDATES_TOPIC
@@ -146,7 +146,7 @@ def feed_compact(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _feeds_apart(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """The route-group feeds as the separate inputs that they are: snapshots
     written once by feed, each feed's folder read on its own."""
-    folder = f"{shared_dir(spark)}/boardwalk/feeds-{uuid.uuid4().hex}"
+    folder = working_folder(spark, "feeds")
     _snapshots(spark, sf_dir).write.partitionBy("feed").parquet(folder)
     return [spark.read.schema(schemas.SNAPSHOT_FILE).parquet(f"{folder}/{name}") for name in list_dir(spark, folder) if name.startswith("feed=")]
 
@@ -201,7 +201,7 @@ def _kept(kind: str, spark: SparkSession, sf_dir: str, make: Callable[[str, str]
     at = (spark.sparkContext.applicationId, kind, sf_dir, *files)
     if at not in _stored or not spark.catalog.tableExists(_stored[at]):
         name = f"boardwalk_{kind}_{uuid.uuid4().hex}"
-        make(name, f"{shared_dir(spark)}/boardwalk/{name}")
+        make(name, working_folder(spark, kind))
         _stored[at] = name
     return _stored[at]
 
@@ -416,7 +416,7 @@ def rollup_first_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Future stops per trip in the earliest snapshot, from batches that come
     out of order, one of them twice, with folds in between."""
     board = spark.table(stored_board(spark, sf_dir))
-    path = f"{shared_dir(spark)}/boardwalk/rollup-{uuid.uuid4().hex}"
+    path = working_folder(spark, "rollup")
     part = F.pmod(F.xxhash64("tripId"), F.lit(5))
     for batch_id in (3, 0, 4, 4, 1, 2):
         append_rollup(board.where(part == batch_id), path, "writer", batch_id)
@@ -476,7 +476,7 @@ def stream_upsert_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The board in two batches with the second applied twice, as after a
     failure between writing and checkpointing, and merged in the end."""
     board = board_from_messages(messages(spark, sf_dir), keep_order=True)
-    path = f"{shared_dir(spark)}/boardwalk/replayed-{uuid.uuid4().hex}"
+    path = working_folder(spark, "replayed")
     half = F.pmod(F.col("u_hash"), F.lit(2))
     for batch_id in (0, 1, 1):
         append_latest(board.where(half == batch_id), path, "writer", batch_id, "tripId", schemas.LATEST_ORDER)

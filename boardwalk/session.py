@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,6 +21,7 @@ ENGINE_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -111,6 +113,23 @@ def settled(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def working_folder(spark: SparkSession, kind: str) -> str:
+    """A new name for a folder of this application below the shared one."""
+    return f"{_own(spark)}/{kind}-{uuid.uuid4().hex}"
+
+
+def _own(spark: SparkSession) -> str:
+    return f"{shared_dir(spark)}/boardwalk/{spark.sparkContext.applicationId}"
+
+
+def clear_working_folders(spark: SparkSession) -> None:
+    """Removes what this application has stored for itself: staged feeds, stored
+    boards, replayed tables. Results that read them are gone with them, so call
+    it last. Checkpoints of DataFrames go as the driver lets go of them
+    (``spark.cleaner.referenceTracking.cleanCheckpoints``)."""
+    delete_path(spark, _own(spark))
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

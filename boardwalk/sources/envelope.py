@@ -105,7 +105,8 @@ def lost_files(spark: SparkSession, checkpoint: str) -> list[str]:
     before = json_lines(spark, f"{base}/offsets/{done}")[1:] if done >= 0 else []
     gone = []
     for source in list_dir(spark, f"{base}/sources"):
-        read = before[int(source)]["logOffset"] if int(source) < len(before) and before[int(source)] else -1
+        at = before[int(source)] if int(source) < len(before) else None
+        read = at.get("logOffset", -1) if at else -1
         for log in list_dir(spark, f"{base}/sources/{source}"):
             if number([log]):
                 entries = [e for e in json_lines(spark, f"{base}/sources/{source}/{log}") if "path" in e and e["batchId"] > read]

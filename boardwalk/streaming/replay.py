@@ -8,14 +8,12 @@ delivers slices in groups, in slice order; each group is drained by one
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from boardwalk import schemas
-from boardwalk.session import delete_path, list_dir, make_dirs, move_files, path_exists, shared_dir, stream_session
+from boardwalk.session import delete_path, list_dir, make_dirs, move_files, path_exists, stream_session, working_folder
 from boardwalk.sources.envelope import read_envelope
 from boardwalk.sources.fixtures import STATUS_TOPIC, UPDATES_TOPIC
 
@@ -27,7 +25,7 @@ class FeedReplay:
 
     def __init__(self, spark: SparkSession, name: str, root: str | None = None, state_partitions: int | None = None):
         self.spark = spark
-        self.root = root or f"{shared_dir(spark)}/boardwalk/{name}-{uuid.uuid4().hex[:12]}"
+        self.root = root or working_folder(spark, name)
         self.stream_spark = stream_session(spark, state_partitions)
 
     def path(self, *parts: str) -> str:
