@@ -28,7 +28,7 @@ from __future__ import annotations
 import hashlib
 import json
 from collections.abc import Iterator
-from itertools import chain
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +40,9 @@ from boardwalk.llm.common import arrow_rows, sliced
 # Fixed value: the pattern of the byte-level pre-tokenizer.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
-#: Texts are cut for the pattern at about so many characters.
-SLICE = 1 << 20
+#: Longer texts are split a number of pieces at a time; longer pieces give their
+#: tokens as they become stable.
+SLICE, PIECES = 1 << 20, 1 << 16
 #: Pieces up to this length are remembered, at most so many twice over.
 SHORT, REMEMBERED = 48, 1 << 17
 
@@ -118,7 +119,7 @@ class Codec:
         self.one = one
         self.lookahead = sufficient_lookahead(self.rules, [len(b) for b in self.bytes_of])
         self.pieces = regex.compile(PATTERN).findall
-        self.cut = regex.compile(r"(?<=\p{L})(?=\s)").search
+        self.matches = regex.compile(PATTERN).finditer
         specials = "|".join(regex.escape(t) for t in sorted(self.special, key=len, reverse=True))
         self.split = regex.compile(f"({specials})").split if specials else lambda t: [t]
         self.known = Remembered(self)
@@ -164,26 +165,32 @@ class Codec:
         n = self.lookahead
         return list(self.stream(data[i : i + n] for i in range(0, len(data), n)))
 
-    def _slices(self, text: str) -> Iterator[str]:
-        """Parts of a text that the pattern splits alike on their own: a piece
-        of letters ends before white space."""
-        at = 0
-        while len(text) - at > SLICE:
-            m = self.cut(text, at + SLICE)
-            if m is None:
-                break
-            yield text[at : m.start()]
-            at = m.start()
-        yield text[at:] if at else text
+    def _long(self, text: str) -> Iterator[list[int]]:
+        """Ids of a long text: a bounded number of pieces at a time, and of a
+        long piece a bounded number of tokens."""
+        matches = self.matches(text)
+        while some := [m.group() for m in islice(matches, PIECES)]:
+            ids: list[int] = []
+            for piece in some:
+                if len(piece) <= SLICE:
+                    ids += self.known[piece]
+                    continue
+                yield ids
+                n, data = self.lookahead, piece.encode("utf-8", "replace")
+                tokens = self.stream(data[i : i + n] for i in range(0, len(data), n))
+                while ids := list(islice(tokens, PIECES)):
+                    yield ids
+            yield ids
 
     def encode(self, text: str) -> Iterator[list[int]]:
         """Ids of a text, a bounded part at a time."""
         for i, part in enumerate(self.split(text)):
             if i % 2:
                 yield [self.special[part]]
+            elif len(part) > SLICE:
+                yield from self._long(part)
             elif part:
-                for s in self._slices(part):
-                    yield list(chain.from_iterable(map(self.known.__getitem__, self.pieces(s))))
+                yield list(chain.from_iterable(map(self.known.__getitem__, self.pieces(part))))
 
 
 class Decoder:
