@@ -25,8 +25,9 @@ from pyspark.sql import functions as F
 from boardwalk.llm.common import BLANKS, lower_ascii, row_key, settled
 
 #: At most so many keys hold more than one in HOT_KEYS of all lines each; the
-#: sketch tracks enough items to report every one of them.
-HOT_KEYS, TRACKED = 1024, 65536
+#: sketch tracks enough items to report every one of them. Tasks' sketches are
+#: merged in so many groups first.
+HOT_KEYS, TRACKED, GROUPS = 1024, 65536, 64
 
 
 def _lines(text: Column) -> Column:
@@ -44,9 +45,12 @@ def line_hashes(docs: DataFrame, min_chars: int = 1) -> DataFrame:
 
 def _hot(at: DataFrame) -> DataFrame:
     """``h`` of the keys that hold more than one in HOT_KEYS of all lines."""
-    top = at.agg(F.expr(f"approx_top_k(h, {HOT_KEYS}, {TRACKED})").alias("top"), F.count(F.lit(1)).alias("n"))
-    top = top.select("n", F.explode("top").alias("t")).where(F.col("t.count") > F.col("n") / HOT_KEYS)
-    return top.select(F.col("t.item").alias("h")).distinct()
+    some = at.groupBy(F.pmod(F.spark_partition_id(), F.lit(GROUPS)).alias("part"))
+    some = some.agg(F.expr(f"approx_top_k_accumulate(h, {TRACKED})").alias("sketch"), F.count(F.lit(1)).alias("n"))
+    # Grouped, if by nothing: there is no sketch of no rows.
+    top = some.groupBy(F.lit(0).alias("all")).agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch"), F.sum("n").alias("n"))
+    top = top.select("n", F.explode(F.expr(f"approx_top_k_estimate(sketch, {HOT_KEYS})")).alias("t"))
+    return top.where(F.col("t.count") > F.col("n") / HOT_KEYS).select(F.col("t.item").alias("h")).distinct()
 
 
 def _cold_drops(at: DataFrame, min_docs: int, keep_first: bool) -> DataFrame:
