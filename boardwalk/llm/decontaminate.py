@@ -8,9 +8,9 @@ rarity in the corpus its first one alone is the necessary prefix. Occurrences
 of that shingle in documents give the only candidates; position and length
 bound where the window can lie, and the words there are compared exactly.
 
-One pass over the texts finds the occurrences of item shingles. A bitmap of
-``2^BITS`` bits over the item shingles' hashes, of fixed size for any
-benchmark, drops nearly all positions inside that pass; the rest carry the
+One pass over the texts finds the occurrences of item shingles. A bitmap over
+the item shingles' hashes, ``SPARSE`` bits each up to ``2^MOST_BITS`` in all,
+drops nearly all positions inside that pass; the rest carry the
 words around them and meet the item tables in equi-joins on the shingle, which
 adaptive execution splits where a passage is frequent.
 
@@ -30,8 +30,14 @@ from boardwalk.llm.common import lower_ascii, row_key, settled
 #: What separates words: ASCII that is neither a digit nor a letter a-z.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 SHINGLE = 5
-#: Size of the bitmap in bits, as a power of two: at most 2^16 rows of a long.
-BITS = 22
+#: Size of the bitmap in bits, as powers of two: the least, and the most (half a
+#: million rows of a long); bits for each shingle in between.
+BITS, MOST_BITS, SPARSE = 22, 25, 16
+
+
+def bitmap_bits(shingles: int) -> int:
+    """Size of the bitmap for so many shingles, as a power of two."""
+    return min(MOST_BITS, max(BITS, (SPARSE * shingles - 1).bit_length()))
 
 
 def words(text: Column) -> Column:
@@ -70,8 +76,9 @@ def _occurrences(docs: DataFrame, shingles: DataFrame, window: int) -> tuple[Dat
     positions whose shingle's bit is set: row, n_words, pos, size, h and the
     words around as ``near``."""
     # At most SHINGLE values, whatever the benchmark.
-    sizes = sorted(r[0] for r in shingles.select("size").distinct().collect())
-    lanes = shingles.select("size", F.expr(f"shiftrightunsigned(h, {64 - BITS})").alias("b"))
+    sized = {r["size"]: r["n"] for r in shingles.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()}
+    sizes, bits = sorted(sized), bitmap_bits(sum(sized.values()))
+    lanes = shingles.select("size", F.expr(f"shiftrightunsigned(h, {64 - bits})").alias("b"))
     bitmap = lanes.groupBy("size", F.expr("b div 64").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(b % 64 AS int))")).alias("bits"))
     at = docs.select(F.col("doc_id"), row_key(F.col("doc_id"), F.col("text")).alias("row"), words(F.col("text")).alias("ws"))
     at = at.withColumn("wh", F.expr("transform(ws, w -> xxhash64(w))"))
@@ -79,9 +86,9 @@ def _occurrences(docs: DataFrame, shingles: DataFrame, window: int) -> tuple[Dat
     lanes = F.array(*[F.struct(F.lit(k).alias("size"), F.col(f"s{k}").alias("hs")) for k in sizes]) if sizes else F.array(F.struct(F.lit(0).alias("size"), F.array().cast("array<bigint>").alias("hs")))
     at = at.select("doc_id", "row", "ws", "n_words", F.posexplode(lanes).alias("lane", "l"))
     at = at.select("doc_id", "row", "ws", "n_words", "lane", F.col("l.size").alias("size"), F.posexplode_outer("l.hs").alias("pos", "h"))
-    at = at.withColumn("word", F.expr(f"shiftrightunsigned(h, {64 - BITS}) div 64"))
+    at = at.withColumn("word", F.expr(f"shiftrightunsigned(h, {64 - bits}) div 64"))
     at = at.join(F.broadcast(bitmap), ["size", "word"], "left")
-    hit = F.expr(f"coalesce((shiftrightunsigned(bits, cast(shiftrightunsigned(h, {64 - BITS}) % 64 AS int)) & 1L) = 1L, false)")
+    hit = F.expr(f"coalesce((shiftrightunsigned(bits, cast(shiftrightunsigned(h, {64 - bits}) % 64 AS int)) & 1L) = 1L, false)")
     opens = F.expr("lane = 0 AND coalesce(pos, 0) = 0")
     near = F.expr(f"slice(ws, greatest(pos - {window} + 1, 0) + 1, {2 * window - 1})")
     at = at.withColumn("hit", hit).withColumn("opens", opens).where("hit OR opens")

@@ -186,3 +186,16 @@ def test_contamination_without_rows_or_items(spark):
     assert decontaminate.contamination(empty(spark), items).collect() == []
     got = decontaminate.contamination(messy(spark), items.limit(0))
     assert got.count() == len(messy_rows()) and got.where("n_hit > 0").count() == 0
+
+
+def test_bitmap_follows_the_benchmark():
+    assert [decontaminate.bitmap_bits(n) for n in (0, 1000, 1 << 18, (1 << 18) + 1, 10**6, 10**9)] == [22, 22, 22, 23, 24, 25]
+
+
+def test_hot_keys_from_sketches_in_groups(spark, monkeypatch):
+    """The two levels report every key over the share, and none of no rows."""
+    rows = [(1 if i % 3 == 0 else 2 if i % 5 == 0 else i + 10,) for i in range(6000)]
+    at = spark.createDataFrame(rows, "h long").repartition(7)
+    monkeypatch.setattr(line_dedup, "GROUPS", 3)
+    assert {r.h for r in line_dedup._hot(at).collect()} == {1, 2}
+    assert line_dedup._hot(at.limit(0)).collect() == []
