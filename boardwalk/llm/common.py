@@ -89,9 +89,9 @@ def fold(doc_id: Column, parts: int) -> Column:
 
 
 def row_key(doc_id: Column, text: Column) -> Column:
-    """Names a row by its id and its text; only rows equal in both share it,
-    and every operator treats those alike."""
-    return F.concat_ws(" ", F.coalesce(doc_id.cast("string"), F.lit("-")), F.xxhash64(text).cast("string"))
+    """Names a row by its id and 96 bits of its text; only rows equal in both
+    share it, and every operator treats those alike."""
+    return F.concat_ws(" ", F.coalesce(doc_id.cast("string"), F.lit("-")), F.xxhash64(text).cast("string"), F.hash(text).cast("string"))
 
 
 def smallest(rows: DataFrame, n: int, *by) -> list:
