@@ -32,11 +32,14 @@ HEADLINE = [
     "sql_q4_trips_per_route",
     "sql_q7_minutes_to_next",
     "sql_q9_pruned",
+    "sql_q5_clustered",
+    "rank_by_clock",
+    "board_bucketed",
     "feed_split",
     "stream_append",
     "stream_upsert",
 ]
-STREAMS = {"stream_append", "stream_upsert", "stream_join_bounded", "stream_late_dropped"}
+STREAMS = {"stream_append", "stream_upsert", "stream_join_bounded", "stream_late_dropped", "stream_upsert_compacted", "stream_latest_changes"}
 
 
 def main() -> None:

@@ -48,7 +48,7 @@ def start_producer(spark: SparkSession, args: argparse.Namespace):
     msgs = split_feed(union_feeds(*feeds))
     fmt = "json" if args.sink == "files" else args.sink
     return publish_stream(msgs, fmt, args.checkpoint, _options(args.sink_option), path=args.path,
-                          trigger=args.trigger, query_name=args.query_name)
+                          trigger=args.trigger, query_name=args.query_name, connector=args.connector)
 
 
 def start(spark: SparkSession, args: argparse.Namespace):
@@ -62,13 +62,13 @@ def start(spark: SparkSession, args: argparse.Namespace):
         return start_producer(spark, args)
     if args.sink not in ("append", "upsert"):
         raise SystemExit("a consumer writes the board with --sink append or --sink upsert")
-    u = read_envelope(spark, args.source, _options(args.updates_option), path=args.updates_path, checkpoint=args.checkpoint)
-    s = read_envelope(spark, args.source, _options(args.status_option), path=args.status_path, checkpoint=args.checkpoint)
+    u = read_envelope(spark, args.source, _options(args.updates_option), path=args.updates_path, checkpoint=args.checkpoint, connector=args.connector)
+    s = read_envelope(spark, args.source, _options(args.status_option), path=args.status_path, checkpoint=args.checkpoint, connector=args.connector)
     heavy = None
     if args.heavy_share:
         # What the source holds of the updates now; in a restart the kept list.
         options = {**_options(args.updates_option), "startingOffsets": "earliest"}
-        history = read_envelope(spark, args.source, options, path=args.updates_path, stream=False)
+        history = read_envelope(spark, args.source, options, path=args.updates_path, stream=False, connector=args.connector)
         heavy = kept_heavy_trips(history, args.checkpoint, args.heavy_share)
     board = board_stream(
         u, s, mode=args.time_mode, bound=args.bound, watermark=args.watermark, salt=args.salt, heavy=heavy,
@@ -86,6 +86,7 @@ def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(description="trip board stream")
     p.add_argument("--role", choices=["consumer", "producer"], default="consumer")
     p.add_argument("--source", choices=["kafka", "kinesis", "json", "parquet"], default="json")
+    p.add_argument("--connector", default=None, help="name of the broker's data source, if it is not that of the kind")
     p.add_argument("--snapshots-path", action="append", default=[], help="producer: one folder per feed")
     p.add_argument("--sink-option", action="append", default=[], help="producer: options of the broker")
     p.add_argument("--updates-option", action="append", default=[])

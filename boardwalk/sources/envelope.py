@@ -32,6 +32,7 @@ def read_envelope(
     path: str | None = None,
     stream: bool = True,
     checkpoint: str | None = None,
+    connector: str | None = None,
 ) -> DataFrame:
     """Read messages from Kafka, Kinesis or a folder of envelope files.
 
@@ -40,7 +41,10 @@ def read_envelope(
     plain options too (``startingOffsets``/``startingposition``,
     ``failOnDataLoss``); a checkpoint overrides the start position on restart.
 
-    A folder understands the same two. ``startingOffsets=latest`` passes over
+    ``connector``: the name of the broker's data source on the class path, if it
+    is not that of the kind (there are Kinesis sources of several names).
+
+    A folder understands the same two options. ``startingOffsets=latest`` passes over
     the files that are there when the stream with this ``checkpoint`` is first
     set up; they are ruled out by name. With ``failOnDataLoss=false`` a file
     that went before it was read is skipped; else that is an error, after a
@@ -49,14 +53,14 @@ def read_envelope(
     options = dict(options or {})
     reader = spark.readStream if stream else spark.read
     if fmt == KAFKA:
-        raw = _load_connector(reader.format("kafka").options(**options), "spark-sql-kafka-0-10")
+        raw = _load_connector(reader.format(connector or KAFKA).options(**options), "spark-sql-kafka-0-10")
         return raw.select(
             F.col("key").cast("string").alias("key"),
             F.col("value").cast("string").alias("value"),
             F.col("timestamp").alias("ingest_ts"),
         )
     if fmt == KINESIS:
-        raw = _load_connector(reader.format("kinesis").options(**options), "a Kinesis source for Spark")
+        raw = _load_connector(reader.format(connector or KINESIS).options(**options), "a Kinesis source for Spark")
         return raw.select(
             F.col("partitionKey").cast("string").alias("key"),
             F.col("data").cast("string").alias("value"),

@@ -136,27 +136,27 @@ def write_upsert(
 JSON_TIMES = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"}
 
 
-def _message_writer(messages: DataFrame, writer, fmt: str, options: dict[str, str], path: str | None):
+def _message_writer(messages: DataFrame, writer, fmt: str, options: dict[str, str], path: str | None, connector: str | None):
     """``writer(frame)`` set up for a message sink."""
     if fmt == "kafka":
-        return writer(messages.select("topic", "key", "value")).format("kafka").options(**options)
+        return writer(messages.select("topic", "key", "value")).format(connector or "kafka").options(**options)
     if fmt == "kinesis":
-        # Untested here: needs a Kinesis sink on the class path. The stream is
-        # an option; each topic is published to its own.
+        # The stream is an option; each topic is published to its own.
         out = messages.select(F.col("key").alias("partitionKey"), F.col("value").cast("binary").alias("data"))
-        return writer(out).format("kinesis").options(**options)
+        return writer(out).format(connector or "kinesis").options(**options)
     if path is None:
         raise ValueError("a file sink needs a path")
     extra = JSON_TIMES if fmt == "json" else {}
     return writer(messages).format(fmt).partitionBy("topic").options(**{**extra, **options}).option("path", path)
 
 
-def publish(messages: DataFrame, fmt: str, options: dict[str, str] | None = None, path: str | None = None) -> None:
+def publish(messages: DataFrame, fmt: str, options: dict[str, str] | None = None, path: str | None = None, connector: str | None = None) -> None:
     """Write routed messages ``topic, key, value`` (batch). Kafka sends each
     row to the topic it names; Kinesis gets partition key and data, with the
     stream among the options (publish one topic at a time); a file format
-    writes one folder per topic."""
-    _message_writer(messages, lambda df: df.write.mode("append"), fmt, dict(options or {}), path).save()
+    writes one folder per topic. ``connector`` names the broker's data source,
+    if not by its kind."""
+    _message_writer(messages, lambda df: df.write.mode("append"), fmt, dict(options or {}), path, connector).save()
 
 
 def publish_stream(
@@ -167,11 +167,12 @@ def publish_stream(
     path: str | None = None,
     trigger: str | None = None,
     query_name: str | None = None,
+    connector: str | None = None,
 ) -> StreamingQuery:
     """Stream routed messages ``topic, key, value, ingest_ts`` out, as
     ``publish`` does. Exactly-once for files (sink log); at-least-once for
     brokers, as for any producer."""
-    w = _message_writer(messages, lambda df: df.writeStream, fmt, dict(options or {}), path)
+    w = _message_writer(messages, lambda df: df.writeStream, fmt, dict(options or {}), path, connector)
     w = w.outputMode("append").option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
