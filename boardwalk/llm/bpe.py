@@ -233,14 +233,15 @@ def codec(spec: bytes) -> Codec:
     return _codecs[key]
 
 
-def tokenized(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
+def tokenized(docs: DataFrame, path: str, with_ids: bool = False, also: tuple[str, ...] = ()) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` per row of ``docs``
     (and ``ids`` if asked for): the whole text encoded with the tokenizer file
     at ``path``, and the text decoded from those ids.
 
     The file is read by the driver and sent to executors (its size does not
     depend on the data). A null text is an empty one; an empty text has no
-    ids; ``doc_id`` is passed on as it is. Other columns are not read."""
+    ids; ``doc_id`` is passed on as it is, as are the columns ``also``, which
+    come last. Other columns are not read."""
     spark = docs.sparkSession
     with open(path, "rb") as f:
         spec = spark.sparkContext.broadcast(f.read())
@@ -268,7 +269,8 @@ def tokenized(docs: DataFrame, path: str, with_ids: bool = False) -> DataFrame:
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if with_ids:
                 cols, names = [*cols, pa.ListArray.from_arrays(pa.array(np.cumsum([0, *n]), pa.int32()), pa.array(np.concatenate([*all_ids, np.empty(0, np.int32)])))], [*names, "ids"]
-            yield pa.RecordBatch.from_arrays(cols, names)
+            yield pa.RecordBatch.from_arrays([*cols, *b.columns[2:]], [*names, *also])
 
     schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * with_ids
-    return arrow_rows(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), run, schema)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *also)
+    return arrow_rows(rows, run, schema + "".join(f", {c} {rows.schema[c].dataType.simpleString()}" for c in also))

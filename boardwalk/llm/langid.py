@@ -292,15 +292,21 @@ def identify(docs: DataFrame, net: Network | None, window: int = 128) -> DataFra
     return out.withColumn("languages", F.array(*map(F.lit, languages)).cast("array<string>"))
 
 
-def keep_identified(docs: DataFrame, net: Network | None, min_score: float = 0.0, window: int = 128) -> DataFrame:
-    """The rows of ``docs`` that get a language, all columns as they are; ``und``
-    goes, as do those whose mean probability is under ``min_score``."""
+def keep_identified(docs: DataFrame, net: Network | None, min_score: float = 0.0, window: int = 128, into: str | None = None) -> DataFrame:
+    """The rows of ``docs`` that get a language; ``und`` goes, as do those whose
+    mean probability is under ``min_score``. The text column ``into`` (None: no
+    column) takes the language; all others are as they are."""
+    languages = net.languages if net else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in sliced(batches):
             label, score, _ = _pooled(net, b.column(b.schema.get_field_index("text")), b.column(b.num_columns - 1), window)
-            kept = b.filter(pa.array((label >= 0) & (score >= min_score)))
-            yield kept.select(range(b.num_columns - 1))
+            ok = (label >= 0) & (score >= min_score)
+            kept = b.filter(pa.array(ok)).select(range(b.num_columns - 1))
+            cols = kept.columns
+            if into is not None:
+                cols[kept.schema.get_field_index(into)] = pa.array([languages[k] for k in label[ok].tolist()], pa.string())
+            yield pa.RecordBatch.from_arrays(cols, kept.schema.names)
 
     rows = docs.select("*", _lettered().alias("__lettered"))
     return arrow_rows(rows, run, docs.schema)

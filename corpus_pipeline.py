@@ -19,10 +19,12 @@ from boardwalk.session import shared_dir
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Learns from the labelled rows outside fold 2 of 4; rows that get ``und``,
-    which are those without letters, go, however unsure the others' language."""
+    """Learns from the labelled rows outside fold 2 of 4 and names the language
+    of every row: from here on ``lang`` is the language that the network found,
+    whatever the row came with. Rows that get ``und``, which are those without
+    letters, go, however unsure the others' language."""
     net = langid.fit(docs.where(fold(docs["doc_id"], 4) != 2).select("doc_id", "text", "lang"))
-    return langid.keep_identified(docs, net)
+    return langid.keep_identified(docs, net, into="lang")
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +43,9 @@ def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of each text, and the digests of a decoded round trip."""
-    return bpe.tokenized(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True)
+    """Token ids of each text, the digests of a decoded round trip, and the
+    language that was found, by which a corpus is mixed."""
+    return bpe.tokenized(docs, public_tokenizers.path("byte_bpe_50k.json"), with_ids=True, also=("lang",))
 
 
 STAGES = [
