@@ -13,9 +13,9 @@ distinct values of ``c`` are ordered, each with its number of rows:
    counts before it plus one. All ties of a value share that one row, so they
    share its rank wherever their rows are.
 
-The ranks are joined back by value. Spark broadcasts them where their measured
-size allows; otherwise it is a sort-merge join that adaptive execution splits
-where a value is hot.
+The ranks are joined back by value: broadcast where the values, counted in step
+3, are few, so that the table itself is not moved; otherwise it is a sort-merge
+join that adaptive execution splits where a value is hot.
 """
 
 from __future__ import annotations
@@ -33,22 +33,28 @@ def _ordered(by: list[str], descending: bool, nulls_last: bool) -> list[Column]:
     return [getattr(F.col(c), how)() for c in by]
 
 
+#: Distinct values up to which the ranks are broadcast.
+FEW_VALUES = 1 << 17
+
+
 def value_ranks(df: DataFrame, by: str | list[str], descending: bool = False, nulls_last: bool = True) -> DataFrame:
     """``by, n, before``: each distinct value of the ``by`` columns, its number
-    of rows and the number of rows that come before it. Null is a value."""
+    of rows and the number of rows that come before it. Null is a value. Up to
+    ``FEW_VALUES`` of them come with a broadcast hint."""
     by = [by] if isinstance(by, str) else list(by)
     order = _ordered(by, descending, nulls_last)
     values = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
     # Written once: a repeated sampling could cut the ranges elsewhere.
     parted = settled(values.repartitionByRange(*order).select(*by, "n", F.spark_partition_id().alias("_part")))
-    sums = sorted(tuple(r) for r in parted.groupBy("_part").agg(F.sum("n")).collect())
-    starts = accumulate((n for _, n in sums), initial=0)
+    sums = sorted(tuple(r) for r in parted.groupBy("_part").agg(F.sum("n"), F.count(F.lit(1))).collect())
+    starts = accumulate((n for _, n, _ in sums), initial=0)
     # A row per partition.
-    offsets = df.sparkSession.createDataFrame([(p, o) for (p, _), o in zip(sums, starts, strict=False)], "_part int, _start long")
+    offsets = df.sparkSession.createDataFrame([(p, o) for (p, _, _), o in zip(sums, starts, strict=False)], "_part int, _start long")
     inside = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = F.coalesce(F.sum("n").over(inside), F.lit(0))
     ranked = parted.withColumn("_local", local).join(F.broadcast(offsets), "_part")
-    return ranked.select(*by, "n", (F.col("_start") + F.col("_local")).alias("before"))
+    out = ranked.select(*by, "n", (F.col("_start") + F.col("_local")).alias("before"))
+    return F.broadcast(out) if sum(values for _, _, values in sums) <= FEW_VALUES else out
 
 
 def global_rank(df: DataFrame, by: str | list[str], name: str = "rnk", descending: bool = False, nulls_last: bool = True) -> DataFrame:
