@@ -412,14 +412,24 @@ def rollup_trips_per_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.trips_per_route(spark, _replay(spark, sf_dir, "rollup", _trip_slices, start).path("rollup"))
 
 
+def _dealt(rows: DataFrame, kind: str) -> Callable[[int], DataFrame]:
+    """``rows`` computed once and written by their ``_batch``; the function that
+    reads one batch from its own folder."""
+    folder = working_folder(rows.sparkSession, kind)
+    rows.write.partitionBy("_batch").parquet(folder)
+    schema = T.StructType([*rows.drop("_batch").schema, T.StructField("_batch", T.LongType())])
+    return lambda i: rows.sparkSession.read.schema(schema).parquet(folder).where(F.col("_batch") == i).drop("_batch")
+
+
 def rollup_first_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Future stops per trip in the earliest snapshot, from batches that come
     out of order, one of them twice, with folds in between."""
     board = spark.table(stored_board(spark, sf_dir))
     path = working_folder(spark, "rollup")
-    part = F.pmod(F.xxhash64("tripId"), F.lit(5))
+    part = F.pmod(F.xxhash64("tripId"), F.lit(5)).alias("_batch")
+    batches = _dealt(board.select("tripId", "routeId", "currentTime", "numOfFutureStops", part), "rollup-batches")
     for batch_id in (3, 0, 4, 4, 1, 2):
-        append_rollup(board.where(part == batch_id), path, "writer", batch_id)
+        append_rollup(batches(batch_id), path, "writer", batch_id)
         fold_rollup(spark, path, fanout=2)
     return rollup.first_snapshot(spark, path)
 
@@ -476,10 +486,10 @@ def stream_upsert_replayed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The board in two batches with the second applied twice, as after a
     failure between writing and checkpointing, and merged in the end."""
     board = board_from_messages(messages(spark, sf_dir), keep_order=True)
+    batches = _dealt(board.withColumn("_batch", F.pmod(F.col("u_hash"), F.lit(2))), "replayed-batches")
     path = working_folder(spark, "replayed")
-    half = F.pmod(F.col("u_hash"), F.lit(2))
     for batch_id in (0, 1, 1):
-        append_latest(board.where(half == batch_id), path, "writer", batch_id, "tripId", schemas.LATEST_ORDER)
+        append_latest(batches(batch_id), path, "writer", batch_id, "tripId", schemas.LATEST_ORDER)
     compact(spark, path)
     return read_latest(spark, path).select(*schemas.BOARD_COLUMNS)
 
