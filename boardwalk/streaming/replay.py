@@ -19,6 +19,14 @@ from boardwalk.sources.fixtures import STATUS_TOPIC, UPDATES_TOPIC
 
 TOPICS = (UPDATES_TOPIC, STATUS_TOPIC)
 
+# A replay's state: no row count is kept up (it costs a look-up per row put or
+# removed, and nobody watches a replay's progress), and blocks read again are
+# found in a cache larger than Spark's 8 MB a store.
+REPLAY_CONF = {
+    "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false",
+    "spark.sql.streaming.stateStore.rocksdb.blockCacheSizeMB": "32",
+}
+
 
 class FeedReplay:
     """A run folder under the shared ``spark.checkpoint.dir``."""
@@ -27,6 +35,8 @@ class FeedReplay:
         self.spark = spark
         self.root = root or working_folder(spark, name)
         self.stream_spark = stream_session(spark, state_partitions)
+        for k, v in REPLAY_CONF.items():
+            self.stream_spark.conf.set(k, v)
 
     def path(self, *parts: str) -> str:
         return "/".join([self.root, *parts])
