@@ -385,9 +385,10 @@ def stream_upsert_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def stream_state_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What the unbounded join holds after the whole feed: rows by side."""
+    """What the unbounded join holds after the whole feed: rows by side. The
+    stream's own session reads the state, by the replay's state settings."""
     seen: list[DataFrame] = []
-    _replay(spark, sf_dir, "stream_state_rows", _trip_slices, _appended, then=lambda r: seen.append(settled(state_by_partition(spark, r.path("ckpt")))))
+    _replay(spark, sf_dir, "stream_state_rows", _trip_slices, _appended, then=lambda r: seen.append(settled(state_by_partition(r.stream_spark, r.path("ckpt")))))
     return seen[0].groupBy("side").agg(F.sum("rows").alias("rows"))
 
 

@@ -5,7 +5,7 @@ itself is not needed. For the feeds' join there is state on either side."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 SIDES = {"left": "updates", "right": "status"}
@@ -30,18 +30,33 @@ def join_state(spark: SparkSession, checkpoint: str) -> DataFrame:
     return sides[0].unionByName(sides[1])
 
 
+def _counts(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """``side, partition_id, rows``: numbers of rows that add up to what the
+    join holds. Where it keeps a store of how many rows each key has, that one
+    alone is loaded; else (other state formats) every row is read."""
+    stores = {r["stateStoreName"] for r in operators(spark, checkpoint).where("operatorId = 0").collect()}
+    per = []
+    for side, n in SIDES.items():
+        if (name := f"{side}-keyToNumValues") in stores:
+            keys = spark.read.format("statestore").option("storeName", name).load(checkpoint)
+            per.append(keys.select(F.lit(n).alias("side"), "partition_id", F.col("value.value").alias("rows")))
+        else:
+            per.append(side_state(spark, checkpoint, n).select(F.lit(n).alias("side"), "partition_id", F.lit(1).cast("long").alias("rows")))
+    return per[0].unionByName(per[1])
+
+
 def state_by_partition(spark: SparkSession, checkpoint: str) -> DataFrame:
     """``side, partition_id, rows, share``: how a side's rows are spread over
-    the state partitions; ``share`` of the side's rows."""
-    per = join_state(spark, checkpoint).groupBy("side", "partition_id").agg(F.count(F.lit(1)).alias("rows"))
+    the state partitions; ``share`` of the side's rows. State is read once."""
+    per = _counts(spark, checkpoint).groupBy("side", "partition_id").agg(F.sum("rows").alias("rows"))
     # Two sides, and a row per state partition in each.
-    total = per.groupBy("side").agg(F.sum("rows").alias("all"))
-    return per.join(F.broadcast(total), "side").select("side", "partition_id", "rows", (F.col("rows") / F.col("all")).alias("share"))
+    total = F.sum("rows").over(Window.partitionBy("side"))
+    return per.select("side", "partition_id", "rows", (F.col("rows") / total).alias("share"))
 
 
 def hot_partitions(spark: SparkSession, checkpoint: str, times: float = 4.0) -> DataFrame:
     """The partitions that hold over ``times`` a side's mean, fullest first."""
-    by = state_by_partition(spark, checkpoint)
-    mean = by.groupBy("side").agg(F.avg("rows").alias("mean"))
-    hot = by.join(F.broadcast(mean), "side").where(F.col("rows") > F.col("mean") * times)
+    mean = F.avg("rows").over(Window.partitionBy("side"))
+    by = state_by_partition(spark, checkpoint).withColumn("mean", mean)
+    hot = by.where(F.col("rows") > F.col("mean") * times)
     return hot.drop("mean").orderBy(F.col("rows").desc(), "side", "partition_id")
