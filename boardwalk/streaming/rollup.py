@@ -21,21 +21,28 @@ from boardwalk.session import delete_path
 from boardwalk.sources.folders import COMPACTED, Folder, covered, declare, finished, merged_name
 from boardwalk.streaming.sinks import with_trigger, writer_id
 
+#: The board's columns that the partial results are made of.
+FOLDED = ("tripId", "routeId", "currentTime", "numOfFutureStops")
 ROUTE, FIRST = "route", "first"
 ROLLUP = "kind string, routeId string, tripId string, currentTime timestamp_ntz, n long"
 
 
 def _earliest(rows: DataFrame) -> DataFrame:
-    """The rows of the smallest clock. One value is broadcast."""
-    first = rows.agg(F.min("currentTime").alias("_first"))
-    return rows.join(F.broadcast(first), F.col("currentTime") == F.col("_first")).drop("_first")
+    """The rows of the smallest clock, which is asked in a job of its own. As a
+    broadcast it would have to be there in ``spark.sql.broadcastTimeout``
+    together with all that the rows come from, in a stream the whole batch."""
+    clock = F.col("currentTime")
+    # As text, so that no clock is out of Python's range.
+    first = rows.agg(F.min(clock).cast("string")).first()[0]
+    return rows.where(clock == F.lit(first).cast(rows.schema["currentTime"].dataType))
 
 
 def partials(board: DataFrame) -> DataFrame:
-    """The partial results (``ROLLUP``) of some board rows."""
+    """The partial results (``ROLLUP``) of some board rows, which are read
+    twice."""
     no = lambda c, t: F.lit(None).cast(t).alias(c)
     routes = board.groupBy("routeId").agg(F.count("tripId").alias("n"))
-    first = _earliest(board.groupBy("tripId", "routeId", "currentTime").agg(F.sum("numOfFutureStops").alias("n")))
+    first = _earliest(board).groupBy("tripId", "routeId", "currentTime").agg(F.sum("numOfFutureStops").alias("n"))
     kind = lambda k: F.lit(k).alias("kind")
     routes = routes.select(kind(ROUTE), "routeId", no("tripId", "string"), no("currentTime", "timestamp_ntz"), "n")
     return routes.unionByName(first.select(kind(FIRST), "routeId", "tripId", "currentTime", "n"))
@@ -54,7 +61,7 @@ def append_rollup(batch: DataFrame, path: str, writer: str, batch_id: int) -> No
     name = f"writer={writer}/batch={batch_id}"
     if name in covered(finished(batch.sparkSession, path)):
         return
-    kept = batch.select("tripId", "routeId", "currentTime", "numOfFutureStops").persist(StorageLevel.MEMORY_AND_DISK)
+    kept = batch.select(*FOLDED).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         partials(kept).write.mode("overwrite").parquet(f"{path}/{name}")
     finally:
@@ -135,7 +142,10 @@ def write_rollup(
     fold_every: int | None = 16, fanout: int = 8, retain: int = 1,
 ) -> StreamingQuery:
     """Keeps the partials of a board stream at ``path``. A batch costs what it
-    holds; every ``fold_every`` batches folders are merged (None: never)."""
+    holds; every ``fold_every`` batches folders are merged (None: never). The
+    stream is asked for the columns folded alone, so that the join below holds
+    no others in its state: nothing is pruned above a batch. A checkpoint from
+    before that holds the whole board's columns and cannot be gone on with."""
     spark, known = board.sparkSession, {}
 
     def add(batch: DataFrame, batch_id: int) -> None:
@@ -145,7 +155,7 @@ def write_rollup(
         if fold_every and (batch_id + 1) % fold_every == 0:
             fold_rollup(spark, path, fanout, retain)
 
-    w = board.writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
+    w = board.select(*FOLDED).writeStream.foreachBatch(add).option("checkpointLocation", checkpoint)
     if query_name:
         w = w.queryName(query_name)
     return with_trigger(w, trigger).start()
